@@ -238,9 +238,9 @@ def floor_slot(instant: Column, hours: int = 3) -> Column:
 
 
 def nearest_entry(normalized: DataFrame, *, as_of: Column, key: str = "location") -> DataFrame:
-    """Per location the entry nearest to ``as_of``, earliest position on a tie, floored to 3 h."""
+    """Per location the entry nearest to ``as_of``, floored to 3 h; the earliest on a tie."""
     distance = F.abs(F.unix_micros("observed_at") - F.unix_micros(as_of.cast("timestamp")))
-    nearest = Window.partitionBy(key).orderBy(distance.asc_nulls_last(), "position")
+    nearest = Window.partitionBy(key).orderBy(distance.asc_nulls_last(), "raw_id", "position")
     return (
         normalized.withColumn("__rank", F.row_number().over(nearest))
         .where(F.col("__rank") == 1)
@@ -269,7 +269,7 @@ def match_raw_entry(nearest: DataFrame, entries: DataFrame, *, key: str = "locat
     timed = _not_empty(text(field(F.col("entry"), "$.datetime")))
     candidates = entries.where(timed.isNotNull()).select(
         key,
-        "position",
+        F.struct("raw_id", "position").alias("__order"),
         F.to_json("entry").alias("raw_entry"),
         F.unix_micros(parse_observed_at(F.col("entry"), F.lit(None).cast("timestamp"))).alias(
             "__time"
@@ -279,7 +279,7 @@ def match_raw_entry(nearest: DataFrame, entries: DataFrame, *, key: str = "locat
         candidates.join(probes, [key, "__minute"])
         .where(F.abs(F.col("__time") - F.col("__target")) < minute)
         .groupBy(key)
-        .agg(F.min_by("raw_entry", "position").alias("raw_entry"))
+        .agg(F.min_by("raw_entry", "__order").alias("raw_entry"))
     )
     return left.drop("__target").join(first, key, "left").withColumn(
         "raw_entry", F.coalesce("raw_entry", F.lit("{}"))

@@ -39,6 +39,10 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.concat(F.lit("12.71."), parent, F.lit("."), child).alias("location"),
         F.lit("Events").alias("source"),
+        ((F.lit(350) + F.col("user_id") % 21) / F.lit(100)).cast("decimal(9,6)").alias("latitude"),
+        ((F.lit(98600) + F.call_function("div", F.col("user_id"), F.lit(21))) / F.lit(1000))
+        .cast("decimal(9,6)")
+        .alias("longitude"),
         ((F.lit(1800) + tenth) / F.lit(100)).cast("decimal(5,2)").alias("temperature"),
         (F.col("__k") + 5).cast("decimal(5,2)").alias("humidity"),
         (F.lit(1000) + F.col("__k") % 20).cast("decimal(7,2)").alias("pressure"),
