@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skymart.config import TEXT_COLUMNS, VALID_RANGES
+from skymart.config import MEASURES, TEXT_COLUMNS, VALID_RANGES
 
 KEY = ("observed_at", "location")
 WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
@@ -98,3 +98,8 @@ def standardize(df: DataFrame) -> DataFrame:
     changes = {"observed_at": to_utc(F.col("observed_at"), df.schema["observed_at"].dataType)}
     changes |= {name: trim_nullify(F.col(name)) for name in TEXT_COLUMNS if name in df.columns}
     return df.withColumns(changes).transform(upper_wind)
+
+
+def exact_measures(df: DataFrame, kind: str = "decimal(18,6)") -> DataFrame:
+    """Measures as decimals: their sums are exact and the same for every partitioning."""
+    return df.withColumns({name: F.col(name).cast(kind) for name in MEASURES if name in df.columns})

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skymart.config import DEFAULTS, Settings
-from skymart.operators.clean import clean, standardize
+from skymart.operators.clean import clean, exact_measures, standardize
 from skymart.operators.enrich import add_features, classify, enrich
 from skymart.operators.parse import parse_raw_json
 from skymart.session import materialize
@@ -50,13 +50,17 @@ def run_transform(
     *,
     stage: str | None = None,
     include_openweather: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """Raw documents to enriched observations; an empty input gives an empty, typed output.
 
     With a ``stage`` folder the cleaned rows are written there once, so that the statistics and
-    the rows themselves do not parse the documents twice. Large runs should set it.
+    the rows themselves do not parse the documents twice. Large runs should set it. ``exact``
+    makes the measures decimals, so that averages do not depend on the order of the rows.
     """
     rows = cleaned_observations(raw, include_openweather=include_openweather)
+    if exact:
+        rows = exact_measures(rows)
     return enrich(rows if stage is None else materialize(rows, stage), settings)
 
 
