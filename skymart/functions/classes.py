@@ -105,8 +105,9 @@ COMPASS = (
 def deg_to_compass(degrees: Column) -> Column:
     """P10: sector of 22.5 degrees centred on each point; truncates toward zero like an int cast."""
     sector = ((degrees.cast("double") + F.lit(11.25)) / F.lit(22.5)).cast("int")
-    index = F.pmod(sector, F.lit(len(COMPASS))) + F.lit(1)
-    return F.element_at(F.array(*[F.lit(point) for point in COMPASS]), index)
+    index = F.pmod(sector, F.lit(len(COMPASS)))
+    point = F.get(F.array(*[F.lit(point) for point in COMPASS]), index)
+    return F.when(degrees.isNotNull(), point)  # a null index would read as a position
 
 
 # Weather condition ids of the second provider.

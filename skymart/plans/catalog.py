@@ -31,8 +31,14 @@ CUT = datetime.fromisoformat(sql.CUT)
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Result types both engines share: double for decimals, bigint for integers."""
-    wide = {T.DecimalType: "double", T.ShortType: "bigint", T.IntegerType: "bigint"}
+    """Result types both engines share, independent of time zones."""
+    wide = {
+        T.DecimalType: "double",
+        T.ShortType: "bigint",
+        T.IntegerType: "bigint",
+        T.DateType: "string",
+        T.TimestampType: "timestamp_ntz",
+    }
     return df.select(
         *[
             F.col(f.name).cast(wide[type(f.dataType)]).alias(f.name)
@@ -220,7 +226,7 @@ def _(spark, sf):
 
 @query(
     "s6_read_warehouse",
-    f"""{sql.FACT} select observed_at, cast(observed_at as date) as date, location as district,
+    f"""{sql.FACT} select observed_at, cast(cast(observed_at as date) as varchar) as date, location as district,
     condition_code, temp_class as temp_classification, rainfall_class as rain_classification,
     {sql.doubles(*MEASURES, "temp_avg", "temp_max", "temp_min")} from fact""",
 )
@@ -784,7 +790,7 @@ def _(spark, sf):
 
 @query(
     "l3_build_dim_time",
-    f"""{CLEANED} select distinct observed_at as timestamp, cast(observed_at as date) as date,
+    f"""{CLEANED} select distinct observed_at as timestamp, cast(cast(observed_at as date) as varchar) as date,
     hour(observed_at) as hour, day(observed_at) as day, month(observed_at) as month,
     year(observed_at) as year, isodow(observed_at) - 1 as day_of_week,
     isodow(observed_at) >= 6 as is_weekend from cleaned where observed_at > timestamp '{sql.CUT}'""",
@@ -799,9 +805,9 @@ def _(spark, sf):
     "l4_upsert_dim_location",
     f"""{CLEANED}, old as (select location, arg_min(latitude + 1, raw_id) as lat from cleaned
       where observed_at <= timestamp '{sql.CUT}' group by location),
-    new as (select location, arg_min(case when raw_id % 2 = 0 then latitude end,
-      (observed_at, raw_id), 1)[1] as lat from cleaned
-      where observed_at > timestamp '{sql.CUT}' group by location)
+    new as (select location, case when raw_id % 2 = 0 then latitude end as lat from (select *,
+        row_number() over (partition by location order by observed_at, raw_id) as rn from cleaned
+        where observed_at > timestamp '{sql.CUT}') d where rn = 1)
     select 'Medan' as city, coalesce(n.location, o.location) as district,
       cast(coalesce(n.lat, o.lat) as double) as latitude, 'kecamatan' as region_level
     from new n full join old o on n.location = o.location""",
@@ -959,7 +965,7 @@ def _trend_sql(names: tuple[str, str, str]) -> str:
 
 @query(
     "v3_trend",
-    f"""{sql.FACT} select district, cast(observed_at as date) as date, hour(observed_at) as hour,
+    f"""{sql.FACT} select district, cast(cast(observed_at as date) as varchar) as date, hour(observed_at) as hour,
     observed_at as timestamp, {sql.doubles("temperature", "humidity", "rainfall")},
     {_trend_sql(("temp_ma_3h", "humidity_ma_3h", "rainfall_ma_3h"))} from fact""",
 )
@@ -1210,7 +1216,7 @@ def _(spark, sf):
     "u3_group_by_local_day",
     f"""{sql.FACT}, top as (select * from fact where district = '{DISTRICT}'
       order by observed_at desc limit 96)
-    select cast(observed_at + interval 7 hours as date) as local_day,
+    select cast(cast(observed_at + interval 7 hours as date) as varchar) as local_day,
       cast(row_number() over (partition by cast(observed_at + interval 7 hours as date)
         order by observed_at) - 1 as bigint) as pos, observed_at,
       cast(temperature as double) as temperature from top""",
