@@ -110,6 +110,15 @@ def _measures(entry: Column) -> dict[str, Column]:
     }
 
 
+def keep_present(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column and drop the rows where it is null.
+
+    As a filter the condition would be pushed below the parsing and parse every document again, as
+    often as the condition mentions it; a generator is evaluated in place, once.
+    """
+    return df.withColumn(name, F.explode(F.array_compact(F.array(value))))
+
+
 def parse_raw_json(raw: DataFrame, *, include_openweather: bool = False) -> DataFrame:
     """One normalized row per raw row of a known shape; other shapes are dropped.
 
@@ -141,10 +150,13 @@ def parse_raw_json(raw: DataFrame, *, include_openweather: bool = False) -> Data
         .when(flat_name.isNull(), F.lit(UNKNOWN_LOCATION))
         .otherwise(text(flat_name))
     )
+    shaped = F.when(
+        entry.isNotNull(), F.struct(entry.alias("entry"), source_place.alias("place"))
+    )
+    parsed = raw.withColumn("__doc", F.try_parse_json("raw_json"))
     out = (
-        raw.withColumn("__doc", F.try_parse_json("raw_json"))
-        .withColumns({"__entry": entry, "__place": source_place})
-        .where(F.col("__entry").isNotNull())
+        keep_present(parsed, shaped, "__shaped")
+        .withColumns({"__entry": F.col("__shaped.entry"), "__place": F.col("__shaped.place")})
         .select(
             "raw_id",
             "observed_at",
@@ -312,9 +324,11 @@ def normalize_openweather(raw: DataFrame) -> DataFrame:
 
     weather = F.get(member("weather"), F.lit(0))
     degrees = F.nullif(member("wind.deg"), F.lit(0.0))
+    document = F.from_json("raw_json", OPENWEATHER)
+    parsed = raw.withColumn("__parsed", document)
+    dated = F.when(F.col("__parsed.dt").isNotNull(), F.col("__parsed"))
     return (
-        raw.withColumn("__doc", F.from_json("raw_json", OPENWEATHER))
-        .where(member("dt").isNotNull())
+        keep_present(parsed, dated, "__doc")
         .select(
             "raw_id",
             F.timestamp_seconds(member("dt")).alias("observed_at"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -207,11 +209,14 @@ def hex_grid(
 
 # -- X6 ------------------------------------------------------------------------------------------
 
+#: Stations up to this number (24 bytes each) are sent to every task and evaluated in numpy.
+MAX_SENT_STATIONS = 1_000_000
+#: Beyond it they are packed into blocks of about this size and joined by shuffle.
 STATIONS_PER_BLOCK = 1_000
-#: Station blocks are broadcast up to this many stations (about 24 MB); beyond it they are joined
-#: by shuffle, every block copied to this many partitions.
-MAX_BROADCAST_STATIONS = 1_000_000
+#: Copies of a block, so that the targets of a block spread over this many partitions.
 BLOCK_COPIES = 64
+#: Cells of a distance matrix evaluated at once in a task.
+MATRIX_CELLS = 4_000_000
 
 
 def idw(
@@ -220,34 +225,71 @@ def idw(
     *,
     key: str,
     power: float = 2.0,
+    max_sent: int = MAX_SENT_STATIONS,
     block_rows: int = STATIONS_PER_BLOCK,
-    broadcast_rows: int = MAX_BROADCAST_STATIONS,
 ) -> DataFrame:
     """Inverse-distance mean of all stations at every target.
 
-    ``stations`` has ``seq`` (their order), ``lon``, ``lat`` and ``value``. Stations are packed
-    into blocks of bounded size; a block is folded inside one row, so a target yields one partial
-    result per block and no row per station. A station closer than the exact distance gives its
-    value, the first one in order; without stations the result is 0.
+    ``stations`` has ``seq`` (their order), ``lon``, ``lat`` and ``value``. A station closer than
+    the exact distance gives its value, the first one in order; without stations the result is 0.
+    Every station counts at every target, so the work is their product; no row per pair is made.
     """
-    total = stations.count()
-    blocks = max(1, math.ceil(total / block_rows))
+    listed = stations.select("seq", "lon", "lat", "value").limit(max_sent + 1)
+    if listed.count() <= max_sent:
+        return _idw_sent(targets, listed, power)
+    return _idw_blocks(targets, stations, key, power, block_rows)
+
+
+def _idw_sent(targets: DataFrame, stations: DataFrame, power: float) -> DataFrame:
+    """Station list of proven size in every task; the targets are not shuffled."""
+    table = stations.orderBy("seq").toArrow()
+    columns = [
+        table[name].to_numpy().astype("float64", copy=False) for name in ("lon", "lat", "value")
+    ]
+    sent = targets.sparkSession.sparkContext.broadcast(np.vstack(columns))
+
+    @F.pandas_udf("double")
+    def interpolate(lon: pd.Series, lat: pd.Series) -> pd.Series:
+        return pd.Series(interpolated(lon.to_numpy(), lat.to_numpy(), *sent.value, power=power))
+
+    return targets.withColumn("value", interpolate(F.col("lon"), F.col("lat")))
+
+
+def interpolated(
+    lon: np.ndarray, lat: np.ndarray, x: np.ndarray, y: np.ndarray, v: np.ndarray, *, power: float
+) -> np.ndarray:
+    """Values at a batch of targets, by slices of bounded size."""
+    result = np.zeros(len(lon))
+    if not len(x):
+        return result
+    step = max(1, MATRIX_CELLS // len(x))
+    for start in range(0, len(lon), step):
+        part = slice(start, start + step)
+        distance = np.hypot(lon[part, None] - x, lat[part, None] - y)
+        near = distance < EXACT_DISTANCE
+        weight = 1.0 / np.where(near, 1.0, distance) ** power
+        mean = weight @ v / weight.sum(axis=1)
+        result[part] = np.where(near.any(axis=1), v[near.argmax(axis=1)], mean)
+    return result
+
+
+def _idw_blocks(
+    targets: DataFrame, stations: DataFrame, key: str, power: float, block_rows: int
+) -> DataFrame:
+    """Blocks of stations meet copies of the targets; a block is folded inside one row."""
+    blocks = max(1, math.ceil(stations.count() / block_rows))
     packed = (
         stations.withColumn("__block", F.pmod(F.xxhash64("seq"), F.lit(blocks)).cast("int"))
         .groupBy("__block")
         .agg(F.sort_array(F.collect_list(F.struct("seq", "lon", "lat", "value"))).alias("__list"))
+        .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(BLOCK_COPIES - 1))))
     )
-    probes = targets.select(key, "lon", "lat").withColumn(
-        "__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    joined = (
+        targets.select(key, "lon", "lat")
+        .withColumn("__copy", F.pmod(F.xxhash64(key), F.lit(BLOCK_COPIES)).cast("int"))
+        .withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        .join(packed, ["__block", "__copy"])
     )
-    if total <= broadcast_rows:
-        joined = probes.join(F.broadcast(packed), "__block")
-    else:
-        packed = packed.withColumn(
-            "__copy", F.explode(F.sequence(F.lit(0), F.lit(BLOCK_COPIES - 1)))
-        )
-        spread = F.pmod(F.xxhash64(key), F.lit(BLOCK_COPIES)).cast("int")
-        joined = probes.withColumn("__copy", spread).join(packed, ["__block", "__copy"])
 
     def distance(station: Column) -> Column:
         dx, dy = F.col("lon") - station["lon"], F.col("lat") - station["lat"]
@@ -267,14 +309,11 @@ def idw(
         F.aggregate(weighted, F.lit(0.0), lambda acc, s: acc + s["w"]).alias("w"),
         F.aggregate(weighted, F.lit(0.0), lambda acc, s: acc + s["w"] * s["v"]).alias("wv"),
     )
-    if blocks > 1:
-        partial = partial.groupBy(key).agg(
-            F.min_by("hit", F.col("hit.seq")).alias("hit"),
-            F.sum("w").alias("w"),
-            F.sum("wv").alias("wv"),
-        )
-    mean = F.coalesce(F.col("wv") / F.nullif("w", F.lit(0.0)), F.lit(0.0))
-    values = partial.select(key, F.coalesce("hit.value", mean).alias("value"))
-    return targets.join(values, key, "left").withColumn(
-        "value", F.coalesce("value", F.lit(0.0))
+    summed = partial.groupBy(key).agg(
+        F.min_by("hit", F.col("hit.seq")).alias("hit"),
+        F.sum("w").alias("w"),
+        F.sum("wv").alias("wv"),
     )
+    mean = F.coalesce(F.col("wv") / F.nullif("w", F.lit(0.0)), F.lit(0.0))
+    values = summed.select(key, F.coalesce("hit.value", mean).alias("value"))
+    return targets.join(values, key, "left").withColumn("value", F.coalesce("value", F.lit(0.0)))

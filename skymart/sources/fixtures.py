@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from skymart.sources.events import observations, read_table
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer files than cores is dealt out to all cores; a large one is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _text(value: Column, pattern: str) -> Column:
     return F.date_format(value, pattern)
 
@@ -50,7 +56,7 @@ def raw_documents(spark: SparkSession, sf_dir: str, *, by_slot: bool = False) ->
 
     ``by_slot`` dates the documents by their 3-hour slot.
     """
-    rows = observations(spark, sf_dir)
+    rows = spread(observations(spark, sf_dir))
     entry = _provider_entry(F.col("observed_at"), F.col("temperature"))
     flat = F.struct(
         *[
@@ -110,7 +116,7 @@ def forecast_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = F.struct(
         F.array(F.struct(_place().alias("lokasi"), days.alias("cuaca"))).alias("data")
     )
-    return observations(spark, sf_dir).select(
+    return spread(observations(spark, sf_dir)).select(
         "raw_id", F.lit("BMKG").alias("source"), F.to_json(document).alias("raw_json"), "observed_at"
     )
 
@@ -137,7 +143,7 @@ def openweather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("rain"),
         F.col("location").alias("name"),
     )
-    return observations(spark, sf_dir).select(
+    return spread(observations(spark, sf_dir)).select(
         "raw_id", F.lit("OpenWeather").alias("source"), F.to_json(document).alias("raw_json"),
         "observed_at",
     )
@@ -152,7 +158,7 @@ def _element(name: str, content: Column) -> Column:
 
 def alert_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feed document per event with two items; every third event is about the region."""
-    events = read_table(spark, sf_dir, "events")
+    events = spread(read_table(spark, sf_dir, "events"))
     number = F.col("event_id").cast("string")
     region = F.when(F.col("event_id") % 3 == 0, F.lit(" Hujan SUMATERA Utara ")).otherwise(
         F.lit("Jawa Barat")
@@ -168,7 +174,7 @@ def alert_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first item's alert of every event not divisible by five: one or two areas."""
-    events = read_table(spark, sf_dir, "events")
+    events = spread(read_table(spark, sf_dir, "events"))
     number = F.col("event_id").cast("string")
     severity = (
         F.when(F.col("event_type") == "error", F.lit("Extreme"))
@@ -235,7 +241,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One point per event, off the outlines of the features."""
     key = F.col("event_id")
-    return read_table(spark, sf_dir, "events").select(
+    return spread(read_table(spark, sf_dir, "events")).select(
         key.alias("point_id"),
         (F.lit(98.40037) + (key * 37 % 1300) / F.lit(1000.0)).alias("lon"),
         (F.lit(3.40037) + (key * 53 % 1300) / F.lit(1000.0)).alias("lat"),
