@@ -64,6 +64,7 @@ def main() -> None:
     spark = local_session(cores, "skymart-bench")
     catalog.warehouse(spark, sf_dir)
     catalog.staging(spark, sf_dir)
+    catalog.forecasts(spark, sf_dir)
     seconds = {}
     for name in names:
         run = lambda: catalog.QUERIES[name](spark, sf_dir)

@@ -186,7 +186,7 @@ def explode_forecast(raw: DataFrame) -> DataFrame:
     )
     place = field(doc, "$.data[0].lokasi")
     return (
-        raw.withColumn("__doc", F.try_parse_json("raw_json"))
+        keep_present(raw, F.try_parse_json("raw_json"), "__doc")
         .select(
             "raw_id",
             "source",

@@ -124,6 +124,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.read_raw_observations(spark, staging(spark, sf_dir))
 
 
+def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged full forecasts, one per event."""
+
+    def build() -> str:
+        path = _new_path(spark, "forecasts")
+        raw.append_raw(fixtures.forecast_documents(spark, sf_dir), path)
+        return path
+
+    return raw.read_raw_observations(spark, _once("forecasts", spark, sf_dir, build))
+
+
 MEASURES = (
     "temperature", "humidity", "pressure", "wind_speed", "rainfall", "uv_index", "visibility",
     "cloud_coverage",
@@ -270,7 +281,7 @@ _FORECAST_SQL = f"""{OBS}, entries as (
     cast(t as double) as t from timed""",
 )
 def _(spark, sf):
-    entries = parse.explode_forecast(fixtures.forecast_documents(spark, sf))
+    entries = parse.explode_forecast(forecasts(spark, sf))
     t = parse.as_float(parse.field(F.col("entry"), "$.t"))
     return entries.select("raw_id", "location", "position", t.alias("t"))
 
@@ -323,7 +334,7 @@ def _(spark, sf):
     condition_code, condition_desc from timed""",
 )
 def _(spark, sf):
-    entries = parse.explode_forecast(fixtures.forecast_documents(spark, sf))
+    entries = parse.explode_forecast(forecasts(spark, sf))
     return parse.normalize_bmkg(entries).select(
         "raw_id", "position", "observed_at", "temperature", "humidity", "pressure",
         "wind_direction", "wind_speed", "rainfall", "visibility", "cloud_coverage",
@@ -360,7 +371,7 @@ def _(spark, sf):
     only_local from timed""",
 )
 def _(spark, sf):
-    entries = parse.explode_forecast(fixtures.forecast_documents(spark, sf))
+    entries = parse.explode_forecast(forecasts(spark, sf))
     moment = parse.parse_observed_at(F.col("entry"), F.current_timestamp())
     no_utc = parse.field(F.col("entry"), "$.datetime").isNull()
     return entries.select(
@@ -455,7 +466,7 @@ _NEAREST_SQL = f"""{_FORECAST_SQL}, ranked as (
 
 
 def _nearest(spark, sf):
-    entries = parse.explode_forecast(fixtures.forecast_documents(spark, sf))
+    entries = parse.explode_forecast(forecasts(spark, sf))
     return parse.nearest_entry(parse.normalize_bmkg(entries), as_of=F.lit(NEAREST_AS_OF)), entries
 
 
