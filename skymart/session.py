@@ -29,7 +29,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "*", app: str = "skymart") -> SparkSession:
+def local_session(cores: str = "*", app: str = "skymart", **conf: str) -> SparkSession:
     """Single-JVM session for tests and benchmarks."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -38,13 +38,16 @@ def local_session(cores: str = "*", app: str = "skymart") -> SparkSession:
         .config("spark.driver.memory", os.environ.get("SKYMART_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -56,9 +59,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="skymart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="skymart-")
+    return _LOCAL_DIRS[application]
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
