@@ -24,7 +24,7 @@ SCHEMA = (
 def spark(tmp_path_factory):
     shared = {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
     session = local_session("4", "skymart-tests", **shared)
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 
