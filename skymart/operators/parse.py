@@ -279,17 +279,21 @@ def match_raw_entry(nearest: DataFrame, entries: DataFrame, *, key: str = "locat
     )
     # Only an own time field counts here, not the local one.
     timed = _not_empty(text(field(F.col("entry"), "$.datetime")))
-    candidates = entries.where(timed.isNotNull()).select(
-        key,
-        F.struct("raw_id", "position").alias("__order"),
-        F.to_json("entry").alias("raw_entry"),
-        F.unix_micros(parse_observed_at(F.col("entry"), F.lit(None).cast("timestamp"))).alias(
-            "__time"
-        ),
-    ).withColumn("__minute", F.floor(F.col("__time") / minute))
+    moment = parse_observed_at(F.col("entry"), F.lit(None).cast("timestamp"))
+    candidates = (
+        entries.where(timed.isNotNull())
+        .select(
+            key,
+            "entry",
+            F.struct("raw_id", "position").alias("__order"),
+            F.unix_micros(moment).alias("__time"),
+        )
+        .withColumn("__minute", F.floor(F.col("__time") / minute))
+    )
     first = (
         candidates.join(probes, [key, "__minute"])
         .where(F.abs(F.col("__time") - F.col("__target")) < minute)
+        .select(key, "__order", F.to_json("entry").alias("raw_entry"))  # of the few matches only
         .groupBy(key)
         .agg(F.min_by("raw_entry", "__order").alias("raw_entry"))
     )

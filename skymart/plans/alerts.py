@@ -93,10 +93,19 @@ def top_alert(alerts: DataFrame) -> DataFrame:
 
 
 def alert_polygons(alerts: DataFrame) -> DataFrame:
-    """One row per alert, area and polygon."""
-    areas = alerts.select("*", F.posexplode("areas").alias("area_position", "area")).drop("areas")
-    return areas.select(
+    """One row per alert, area and polygon.
+
+    The outer generators with a filter on their output do the work of the inner ones; for those
+    Spark would derive a filter on the input and extract the areas a second time.
+    """
+    areas = (
+        alerts.select("*", F.posexplode_outer("areas").alias("area_position", "area"))
+        .where(F.col("area").isNotNull())
+        .drop("areas")
+    )
+    polygons = areas.select(
         *[c for c in areas.columns if c != "area"],
         F.col("area.areaDesc").alias("areaDesc"),
-        F.posexplode("area.polygons").alias("polygon_position", "polygon"),
+        F.posexplode_outer("area.polygons").alias("polygon_position", "polygon"),
     )
+    return polygons.where(F.col("polygon").isNotNull())
