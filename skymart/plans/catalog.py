@@ -914,15 +914,40 @@ def _(spark, sf):
     return _facts(target)
 
 
+_BROKEN = {
+    "unique fact (time_id, location_id)": "count(*) filter (where temperature >= 30)",
+    "fact time_id exists": "count(distinct observed_at) filter (where hour(observed_at) = 3)",
+    "unique time_id": "0",
+    "fact location_id exists": f"count(distinct district) filter (where district like '{PARENT}.%')",
+    "unique location_id": "0",
+    "fact weather_id exists": "0",
+    "unique weather_id": "count(distinct (condition_code, condition_desc, temp_class, "
+    "humidity_class, wind_class, rainfall_class)) filter (where condition_code = 'view')",
+}
+
+
 @query(
     "l8_fact_key_check",
-    "with obs as (select 1 from events limit 1) select unnest(['unique fact (time_id, location_id)', "
-    "'fact time_id exists', 'unique time_id', 'fact location_id exists', 'unique location_id', "
-    "'fact weather_id exists', 'unique weather_id']) as rule, 0::bigint as violations",
+    sql.FACT
+    + " union all ".join(
+        f" select '{rule}' as rule, cast({count} as bigint) as violations from fact"
+        if count != "0"
+        else f" select '{rule}', 0::bigint"
+        for rule, count in _BROKEN.items()
+    ),
 )
 def _(spark, sf):
-    names = ("fact_weather", "dim_time", "dim_location", "dim_weather")
-    return quality.fact_key_check(*[warehouse(spark, sf).table(name) for name in names])
+    """The check over tables broken on purpose; the intact ones have no violation."""
+    fact, time, place, weather = (
+        warehouse(spark, sf).table(name)
+        for name in ("fact_weather", "dim_time", "dim_location", "dim_weather")
+    )
+    return quality.fact_key_check(
+        fact.unionByName(fact.where(F.col("temperature") >= 30)),
+        time.where(F.col("hour") != 3),
+        place.where(~queries.under(PARENT)),
+        weather.unionByName(weather.where(F.col("condition_code") == "view")),
+    )
 
 
 # -- views ---------------------------------------------------------------------------------------
