@@ -247,30 +247,36 @@ def _idw_sent(targets: DataFrame, stations: DataFrame, power: float) -> DataFram
         table[name].to_numpy().astype("float64", copy=False) for name in ("lon", "lat", "value")
     ]
     sent = targets.sparkSession.sparkContext.broadcast(np.vstack(columns))
+    values = _idw_kernel(power)
 
     @F.pandas_udf("double")
     def interpolate(lon: pd.Series, lat: pd.Series) -> pd.Series:
-        return pd.Series(interpolated(lon.to_numpy(), lat.to_numpy(), *sent.value, power=power))
+        return pd.Series(values(lon.to_numpy(), lat.to_numpy(), *sent.value))
 
     return targets.withColumn("value", interpolate(F.col("lon"), F.col("lat")))
 
 
-def interpolated(
-    lon: np.ndarray, lat: np.ndarray, x: np.ndarray, y: np.ndarray, v: np.ndarray, *, power: float
-) -> np.ndarray:
-    """Values at a batch of targets, by slices of bounded size."""
-    result = np.zeros(len(lon))
-    if not len(x):
+def _idw_kernel(power: float):
+    """Function of target and station arrays; works on slices of bounded size.
+
+    A closure, so that it travels to the tasks by value and they need not import this package.
+    """
+
+    def values(lon, lat, x, y, v):
+        result = np.zeros(len(lon))
+        if not len(x):
+            return result
+        step = max(1, MATRIX_CELLS // len(x))
+        for start in range(0, len(lon), step):
+            part = slice(start, start + step)
+            distance = np.hypot(lon[part, None] - x, lat[part, None] - y)
+            near = distance < EXACT_DISTANCE
+            weight = 1.0 / np.where(near, 1.0, distance) ** power
+            mean = weight @ v / weight.sum(axis=1)
+            result[part] = np.where(near.any(axis=1), v[near.argmax(axis=1)], mean)
         return result
-    step = max(1, MATRIX_CELLS // len(x))
-    for start in range(0, len(lon), step):
-        part = slice(start, start + step)
-        distance = np.hypot(lon[part, None] - x, lat[part, None] - y)
-        near = distance < EXACT_DISTANCE
-        weight = 1.0 / np.where(near, 1.0, distance) ** power
-        mean = weight @ v / weight.sum(axis=1)
-        result[part] = np.where(near.any(axis=1), v[near.argmax(axis=1)], mean)
-    return result
+
+    return values
 
 
 def _idw_blocks(
