@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymart.llm import packing, token_file
+from skymart.llm import packing, secrets, token_file, topk
 from skymart.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +26,42 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.checksums(token_file.with_start(token_file.read(spark, path), path))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"), scratch(spark, "ledger"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *(secrets.count(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secrets.joined(spans), 256).alias("base_sha256"),
+        secrets.joined(spans).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op4_token_output": op4_token_output,
+    "op5_topk": op5_topk,
+    "op7_secret_scan": op7_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+OP5_SQL = """
+with vectors as (
+    select vec_id, list_transform(embedding, lambda e: cast(floor(1024 * cast(e as double)) as bigint)) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id as vec_id,
+           cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+    from vectors q join vectors c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id
+)
+select query_id, cast(rank as int) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+where rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op5_topk": OP5_SQL}
