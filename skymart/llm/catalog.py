@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymart.llm import packing, secrets, token_file, topk
+from skymart.llm import near_dup, packing, secrets, token_file, topk
 from skymart.llm.common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"), scratch(spark, "ledger"))
     spans = F.col("spans")
@@ -45,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op4_token_output": op4_token_output,
     "op5_topk": op5_topk,
+    "op6_near_dup": op6_near_dup,
     "op7_secret_scan": op7_secret_scan,
 }
 
@@ -64,4 +69,37 @@ from (select *, row_number() over (partition by query_id order by score desc, ve
 where rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op5_topk": OP5_SQL}
+OP6_SQL = """
+with recursive words as (
+    select doc_id, list_filter(
+        regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+    from documents
+), sets as materialized (
+    select doc_id, list_distinct(case
+        when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: list_aggregate(w[i:i + 3], 'string_agg', ' '))
+        when len(w) > 0 then [list_aggregate(w, 'string_agg', ' ')]
+        else [] end) as s
+    from words
+), shingles as materialized (
+    select doc_id, unnest(s) as g from sets
+), common as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n
+    from shingles a join shingles b on a.g = b.g and a.doc_id < b.doc_id
+    group by all
+), links as materialized (
+    select a, b from common join sets x on x.doc_id = a join sets y on y.doc_id = b
+    where 100 * n >= 80 * (len(x.s) + len(y.s) - n)
+), ways as materialized (
+    select a, b from links union all select b, a from links
+), reach(a, b) as (
+    select a, b from ways union select reach.a, ways.b from reach join ways on reach.b = ways.a
+), labels as (
+    select a, min(b) as least from reach group by a
+)
+select doc_id, len(coalesce(s, [])) as n_shingles, least(doc_id, coalesce(least, doc_id)) as component_id,
+       doc_id = least(doc_id, coalesce(least, doc_id)) as kept
+from sets left join labels on labels.a = doc_id
+"""
+
+ORACLES: dict[str, str] = {"op5_topk": OP5_SQL, "op6_near_dup": OP6_SQL}
