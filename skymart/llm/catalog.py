@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymart.llm import near_dup, packing, secrets, token_file, topk
+from skymart.llm import langid, near_dup, packing, secrets, token_file, topk
 from skymart.llm.common import scratch, table
+from skymart.llm.ship import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,12 +46,34 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fold(n: int) -> Column:
+    """Remainder that splits training rows from held-out ones."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, _fold(4) != 2)
+    return langid.predict(docs, model).select(
+        "doc_id",
+        F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        "cross_entropy",
+        "rejected",
+    )
+
+
 QUERIES: dict[str, Query] = {
-    "op2_packing": op2_packing,
-    "op4_token_output": op4_token_output,
-    "op5_topk": op5_topk,
-    "op6_near_dup": op6_near_dup,
-    "op7_secret_scan": op7_secret_scan,
+    query.__name__: shipped(query)
+    for query in (
+        op2_packing,
+        op4_token_output,
+        op5_topk,
+        op6_near_dup,
+        op7_secret_scan,
+        op9_language_id,
+    )
 }
 
 OP5_SQL = """
