@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymart.llm import langid, near_dup, packing, secrets, token_file, topk
+from skymart.llm import brown, langid, near_dup, packing, secrets, token_file, topk
 from skymart.llm.common import scratch, table
 from skymart.llm.ship import shipped
 
@@ -51,6 +51,19 @@ def _fold(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = brown.score(table(spark, sf_dir, "documents"), _fold(7) != 2)
+    return scored.select(
+        "doc_id",
+        F.coalesce(_fold(7) == 2, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, _fold(4) != 2)
@@ -68,6 +81,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: shipped(query)
     for query in (
         op2_packing,
+        op3_lm_scores,
         op4_token_output,
         op5_topk,
         op6_near_dup,
