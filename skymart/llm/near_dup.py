@@ -1,19 +1,20 @@
 """Near-duplicate documents by HyperMinHash.
 
-A document's set is its distinct word shingles. Its sketch has 160 buckets: a shingle's hash picks
+A document's set is its distinct word shingles. Its sketch has 336 buckets: a shingle's hash picks
 the bucket, and a bucket keeps, of its smallest remaining hash, the number of leading zeros and the
-ten bits behind the first one, in 16 bits. Documents with equal sets are one class, held by the
+ten bits behind the first one, in 16 bits. Empty buckets take another's register for banding. Documents with equal sets are one class, held by the
 smallest id, and only classes go on:
 
-1. Bands of five registers are buckets of candidates. In each, every member is paired with the
+1. Bands of seven registers are buckets of candidates. In each, every member is paired with the
    smallest id only, so a group of any size gives as many pairs as members.
 2. Pairs pass the size bound and the Jaccard estimate from their registers, corrected for registers
-   that agree by chance, with five standard deviations of slack; then the full sets are compared.
+   that agree by chance, with 4.5 standard deviations of slack; then the full sets are compared.
 3. Links give components. Members of one bucket that are in different components after that are
-   paired and checked as well, so no pair of a bucket is left unchecked unless already connected.
+   checked against each other as well (by registers first, in blocks where a bucket is large), so
+   no pair of a bucket is left unchecked unless already connected.
 
-For a pair at a similarity of 0.8 the chance to share none of the 32 bands is about 3 in a million,
-and links through other documents make up for most of these.
+For a pair at a similarity of 0.8 the chance to share none of the 48 bands is about 1 in 80,000, and
+links through other documents make up for most of these.
 
 Null or empty texts, and texts without words, have no set and no link. A text with fewer words than
 a shingle is one shingle. Null ids are kept and never linked. Ids should be unique; rows that repeat
@@ -27,16 +28,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymart.llm import words
 from skymart.llm.common import keep, text_buffer
 from skymart.llm.components import components
 
-BANDS, BAND_SIZE, MANTISSA = 32, 5, 10
+BANDS, BAND_SIZE, MANTISSA = 48, 7, 10
 BUCKETS = BANDS * BAND_SIZE
 EMPTY = np.uint16(0xFFFF)
+#: Standard deviations of the estimate by which a pair may miss the threshold and still be confirmed.
+SLACK = 4.5
+#: Members up to which a bucket's pairs are listed; of larger ones, blocks are compared in tasks.
+LISTED, BLOCK = 16, 512
 #: Ids sent to all tasks to pick the texts of candidates; more of them are joined by a shuffle.
 SENT_IDS = 500_000
 
@@ -82,12 +87,33 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return registers
 
 
+def dense(registers: np.ndarray) -> np.ndarray:
+    """Registers with each empty one filled from another, tried in a fixed random order.
+
+    Else a band of a small set would rest on a register or two, and agree by one common shingle.
+    """
+    out, full = registers.copy(), registers != EMPTY
+    empty, draw = np.flatnonzero(~full), np.random.default_rng(7)
+    if not full.any():
+        return out
+    while len(empty):
+        source = draw.integers(0, BUCKETS, BUCKETS)[empty]
+        hit = full[source]
+        out[empty[hit]] = registers[source[hit]]
+        empty = empty[~hit]
+    return out
+
+
 def bands(registers: np.ndarray) -> np.ndarray:
-    """Bucket keys of the bands that have a register in use."""
-    grouped = np.ascontiguousarray(registers.reshape(BANDS, BAND_SIZE))
-    used = (grouped != EMPTY).any(axis=1)
-    keys = [xxhash.xxh3_64_intdigest(grouped[b].tobytes(), seed=b) for b in np.flatnonzero(used).tolist()]
-    return np.array(keys, np.uint64).astype(np.int64)
+    """Bucket keys of the bands."""
+    grouped = dense(registers).reshape(BANDS, BAND_SIZE)
+    keys = [xxhash.xxh3_64_intdigest(grouped[b].tobytes(), seed=b) for b in range(BANDS)]
+    return np.array(keys, np.uint64).view(np.int64)
+
+
+def linkable(n_shingles: Column, percent: int) -> Column:
+    """Sets large enough to be linked with a different one."""
+    return 100 * n_shingles >= percent * (n_shingles + 1)
 
 
 def chance(n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
@@ -115,6 +141,18 @@ def estimate(a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> tu
     return (share - random) / (1 - random), count
 
 
+def likely(a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray, percent: int) -> np.ndarray:
+    """Which register rows may belong to sets that are similar enough.
+
+    Registers are a sample without replacement of the union, whose size at the threshold is known.
+    """
+    guess, count = estimate(a, b, n1, n2)
+    share = percent / 100
+    union = np.maximum((n1 + n2) / (1 + share), 2.0)
+    spread = share * (1 - share) / np.maximum(count, 1) * np.clip((union - count) / (union - 1), 0.02, 1)
+    return (guess >= share - SLACK * np.sqrt(spread)) & (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2))
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, signature of the set (null if empty) and registers of every document."""
 
@@ -149,21 +187,18 @@ def _keys(classes: DataFrame) -> DataFrame:
     return classes.select("id", "registers").mapInArrow(run, "key bigint, id bigint")
 
 
+def _registers(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BUCKETS)
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that pass the size bound and the estimate."""
-    slack = 5.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, n1, n2 = (batch.column(i).to_numpy() for i in range(4))
-            left, right = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, BUCKETS) for i in (4, 5)
-            )
-            guess, count = estimate(left, right, n1.astype(float), n2.astype(float))
-            share = percent / 100
-            enough = guess >= share - slack * np.sqrt(share * (1 - share) / np.maximum(count, 1))
-            passed = enough & (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2))
-            yield pa.RecordBatch.from_arrays([pa.array(a[passed]), pa.array(b[passed])], names=["a", "b"])
+            n1, n2 = (batch.column(i).to_numpy().astype(float) for i in (2, 3))
+            passed = likely(_registers(batch.column(4)), _registers(batch.column(5)), n1, n2, percent)
+            yield batch.filter(pa.array(passed)).select([0, 1])
 
     one = classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("n1"), F.col("registers").alias("r1"))
     two = classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("n2"), F.col("registers").alias("r2"))
@@ -171,6 +206,44 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
+def _likely_in_blocks(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The same for all pairs of large buckets that are in different components.
+
+    A bucket of m members is cut into m / BLOCK blocks. Two blocks meet in a task, which emits the
+    pairs that pass only: no task holds more than two blocks, and rows grow with m * m / BLOCK.
+    """
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks)
+    cells = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    cells = cells.select(
+        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "label"
+    )
+    rows = cells.join(classes.select("id", "n_shingles", "registers"), "id")
+
+    def run(cell: pa.Table) -> pa.Table:
+        ids, labels, own, x, y, n = (
+            cell[c].to_numpy() for c in ("id", "label", "own", "x", "y", "n_shingles")
+        )
+        registers, n = _registers(cell["registers"].combine_chunks()), n.astype(float)
+        found = []
+        left = np.flatnonzero(own == x)
+        for i in left.tolist():
+            if x[0] == y[0]:
+                right = np.flatnonzero((labels != labels[i]) & (ids > ids[i]))
+            else:
+                right = np.flatnonzero((own != x) & (labels != labels[i]))
+            close = 100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i])
+            right = right[close]
+            if len(right):
+                size = np.full(len(right), n[i])
+                passed = right[likely(registers[i : i + 1], registers[right], size, n[right], percent)]
+                found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in passed.tolist()]
+        a, b = zip(*found) if found else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.groupBy("key", "x", "y").applyInArrow(run, "a bigint, b bigint")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
 
@@ -195,19 +268,20 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     return keep(joined.select("a", "b", "t1", "t2").mapInArrow(run, "a bigint, b bigint"), "links")
 
 
-def _cross_pairs(live: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-    """Untested pairs of one bucket whose members are in different components."""
+def _crossed(live: DataFrame, labels: DataFrame, tested: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs, not tested yet, of one bucket whose members are in different components."""
     known = live.select("key", "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
     labelled = keep(known.select("key", "id", F.coalesce("component", "id").alias("label")), "labelled")
-    mixed = keep(
-        labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("key"),
-        "mixed",
-    )
+    counts = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("m"))
+    mixed = keep(counts.filter("l <> h").select("key", "m"), "mixed")
     members = keep(labelled.join(mixed, "key"), "members")
-    one = members.select("key", F.col("id").alias("i"), F.col("label").alias("k"))
-    two = members.select("key", F.col("id").alias("j"), F.col("label").alias("l"))
-    pairs = one.join(two, "key").filter("k < l").select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
-    return pairs.distinct().join(tested, ["a", "b"], "left_anti")
+    small = members.filter(F.col("m") <= LISTED)
+    one = small.select("key", F.col("id").alias("i"), F.col("label").alias("k"))
+    two = small.select("key", F.col("id").alias("j"), F.col("label").alias("l"))
+    listed = one.join(two, "key").filter("k < l").select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
+    listed = _likely(listed.distinct(), classes, percent)
+    large = _likely_in_blocks(members.filter(F.col("m") > LISTED), classes, percent)
+    return keep(listed.union(large).distinct().join(tested, ["a", "b"], "left_anti"), "crossed")
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
@@ -226,13 +300,13 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
         ),
         "classes",
     )
-    keys = _keys(classes)
+    keys = _keys(classes.filter(linkable(F.col("n_shingles"), percent)))
     hubs = keep(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n"), "hubs")
     live = keep(keys.join(hubs, "key"), "live")
     starred = keep(live.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "starred")
     links = _confirmed(_likely(starred, classes, percent), docs, width, percent)
     labels = components(links)
-    crossed = keep(_likely(_cross_pairs(live, labels, starred), classes, percent), "crossed")
+    crossed = _crossed(live, labels, starred, classes, percent)
     if not crossed.isEmpty():
         more = _confirmed(crossed, docs, width, percent)
         if not more.isEmpty():
