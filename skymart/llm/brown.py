@@ -40,7 +40,9 @@ SHARE = 1e-4
 ENDINGS = 512
 CLASSES = 64
 ROUNDS = 8
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
+#: Bytes of text whose tokens are held at once.
+HELD_BYTES = 2 << 20
 
 #: Key of the end token; words have other 64-bit hashes as keys.
 END = np.uint64(0x9B1F4E0D5C3A7E21)
@@ -94,6 +96,19 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     )
 
 
+def _distinct(texts: pa.Array, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of texts, the ending of each, and its count in the learned ones."""
+    found = []
+    for a, b in rows_by_bytes(text_buffer(texts)[1], HELD_BYTES):
+        keys, endings, rows = tokens(texts.slice(a, b - a))
+        distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        n = np.bincount(inverse, weights=learned[a:b][rows], minlength=len(distinct))
+        found.append((distinct, endings[first], n))
+    keys, endings, n = (np.concatenate(c) for c in zip(*found))
+    distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    return distinct, endings[first], np.bincount(inverse, weights=n, minlength=len(distinct)).astype(np.int64)
+
+
 def _vocabulary(chunks: DataFrame) -> DataFrame:
     """Distinct words of each chunk's batches, with their training counts."""
 
@@ -103,15 +118,12 @@ def _vocabulary(chunks: DataFrame) -> DataFrame:
             learned = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for number in np.unique(numbers):
                 at = np.flatnonzero(numbers == number)
-                part = batch.slice(int(at[0]), len(at))
-                keys, endings, rows = tokens(part.column(2))
-                distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-                n = np.bincount(inverse, weights=learned[at][rows], minlength=len(distinct)).astype(np.int64)
+                distinct, endings, n = _distinct(batch.column(2).slice(int(at[0]), len(at)), learned[at])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(distinct), number, np.int64)),
                         pa.array(distinct.view(np.int64)),
-                        pa.array(endings[first].astype(np.int32)),
+                        pa.array(endings.astype(np.int32)),
                         pa.array(n),
                     ],
                     names=["chunk", "key", "ending", "n"],
@@ -149,7 +161,7 @@ def _pairs(chunks: DataFrame, units: Units) -> DataFrame:
         units = sent.value
         for whole in batches:
             _, offsets = text_buffer(whole.column(0))
-            for a, b in rows_by_bytes(offsets, CHUNK_BYTES):
+            for a, b in rows_by_bytes(offsets, 2 * HELD_BYTES):
                 keys, endings, _ = tokens(whole.column(0).slice(a, b - a))
                 unit = units.of(keys, endings)
                 codes, n = np.unique(np.append(0, unit[:-1]) * units.count + unit, return_counts=True)
@@ -339,8 +351,10 @@ def score(docs: DataFrame, learn: Column, *, classes: int = CLASSES, rounds: int
         keys, first = np.unique(keys, return_index=True)
         n = known.column("n").to_numpy()[first]
         found = []
-        for batch in texts.combine_chunks().to_batches(max_chunksize=1000):
-            found.append(score_batch(m, units, batch.column("text"), keys, n))
+        for batch in texts.select(["text"]).to_batches():
+            column = batch.column(0)
+            for a, b in rows_by_bytes(text_buffer(column)[1], HELD_BYTES):
+                found.append(score_batch(m, units, column.slice(a, b - a), keys, n))
         n_tokens, n_known, base, value = (np.concatenate(c) for c in zip(*found))
         total = np.full(len(n_tokens), m.tokens, np.int64)
         return pa.table(
