@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymart.llm import brown, langid, near_dup, packing, secrets, token_file, topk
+from skymart.llm import brown, decontaminate, langid, near_dup, packing, secrets, token_file, topk
 from skymart.llm.common import scratch, table
 from skymart.llm.ship import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select(
@@ -80,6 +92,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: shipped(query)
     for query in (
+        op1_decontamination,
         op2_packing,
         op3_lm_scores,
         op4_token_output,
@@ -90,6 +103,40 @@ QUERIES: dict[str, Query] = {
     )
 }
 
+OP1_SQL = """
+with texts as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+    from documents
+), items as (
+    select item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+    from benchmark where item_id is not null
+), windows as (
+    select distinct item_id, n, w[i:i + n - 1] as g
+    from (select item_id, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i
+          from items where len(w) > 0)
+), spans as (
+    select doc_id, n, w[i:i + n - 1] as g, i
+    from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+          from texts, (select distinct n from windows) where len(w) >= n)
+), hits as materialized (
+    select doc_id, i, n, item_id from spans join windows using (n, g)
+), words as (
+    select doc_id, count(distinct p) as n_hit
+    from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id
+), found as (
+    select doc_id, count(distinct item_id) as n_items,
+           sha256(string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar))) as d
+    from hits group by doc_id
+)
+select t.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       coalesce(d, sha256('')) as items_sha256, n_hit is not null as contaminated
+from texts t left join words using (doc_id) left join found using (doc_id)
+"""
+
 OP5_SQL = """
 with vectors as (
     select vec_id, list_transform(embedding, lambda e: cast(floor(1024 * cast(e as double)) as bigint)) as v
@@ -139,4 +186,8 @@ select doc_id, len(coalesce(s, [])) as n_shingles, least(doc_id, coalesce(least,
 from sets left join labels on labels.a = doc_id
 """
 
-ORACLES: dict[str, str] = {"op5_topk": OP5_SQL, "op6_near_dup": OP6_SQL}
+ORACLES: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
+    "op5_topk": OP5_SQL,
+    "op6_near_dup": OP6_SQL,
+}
