@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymart.llm import brown, decontaminate, langid, near_dup, packing, secrets, token_file, topk
+from skymart.llm import brown, decontaminate, langid, line_dedup, near_dup, packing, secrets, token_file, topk
 from skymart.llm.common import scratch, table
 from skymart.llm.ship import shipped
 
@@ -89,6 +89,19 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_lines",
+        "n_repeated",
+        "n_similar",
+        "n_links",
+        F.array_join(F.transform("homes", lambda h: h.cast("string")), ",").alias("homes"),
+        F.sha2(F.coalesce("new_text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: shipped(query)
     for query in (
@@ -100,6 +113,7 @@ QUERIES: dict[str, Query] = {
         op6_near_dup,
         op7_secret_scan,
         op9_language_id,
+        op10_line_dedup,
     )
 }
 
@@ -186,7 +200,53 @@ select doc_id, len(coalesce(s, [])) as n_shingles, least(doc_id, coalesce(least,
 from sets left join labels on labels.a = doc_id
 """
 
+OP10_SQL = """
+with lines as (
+    select doc_id, unnest(string_split(text, chr(10))) as line,
+           unnest(range(len(string_split(text, chr(10))))) as number
+    from documents where text <> ''
+), classes as (
+    select line, min((doc_id, number)) as place from lines where trim(line) <> '' group by line
+), halves as (
+    select line, place, length(line) as n from classes where length(line) >= 24
+), met as (
+    select a.line as x, b.line as y, a.place as p, b.place as q
+    from halves a join halves b
+      on left(a.line, a.n // 2) = left(b.line, a.n // 2) and b.n between a.n and a.n + 1 and a.line <> b.line
+    union
+    select a.line, b.line, a.place, b.place
+    from halves a join halves b
+      on right(a.line, a.n - a.n // 2) = right(b.line, a.n - a.n // 2) and b.n between a.n and a.n + 1
+         and a.line <> b.line
+), near as (
+    select x, y, p, q from met where levenshtein(x, y) <= 1
+), links as (
+    select x, y, q from near union select y, x, p from near
+), partners as (
+    select x as line, count(*) as links, min(q) as other from links group by x
+), marks as (
+    select doc_id, number, coalesce(links, 0) as links,
+           case when (doc_id, number) <> place then 'repeated' when other < place then 'similar' end as reason,
+           case when other < place then other[1] when (doc_id, number) <> place then place[1] end as home
+    from lines join classes using (line) left join partners using (line)
+), by_doc as (
+    select doc_id, count(*) as n_lines,
+           count(*) filter (where reason = 'repeated') as n_repeated,
+           count(*) filter (where reason = 'similar') as n_similar,
+           cast(sum(coalesce(m.links, 0)) as bigint) as n_links,
+           list_sort(list_distinct(list(home) filter (where home is not null))) as homes,
+           coalesce(string_agg(line, chr(10) order by number) filter (where reason is null), '') as kept
+    from lines left join marks m using (doc_id, number) group by doc_id
+)
+select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_repeated, 0) as n_repeated,
+       coalesce(n_similar, 0) as n_similar, coalesce(n_links, 0) as n_links,
+       coalesce(list_aggregate(list_transform(homes, lambda h: cast(h as varchar)), 'string_agg', ','), '') as homes,
+       sha256(coalesce(kept, '')) as kept_sha256
+from documents d left join by_doc using (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op10_line_dedup": OP10_SQL,
     "op1_decontamination": OP1_SQL,
     "op5_topk": OP5_SQL,
     "op6_near_dup": OP6_SQL,
