@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymart.llm import brown, decontaminate, langid, line_dedup, near_dup, packing, secrets, token_file, topk
+from skymart.llm import brown, decontaminate, langid, line_dedup, near_dup, packing, secrets, suffix_dedup, token_file, topk
 from skymart.llm.common import scratch, table
 from skymart.llm.ship import shipped
 
@@ -58,6 +58,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _fold(n: int) -> Column:
     """Remainder that splits training rows from held-out ones."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
@@ -112,6 +117,7 @@ QUERIES: dict[str, Query] = {
         op5_topk,
         op6_near_dup,
         op7_secret_scan,
+        op8_suffix_dedup,
         op9_language_id,
         op10_line_dedup,
     )
