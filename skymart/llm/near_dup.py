@@ -225,6 +225,7 @@ def _likely_in_blocks(members: DataFrame, classes: DataFrame, percent: int) -> D
             cell[c].to_numpy() for c in ("id", "label", "own", "x", "y", "n_shingles")
         )
         registers, n = _registers(cell["registers"].combine_chunks()), n.astype(float)
+        keys, here = np.array([bands(r) for r in registers]), cell["key"][0].as_py()
         found = []
         left = np.flatnonzero(own == x)
         for i in left.tolist():
@@ -237,6 +238,9 @@ def _likely_in_blocks(members: DataFrame, classes: DataFrame, percent: int) -> D
             if len(right):
                 size = np.full(len(right), n[i])
                 passed = right[likely(registers[i : i + 1], registers[right], size, n[right], percent)]
+                # A pair that meets in several buckets is told in the one of its first common band.
+                same = keys[passed] == keys[i]
+                passed = passed[keys[i][same.argmax(axis=1)] == here]
                 found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in passed.tolist()]
         a, b = zip(*found) if found else ((), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
