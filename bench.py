@@ -20,7 +20,7 @@ from skymart.session import local_session  # noqa: E402
 
 HEADLINE = (
     "p2_parse_raw_json",
-    "p3_normalize_bmkg",
+    "p3_normalize_forecast",
     "p12_nearest_entry",
     "c7_clean_standardize",
     "f1_add_features",

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from skymart.config import MEASURES, TEXT_COLUMNS, VALID_RANGES
 
 KEY = ("observed_at", "location")
-WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+#: All Unicode white space, and the four separators U+001C to U+001F.
+WHITE_SPACE = r"[\s\x1C-\x1F]+"
 
 
 def drop_missing_required(df: DataFrame, columns: Sequence[str] = KEY) -> DataFrame:
@@ -61,7 +62,7 @@ def to_utc(value: Column, kind: T.DataType) -> Column:
 
 def trim_nullify(value: Column) -> Column:
     """Strip surrounding white space; blank and textual nulls become null."""
-    text = F.btrim(value.cast("string"), F.lit(WHITE_SPACE))
+    text = F.regexp_replace(value.cast("string"), f"(?U)^{WHITE_SPACE}|{WHITE_SPACE}$", "")
     return F.when(~text.isin("", "None", "nan"), text)
 
 

@@ -38,7 +38,7 @@ WEATHER_COLUMNS = {
 class LoadResult:
     inserted: int = 0
     skipped: int = 0
-    quality_issues: list[str] = field(default_factory=list)
+    quality_issues: list[quality.Issue] = field(default_factory=list)
 
 
 # -- keys ----------------------------------------------------------------------------------------
@@ -219,14 +219,13 @@ def load(
 
     The new rows are written once to the shared folder and read back by column for each table;
     the quality counts over the whole input are gathered by the same pass.
-    Facts behind the watermark cannot collide with published ones, so a normal load only appends;
-    days are rewritten only where facts exist without a watermark. ``extra`` tables are published
-    together with the load.
+    A normal load only appends facts; days that hold facts newer than the watermark are merged.
+    ``extra`` tables are published together with the load.
     """
     base = base or warehouse.snapshot()
     watch = quality.QualityWatch(df)
     if watch.missing and not skip_quality:
-        raise quality.QualityError(f"Missing required columns: {watch.missing}")
+        raise quality.refusal([quality.Issue(quality.NO_COLUMN, name) for name in watch.missing])
     stage = f"{shared_dir(warehouse.spark)}/stage-{uuid.uuid4().hex}"
     try:
         batch = materialize(filter_new(watch.frame, base.watermark), stage)
@@ -234,7 +233,7 @@ def load(
         for issue in issues:
             logger.warning("Quality issue: %s", issue)
         if quality.blocks_load(issues):
-            raise quality.QualityError(f"Quality check failed: {issues}")
+            raise quality.refusal(issues)
         stats = batch.agg(
             F.count(F.lit(1)).alias("rows"),
             F.count_if(F.col("observed_at").isNotNull() & F.col("location").isNotNull()).alias("ok"),
@@ -284,13 +283,24 @@ def _write_dimensions(
 def _write_facts(
     batch: DataFrame, warehouse: Warehouse, base: Snapshot, city: str, dates: list
 ) -> list[str]:
-    now = datetime.now(UTC)
-    rows = fact_rows(batch, city=city, created_at=F.lit(now))
+    """Directories of the facts after the load.
+
+    Rows behind the watermark are not loaded, so they meet published ones only on days that hold facts
+    newer than it: after it was moved back, or where there is none. Those days are rewritten, all
+    others grow by a directory.
+    """
+    rows = fact_rows(batch, city=city, created_at=F.lit(datetime.now(UTC)))
     published = base.tables.get("fact_weather", [])
     touched = {d.isoformat() for d in dates}
-    rewritten = [p for p in published if partition_date(p) in touched]
-    if base.watermark is not None or not rewritten:
+    there = {partition_date(p) for p in published} & touched
+    if there:
+        existing = warehouse.table("fact_weather", snapshot=base, dates=dates)
+        if base.watermark_us is not None:
+            newer = existing.where(F.col("time_id") > base.watermark_us).select("date").distinct()
+            there = {r.date.isoformat() for r in newer.collect()}  # at most the days of the batch
+    if not there:
         return published + warehouse.write(upsert_fact(rows), "fact_weather")
-    existing = warehouse.table("fact_weather", snapshot=base, dates=dates)
-    kept = [p for p in published if p not in rewritten]
-    return kept + warehouse.write(upsert_fact(rows, existing), "fact_weather")
+    met = F.col("date").cast("string").isin(sorted(there))
+    merged = upsert_fact(rows.where(met), existing.where(met)).unionByName(upsert_fact(rows.where(~met)))
+    kept = [p for p in published if partition_date(p) not in there]
+    return kept + warehouse.write(merged, "fact_weather")

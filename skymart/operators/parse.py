@@ -214,7 +214,7 @@ def parse_observed_at(entry: Column, as_of: Column) -> Column:
     )
 
 
-def normalize_bmkg(entries: DataFrame, *, as_of: Column | None = None) -> DataFrame:
+def normalize_forecast(entries: DataFrame, *, as_of: Column | None = None) -> DataFrame:
     """Entries of P1 as normalized observations; pressure and UV are not reported."""
     entry = F.col("entry")
     as_of = F.current_timestamp() if as_of is None else as_of
@@ -362,7 +362,7 @@ def normalize_openweather(raw: DataFrame) -> DataFrame:
 # -- names -------------------------------------------------------------------------------------
 
 
-def location_names(raw: DataFrame, source: str = "BMKG") -> DataFrame:
+def location_names(raw: DataFrame, source: str) -> DataFrame:
     """One name per code; the greatest one where a code carries several."""
     return (
         raw.where(F.col("source") == source)

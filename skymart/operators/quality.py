@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -15,6 +16,29 @@ class QualityError(ValueError):
     """The data must not be loaded."""
 
 
+#: Kinds of issues; the first two block a load.
+NO_ROWS, NO_COLUMN, NULLS = "no rows", "no column", "nulls"
+
+
+@dataclass(frozen=True)
+class Issue:
+    """Something the check found: of the frame, or of one required column."""
+
+    kind: str
+    column: str | None = None
+    nulls: int = 0
+    rows: int = 0
+
+    @property
+    def blocks(self) -> bool:
+        return self.kind != NULLS
+
+    def __str__(self) -> str:
+        where = "" if self.column is None else f" in {self.column}"
+        share = f": {self.nulls} of {self.rows} rows" if self.kind == NULLS else ""
+        return self.kind + where + share
+
+
 def _is_null(df: DataFrame, name: str) -> Column:
     value = F.col(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
@@ -48,22 +72,18 @@ def null_profile(df: DataFrame, columns: Sequence[str] = REQUIRED_FACT_COLUMNS)
     )
 
 
-def quality_check(df: DataFrame, columns: Sequence[str] = REQUIRED_FACT_COLUMNS) -> list[str]:
-    """Q1 as messages; an empty list means no issue."""
+def quality_check(df: DataFrame, columns: Sequence[str] = REQUIRED_FACT_COLUMNS) -> list[Issue]:
+    """Q1 as a list; it is empty if all is well."""
     profile = null_profile(df, columns).collect()  # one row per required column
-    return _messages(profile[0]["rows"], {r["column"]: r["nulls"] for r in profile})
-
-
-def _messages(rows: int, nulls: dict[str, int | None]) -> list[str]:
-    if not rows:
-        return ["DataFrame is empty — nothing to load"]
-    issues = []
-    for name, count in nulls.items():
-        if count is None:
-            issues.append(f"Missing required column: {name}")
-        elif count:
-            issues.append(f"Column '{name}' has {count} nulls ({count / rows * 100:.1f}%)")
-    return issues
+    return issues_of(profile[0]["rows"], {r["column"]: r["nulls"] for r in profile})
+
+
+def issues_of(rows: int, nulls: dict[str, int | None]) -> list[Issue]:
+    """Issues by null counts per column; None stands for a column that isn't there."""
+    if rows == 0:
+        return [Issue(NO_ROWS)]
+    absent = [Issue(NO_COLUMN, name) for name, count in nulls.items() if count is None]
+    return absent + [Issue(NULLS, name, count, rows) for name, count in nulls.items() if count]
 
 
 class QualityWatch:
@@ -83,22 +103,26 @@ class QualityWatch:
     def missing(self) -> list[str]:
         return [name for name in self._columns if name not in self._present]
 
-    def issues(self) -> list[str]:
+    def issues(self) -> list[Issue]:
         """Call after the action."""
         seen = self._observation.get
-        return _messages(seen.get("rows", 0), {name: seen.get(name) for name in self._columns})
+        return issues_of(seen.get("rows", 0), {name: seen.get(name) for name in self._columns})
+
+
+def blocks_load(issues: Sequence[Issue]) -> bool:
+    """Q2: no rows or a column that isn't there block a load, nulls only warn."""
+    return any(issue.blocks for issue in issues)
 
 
-def blocks_load(issues: Sequence[str]) -> bool:
-    """Q2: an empty frame or a missing column blocks, nulls only warn."""
-    return any("empty" in text.lower() or "missing" in text.lower() for text in issues)
+def refusal(issues: Sequence[Issue]) -> QualityError:
+    return QualityError("not loadable: " + "; ".join(map(str, issues)))
 
 
-def quality_gate(df: DataFrame) -> list[str]:
+def quality_gate(df: DataFrame) -> list[Issue]:
     """Q2: the issues, or ``QualityError``."""
     issues = quality_check(df)
     if blocks_load(issues):
-        raise QualityError(f"Quality check failed: {issues}")
+        raise refusal(issues)
     return issues
 
 

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import math
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymart.functions import geometry as geo
+from skymart.session import materialize, shared_dir
 
 EXACT_DISTANCE = 1e-4  # fixed value: closer stations give their own value
 
@@ -209,12 +213,8 @@ def hex_grid(
 
 # -- X6 ------------------------------------------------------------------------------------------
 
-#: Stations up to this number (24 bytes each) are sent to every task and evaluated in numpy.
-MAX_SENT_STATIONS = 1_000_000
-#: Beyond it they are packed into blocks of about this size and joined by shuffle.
-STATIONS_PER_BLOCK = 1_000
-#: Copies of a block, so that the targets of a block spread over this many partitions.
-BLOCK_COPIES = 64
+#: Stations (24 bytes each) sent to every task at a time.
+STATIONS_PER_BLOCK = 1_000_000
 #: Cells of a distance matrix evaluated at once in a task.
 MATRIX_CELLS = 4_000_000
 
@@ -223,103 +223,71 @@ def idw(
     targets: DataFrame,
     stations: DataFrame,
     *,
-    key: str,
     power: float = 2.0,
-    max_sent: int = MAX_SENT_STATIONS,
     block_rows: int = STATIONS_PER_BLOCK,
 ) -> DataFrame:
     """Inverse-distance mean of all stations at every target.
 
     ``stations`` has ``seq`` (their order), ``lon``, ``lat`` and ``value``. A station closer than
-    the exact distance gives its value, the first one in order; without stations the result is 0.
-    Every station counts at every target, so the work is their product; no row per pair is made.
-    """
-    listed = stations.select("seq", "lon", "lat", "value").limit(max_sent + 1)
-    if listed.count() <= max_sent:
-        return _idw_sent(targets, listed, power)
-    return _idw_blocks(targets, stations, key, power, block_rows)
-
+    the exact distance gives its value, the first one in order. Stations with a null among these
+    take no part; without any station the result is 0. A target without coordinates has no value.
+    Rows of ``targets`` are evaluated each on its own, whatever keys they have.
 
-def _idw_sent(targets: DataFrame, stations: DataFrame, power: float) -> DataFrame:
-    """Station list of proven size in every task; the targets are not shuffled."""
-    table = stations.orderBy("seq").toArrow()
-    columns = [
-        table[name].to_numpy().astype("float64", copy=False) for name in ("lon", "lat", "value")
-    ]
-    sent = targets.sparkSession.sparkContext.broadcast(np.vstack(columns))
-    values = _idw_kernel(power)
+    Every station counts at every target, so the work is their product. Targets stay in their
+    partitions and keep running sums; the stations pass by in blocks of bounded size.
+    """
+    columns = targets.columns
+    state = targets.withColumns(
+        {"__hit": F.lit(None).cast("double"), "__w": F.lit(0.0), "__wv": F.lit(0.0)}
+    )
+    for number, block in enumerate(_station_blocks(stations, block_rows)):
+        if number:
+            state = materialize(state, f"{shared_dir(targets.sparkSession)}/idw-{uuid.uuid4().hex}")
+        sums = _idw_sums(targets.sparkSession.sparkContext.broadcast(block), power)
+        state = state.withColumn("__s", sums("lon", "lat", "__w", "__wv")).select(
+            *columns,
+            F.coalesce("__hit", "__s.hit").alias("__hit"),
+            F.col("__s.w").alias("__w"),
+            F.col("__s.wv").alias("__wv"),
+        )
+    mean = F.coalesce(F.col("__wv") / F.nullif("__w", F.lit(0.0)), F.lit(0.0))
+    placed = F.col("lon").isNotNull() & F.col("lat").isNotNull()
+    return state.select(*columns, F.when(placed, F.coalesce("__hit", mean)).alias("value"))
 
-    @F.pandas_udf("double")
-    def interpolate(lon: pd.Series, lat: pd.Series) -> pd.Series:
-        return pd.Series(values(lon.to_numpy(), lat.to_numpy(), *sent.value))
 
-    return targets.withColumn("value", interpolate(F.col("lon"), F.col("lat")))
+def _station_blocks(stations: DataFrame, rows: int) -> Iterator[np.ndarray]:
+    """Columns lon, lat and value of the usable stations in their order, in blocks."""
+    usable = stations.select("seq", "lon", "lat", "value").na.drop().orderBy("seq")
+    block: list[tuple[float, float, float]] = []
+    for r in usable.toLocalIterator():
+        block.append((r.lon, r.lat, r.value))
+        if len(block) == rows:
+            yield np.array(block, dtype="float64").T
+            block = []
+    if block:
+        yield np.array(block, dtype="float64").T
 
 
-def _idw_kernel(power: float):
-    """Function of target and station arrays; works on slices of bounded size.
+def _idw_sums(sent: Broadcast, power: float):
+    """UDF that adds one block of stations to the running sums of a target.
 
     A closure, so that it travels to the tasks by value and they need not import this package.
     """
+    cells, exact = MATRIX_CELLS, EXACT_DISTANCE
 
-    def values(lon, lat, x, y, v):
-        result = np.zeros(len(lon))
-        if not len(x):
-            return result
-        step = max(1, MATRIX_CELLS // len(x))
+    @F.pandas_udf("hit double, w double, wv double")
+    def sums(lon: pd.Series, lat: pd.Series, w: pd.Series, wv: pd.Series) -> pd.DataFrame:
+        x, y, v = sent.value
+        out = pd.DataFrame({"hit": np.nan, "w": w, "wv": wv})
+        step = max(1, cells // len(x))
         for start in range(0, len(lon), step):
             part = slice(start, start + step)
-            distance = np.hypot(lon[part, None] - x, lat[part, None] - y)
-            near = distance < EXACT_DISTANCE
+            distance = np.hypot(lon.to_numpy()[part, None] - x, lat.to_numpy()[part, None] - y)
+            near = distance < exact
             weight = 1.0 / np.where(near, 1.0, distance) ** power
-            mean = weight @ v / weight.sum(axis=1)
-            result[part] = np.where(near.any(axis=1), v[near.argmax(axis=1)], mean)
-        return result
-
-    return values
-
+            out.iloc[part, 0] = np.where(near.any(axis=1), v[near.argmax(axis=1)], np.nan)
+            out.iloc[part, 1] += weight.sum(axis=1)
+            out.iloc[part, 2] += weight @ v
+        return out
 
-def _idw_blocks(
-    targets: DataFrame, stations: DataFrame, key: str, power: float, block_rows: int
-) -> DataFrame:
-    """Blocks of stations meet copies of the targets; a block is folded inside one row."""
-    blocks = max(1, math.ceil(stations.count() / block_rows))
-    packed = (
-        stations.withColumn("__block", F.pmod(F.xxhash64("seq"), F.lit(blocks)).cast("int"))
-        .groupBy("__block")
-        .agg(F.sort_array(F.collect_list(F.struct("seq", "lon", "lat", "value"))).alias("__list"))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(BLOCK_COPIES - 1))))
-    )
-    joined = (
-        targets.select(key, "lon", "lat")
-        .withColumn("__copy", F.pmod(F.xxhash64(key), F.lit(BLOCK_COPIES)).cast("int"))
-        .withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .join(packed, ["__block", "__copy"])
-    )
-
-    def distance(station: Column) -> Column:
-        dx, dy = F.col("lon") - station["lon"], F.col("lat") - station["lat"]
-        return F.sqrt(dx * dx + dy * dy)
-
-    near = F.filter("__list", lambda s: distance(s) < F.lit(EXACT_DISTANCE))
-    far = F.filter("__list", lambda s: distance(s) >= F.lit(EXACT_DISTANCE))
-    weighted = F.transform(
-        far,
-        lambda s: F.struct(
-            (F.lit(1.0) / F.pow(distance(s), F.lit(power))).alias("w"), s["value"].alias("v")
-        ),
-    )
-    partial = joined.select(
-        key,
-        F.get(near, F.lit(0)).alias("hit"),
-        F.aggregate(weighted, F.lit(0.0), lambda acc, s: acc + s["w"]).alias("w"),
-        F.aggregate(weighted, F.lit(0.0), lambda acc, s: acc + s["w"] * s["v"]).alias("wv"),
-    )
-    summed = partial.groupBy(key).agg(
-        F.min_by("hit", F.col("hit.seq")).alias("hit"),
-        F.sum("w").alias("w"),
-        F.sum("wv").alias("wv"),
-    )
-    mean = F.coalesce(F.col("wv") / F.nullif("w", F.lit(0.0)), F.lit(0.0))
-    values = summed.select(key, F.coalesce("hit.value", mean).alias("value"))
-    return targets.join(values, key, "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    return sums

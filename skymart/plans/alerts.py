@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Region searched in titles, fields of an alert, severities from the worst down.
-REGION = "sumatera utara"
+# Fields of an alert, severities from the worst down.
 ALERT_FIELDS = (
     "event",
     "headline",
@@ -55,7 +54,7 @@ def feed_items(feed: DataFrame) -> DataFrame:
     )
 
 
-def parse_alerts(feed: DataFrame, documents: DataFrame, region: str = REGION) -> DataFrame:
+def parse_alerts(feed: DataFrame, documents: DataFrame, region: str) -> DataFrame:
     """Alerts of the region's feed items; items without a document are dropped.
 
     ``documents`` has one row (``link``, ``xml``) per fetched alert.

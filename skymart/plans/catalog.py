@@ -144,7 +144,7 @@ CLEANED = f"with {sql.OBS}, {sql.cleaned()}"
 
 # -- sources and sinks ---------------------------------------------------------------------------
 
-_RAW_SQL = f"""{OBS} select raw_id, case when raw_id % 2 = 0 then 'BMKG' else 'Events' end as source,
+_RAW_SQL = f"""{OBS} select raw_id, case when raw_id % 2 = 0 then 'Forecast' else 'Events' end as source,
   observed_at, cast(raw_id % 4 as bigint) as shape from obs"""
 
 
@@ -166,7 +166,7 @@ def _(spark, sf):
 
 @query(
     "s2_append_raw",
-    f"""{OBS} select case when raw_id % 2 = 0 then 'BMKG' else 'Events' end as source, observed_at,
+    f"""{OBS} select case when raw_id % 2 = 0 then 'Forecast' else 'Events' end as source, observed_at,
     false as processed, cast(count(*) as bigint) as n from (select * from obs union all
     select * from obs) d group by all""",
 )
@@ -199,7 +199,7 @@ def _(spark, sf):
 
 
 _DISTRICTS = ", ".join(
-    f"('12.71.{code}', '{name}', {count})" for code, (name, count) in admin.DISTRICTS.items()
+    f"('12.71.{code}', '{name}', {len(codes)})" for code, (name, codes) in admin.DISTRICTS.items()
 )
 
 
@@ -290,7 +290,7 @@ _FLAT = "raw_id % 4 = 3"
 _PARSED = f"""select raw_id, observed_at, location,
   case when {_FLAT} then null else cast(latitude as double) end as latitude,
   case when {_FLAT} then null else cast(longitude as double) end as longitude,
-  case when raw_id % 2 = 0 then 'BMKG' else 'Events' end as source,
+  case when raw_id % 2 = 0 then 'Forecast' else 'Events' end as source,
   case when {_FLAT} then ' sw ' else 'sw' end as wind_direction, condition_code, condition_desc,
   {sql.doubles(*MEASURES)} from obs"""
 
@@ -326,7 +326,7 @@ def _(spark, sf):
 
 
 @query(
-    "p3_normalize_bmkg",
+    "p3_normalize_forecast",
     f"""{_FORECAST_SQL} select raw_id, cast(position as bigint) as position, observed_at,
     cast(t as double) as temperature, cast(humidity as double) as humidity,
     cast(null as double) as pressure, 'sw' as wind_direction,
@@ -335,7 +335,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     entries = parse.explode_forecast(forecasts(spark, sf))
-    return parse.normalize_bmkg(entries).select(
+    return parse.normalize_forecast(entries).select(
         "raw_id", "position", "observed_at", "temperature", "humidity", "pressure",
         "wind_direction", "wind_speed", "rainfall", "visibility", "cloud_coverage",
         "condition_code", "condition_desc",
@@ -467,7 +467,7 @@ _NEAREST_SQL = f"""{_FORECAST_SQL}, ranked as (
 
 def _nearest(spark, sf):
     entries = parse.explode_forecast(forecasts(spark, sf))
-    return parse.nearest_entry(parse.normalize_bmkg(entries), as_of=F.lit(NEAREST_AS_OF)), entries
+    return parse.nearest_entry(parse.normalize_forecast(entries), as_of=F.lit(NEAREST_AS_OF)), entries
 
 
 @query(
@@ -512,7 +512,7 @@ def _(spark, sf):
     where raw_id % 2 = 0 and raw_id % 4 in (0, 1) and raw_id % 7 <> 0 group by location""",
 )
 def _(spark, sf):
-    return parse.location_names(documents(spark, sf))
+    return parse.location_names(documents(spark, sf), "Forecast")
 
 
 _SEVERITY = """case event_type when 'error' then 'Extreme' when 'click' then 'Severe'
@@ -523,7 +523,7 @@ _ALERTS = f"""with alerts as (select event_id, event_type as event,
 
 
 def _alerts(spark, sf):
-    return alerts.parse_alerts(fixtures.alert_feed(spark, sf), fixtures.alert_documents(spark, sf))
+    return alerts.parse_alerts(fixtures.alert_feed(spark, sf), fixtures.alert_documents(spark, sf), "north")
 
 
 @query(
@@ -733,7 +733,7 @@ def _(spark, sf):
 @query(
     "r1_run_transform",
     f"""{CLEANED} select raw_id, observed_at, location,
-    case when raw_id % 2 = 0 then 'BMKG' else 'Events' end as source, 'SW' as wind_direction,
+    case when raw_id % 2 = 0 then 'Forecast' else 'Events' end as source, 'SW' as wind_direction,
     {sql.doubles(*MEASURES)}, {sql.mean("temperature", _ALL)} as temp_avg, {sql.CLASSES},
     {_T1}, {_T2}, {_A1}, {_PR1} from cleaned""",
 )
@@ -1216,7 +1216,7 @@ def _(spark, sf):
     from coded left join names on location = district""",
 )
 def _(spark, sf):
-    names = parse.location_names(documents(spark, sf))
+    names = parse.location_names(documents(spark, sf), "Forecast")
     nested = queries.locations(warehouse(spark, sf).table("dim_location"), names)
     return nested.select("kecamatan", F.posexplode("kelurahan")).select(
         "kecamatan", "pos", "col.adm4", "col.name"
@@ -1455,9 +1455,7 @@ def _(spark, sf):
       as value from pairs group by point_id""",
 )
 def _(spark, sf):
-    values = spatial.idw(
-        fixtures.points(spark, sf), fixtures.stations(spark, sf), key="point_id"
-    )
+    values = spatial.idw(fixtures.points(spark, sf), fixtures.stations(spark, sf))
     return values.select("point_id", F.round("value", 6).alias("value"))
 
 

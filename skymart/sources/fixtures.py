@@ -82,7 +82,7 @@ def raw_documents(spark: SparkSession, sf_dir: str, *, by_slot: bool = False) ->
     )
     return rows.select(
         "raw_id",
-        F.when(F.col("raw_id") % 2 == 0, F.lit("BMKG")).otherwise(F.lit("Events")).alias("source"),
+        F.when(F.col("raw_id") % 2 == 0, F.lit("Forecast")).otherwise(F.lit("Events")).alias("source"),
         document.alias("raw_json"),
         F.col("slot" if by_slot else "observed_at").alias("observed_at"),
     )
@@ -117,7 +117,7 @@ def forecast_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(_place().alias("lokasi"), days.alias("cuaca"))).alias("data")
     )
     return spread(observations(spark, sf_dir)).select(
-        "raw_id", F.lit("BMKG").alias("source"), F.to_json(document).alias("raw_json"), "observed_at"
+        "raw_id", F.lit("Forecast").alias("source"), F.to_json(document).alias("raw_json"), "observed_at"
     )
 
 
@@ -160,7 +160,7 @@ def alert_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feed document per event with two items; every third event is about the region."""
     events = spread(read_table(spark, sf_dir, "events"))
     number = F.col("event_id").cast("string")
-    region = F.when(F.col("event_id") % 3 == 0, F.lit(" Hujan SUMATERA Utara ")).otherwise(
+    region = F.when(F.col("event_id") % 3 == 0, F.lit(" Rain in the NORTH ")).otherwise(
         F.lit("Jawa Barat")
     )
 

@@ -34,20 +34,39 @@ def violations(warehouse):
     return sum(r.violations for r in checks)
 
 
-def test_quality_messages(frame):
+def test_quality_issues(frame):
     data = rows(4)
     data[0]["temperature"], data[1]["wind_speed"] = None, float("nan")
     df = frame(data)
+    nulls = [quality.Issue(quality.NULLS, name, 1, 4) for name in ("temperature", "wind_speed")]
     assert quality.quality_check(frame(rows(2))) == []
-    assert quality.quality_check(df) == [
-        "Column 'temperature' has 1 nulls (25.0%)", "Column 'wind_speed' has 1 nulls (25.0%)"]
-    assert quality.quality_check(df.drop("temperature"))[0] == "Missing required column: temperature"
+    assert quality.quality_check(df) == nulls
+    assert quality.quality_check(df.drop("temperature"))[0] == quality.Issue(quality.NO_COLUMN, "temperature")
     assert quality.blocks_load(quality.quality_check(df.limit(0)))
     assert not quality.blocks_load(quality.quality_check(df))
     with pytest.raises(quality.QualityError):
         quality.quality_gate(df.drop("source"))
 
 
+def test_names_and_words_do_not_decide(frame):
+    odd = frame(rows(2)).selectExpr("*", "cast(null as string) as missing_reason")
+    issues = quality.quality_check(odd, ["temperature", "missing_reason"])
+    assert [i.column for i in issues] == ["missing_reason"] and not quality.blocks_load(issues)
+
+
+def test_facts_stay_unique_when_the_watermark_is_moved_back(batch, warehouse):
+    data = rows(12)
+    load.load(batch(data), warehouse)
+    first = {r.time_id: r.created_at for r in warehouse.table("fact_weather").collect()}
+    warehouse.set_watermark(data[3]["observed_at"])
+    changed = [{**r, "temperature": 1.0} for r in data] + rows(3, start=data[-1]["observed_at"] + timedelta(hours=1))
+    assert load.load(batch(changed), warehouse).inserted == 11
+    facts = warehouse.table("fact_weather").collect()
+    assert len(facts) == 15 and violations(warehouse) == 0
+    assert {r.time_id: r.created_at for r in facts if r.time_id in first} == first
+    assert sum(float(r.temperature) == 1.0 for r in facts) == 8
+
+
 def test_blocked_loads_publish_nothing(batch, warehouse):
     for bad in (batch(rows(2)).drop("rainfall"), batch(rows(2)).limit(0)):
         with pytest.raises(quality.QualityError):

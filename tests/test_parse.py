@@ -16,7 +16,7 @@ ENTRY = {
 PLACE = {"adm4": "12.71.01.1001", "kecamatan": "Medan Kota", "desa": "Pasar Baru", "lat": 3.5, "lon": 98.6}
 
 
-def documents(spark, *docs, source="BMKG"):
+def documents(spark, *docs, source="Forecast"):
     text = [d if isinstance(d, str) else json.dumps(d) for d in docs]
     return spark.createDataFrame(
         [(i, source, t, datetime(2026, 7, 11)) for i, t in enumerate(text)], RAW
@@ -111,7 +111,7 @@ def test_forecast_entries_and_times(spark):
         {"data": []}, {"data": [{"cuaca": []}]},
     )
     entries = parse.explode_forecast(docs)
-    got = parse.normalize_bmkg(entries).orderBy("position").collect()
+    got = parse.normalize_forecast(entries).orderBy("position").collect()
     assert [r.position for r in got] == [0, 2, 3]
     assert [r.observed_at for r in got] == [
         datetime(2026, 7, 11, 3), datetime(2026, 7, 11, 6, 10), datetime(2026, 7, 12, 3)]
@@ -120,7 +120,7 @@ def test_forecast_entries_and_times(spark):
 
 def _stored(spark, as_of, *entries):
     exploded = parse.explode_forecast(documents(spark, _forecast(list(entries))))
-    near = parse.nearest_entry(parse.normalize_bmkg(exploded), as_of=F.lit(as_of).cast("timestamp"))
+    near = parse.nearest_entry(parse.normalize_forecast(exploded), as_of=F.lit(as_of).cast("timestamp"))
     row = parse.wrap_entry(parse.match_raw_entry(near, exploded)).first()
     return row.observed_at, json.loads(row.raw_json)
 
@@ -144,7 +144,7 @@ def test_location_names_take_one_name_per_code(spark):
     other = {**PLACE, "desa": "Zeta"}
     docs = documents(spark, {"lokasi": PLACE, "cuaca": ENTRY}, {"lokasi": other, "cuaca": ENTRY},
                      {"lokasi": {**PLACE, "adm4": None}, "cuaca": ENTRY})
-    assert [tuple(r) for r in parse.location_names(docs).collect()] == [("12.71.01.1001", "Zeta")]
+    assert [tuple(r) for r in parse.location_names(docs, "Forecast").collect()] == [("12.71.01.1001", "Zeta")]
 
 
 def test_run_transform_end_to_end(spark, tmp_path):

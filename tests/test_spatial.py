@@ -84,7 +84,7 @@ def test_hex_grid_equals_brute_force(spark, shapes):
     assert all(got[k] == pytest.approx(want[k]) for k in want)
 
 
-def test_idw_paths_agree_with_the_definition(spark):
+def test_idw_in_blocks_of_any_size(spark):
     rng = np.random.default_rng(4)
     spots = [(i, float(x), float(y), float(v)) for i, (x, y, v) in enumerate(rng.uniform(0, 5, (37, 3)))]
     spots.append((99, spots[5][1], spots[5][2], 1000.0))  # same place, later in order
@@ -103,12 +103,17 @@ def test_idw_paths_agree_with_the_definition(spark):
         return total / weight
 
     want = {i: definition(x, y) for i, x, y in goals}
-    for options in ({}, {"max_sent": 3, "block_rows": 5}, {"max_sent": 3}):
-        got = {r.id: r.value for r in spatial.idw(targets, stations, key="id", **options).collect()}
-        assert got == pytest.approx(want)
-    for options in ({}, {"max_sent": -1}):
-        none = spatial.idw(targets, stations.limit(0), key="id", **options)
-        assert {r.value for r in none.collect()} == {0.0}
+    odd = spark.createDataFrame(
+        [(-1, None, 1.0, 9.0), (-2, 1.0, None, 9.0), (-3, 1.0, 1.0, None)], stations.schema
+    )
+    more = targets.union(spark.createDataFrame([(600, None, 1.0), (601, 1.0, None)], targets.schema))
+    for rows in (1_000_000, 5, 1):
+        got = spatial.idw(more.union(targets), stations.union(odd), block_rows=rows).collect()
+        assert len(got) == 2 * len(goals) + 2
+        assert {r.id: r.value for r in got if r.id < 600} == pytest.approx(want)
+        assert [r.value for r in got if r.id >= 600] == [None, None]
+    none = spatial.idw(more, odd).collect()
+    assert {r.value for r in none if r.id < 600} == {0.0}
 
 
 def test_round_2_rounds_half_up(spark):
