@@ -34,8 +34,6 @@ LENGTH, GRAM = 400, 100
 SEGMENT, OVER = 1 << 20, LENGTH - 1
 BLOCK = 1 << 20
 ANCHOR_CONTEXTS = 1000
-#: Rows and list entries up to which a table by document is sent to all tasks.
-SENT_ROWS, SENT_ENTRIES = 100_000, 1_000_000
 
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -257,12 +255,6 @@ def _same(left: str, right: str) -> Column:
     )
 
 
-def _sent(by_doc: DataFrame, entries: str) -> DataFrame:
-    """A table by document, broadcast if it is small."""
-    rows, total = by_doc.agg(F.count("*"), F.coalesce(F.sum(F.size(entries)), F.lit(0))).first()
-    return F.broadcast(by_doc) if rows <= SENT_ROWS and total <= SENT_ENTRIES else by_doc
-
-
 def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Bytes of the contexts ``wanted`` (place, anchor, c1, c2), from the texts."""
     one = F.struct("place.first", "place.last", "anchor", "c1", "c2")
@@ -281,7 +273,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     names=["anchor", "c1", "c2", "bytes"],
                 )
 
-    joined = docs.alias("d").join(_sent(by_doc, "runs").alias("w"), _same("d", "w")).select("d.text", "w.runs")
+    joined = docs.alias("d").join(by_doc.alias("w"), _same("d", "w")).select("d.text", "w.runs")
     found = joined.mapInArrow(run, "anchor bigint, c1 bigint, c2 bigint, bytes binary")
     # A row that is there twice gives its contexts twice.
     return keep(found.dropDuplicates(["anchor", "c1", "c2"]), "contexts")
@@ -334,7 +326,7 @@ def dedup(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    joined = docs.alias("d").join(_sent(by_doc, "ranges").alias("r"), _same("d", "r"), "left")
+    joined = docs.alias("d").join(by_doc.alias("r"), _same("d", "r"), "left")
     return joined.select("d.doc_id", "d.text", "r.ranges").mapInArrow(
         run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
     )

@@ -58,12 +58,6 @@ def test_against_brute_force(documents, monkeypatch, limit):
     assert found(suffix_dedup.dedup(documents(rows).repartition(3))) == brute(rows)
 
 
-def test_joins_by_shuffle(documents, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SENT_ROWS", 0)
-    rows = corpus()[:45]
-    assert found(suffix_dedup.dedup(documents(rows))) == brute(rows)
-
-
 def test_segments_of_long_texts(monkeypatch):
     from skymart.llm.common import text_buffer
     import pyarrow as pa
