@@ -273,9 +273,11 @@ def _write_dimensions(
         warehouse.table(name, snapshot=base) for name in ("dim_time", "dim_location", "dim_weather")
     )
     locations = upsert_dim_location(places, batch, city)
+    known = base.tables.get("dim_location")
+    changed = not known or not locations.exceptAll(places).isEmpty()
     return {
         "dim_time": _grow(warehouse, base, "dim_time", new_dim_time(times, batch)),
-        "dim_location": warehouse.write(locations, "dim_location"),
+        "dim_location": warehouse.write(locations, "dim_location") if changed else known,
         "dim_weather": _grow(warehouse, base, "dim_weather", extend_dim_weather(weather, batch)),
     }
 

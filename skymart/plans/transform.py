@@ -38,10 +38,14 @@ def observed(df: DataFrame) -> tuple[DataFrame, RunCounters]:
     return watched, RunCounters(counters)
 
 
-def cleaned_observations(raw: DataFrame, *, include_openweather: bool = False) -> DataFrame:
-    """P2 and C7."""
-    parsed = parse_raw_json(raw, include_openweather=include_openweather)
-    return parsed.transform(clean).transform(standardize)
+def cleaned_observations(
+    raw: DataFrame, *, include_openweather: bool = False, given: str | None = None
+) -> DataFrame:
+    """P2 and C7. ``given`` names a further column: the location as the source wrote it."""
+    cleaned = parse_raw_json(raw, include_openweather=include_openweather).transform(clean)
+    if given is not None:
+        cleaned = cleaned.withColumn(given, F.col("location"))
+    return cleaned.transform(standardize)
 
 
 def run_transform(

@@ -85,11 +85,14 @@ def with_weather(facts: DataFrame, star: Star, *columns: str) -> DataFrame:
 def latest_per_district(star: Star, rows: int, *location_columns: str) -> DataFrame:
     """The newest ``rows`` facts per district, ranked 1 upward.
 
-    The rank filter limits every group before the shuffle.
+    Ranked by location before the join, so the whole fact meets neither the dimension nor a shuffle:
+    the rank filter limits every group in the task that reads it. Few rows are ranked again.
     """
+    own = Window.partitionBy("location_id").orderBy(F.desc("time_id"))
     newest = Window.partitionBy("district").orderBy(F.desc("time_id"), "location_id")
+    latest = star.fact.withColumn("rn", F.row_number().over(own)).where(F.col("rn") <= rows)
     return (
-        with_district(star.fact, star, *location_columns)
+        with_district(latest.drop("rn"), star, *location_columns)
         .withColumn("rn", F.row_number().over(newest))
         .where(F.col("rn") <= rows)
     )

@@ -1,7 +1,11 @@
 """Incremental ingest of raw files (ST1-ST3).
 
 A batch run recomputes the features of the whole history. The stream keeps per-location running
-totals instead and gives the same facts: a batch costs what its new rows cost.
+totals instead: the fact history is not read again. A micro-batch still rewrites the totals and the
+location dimension, whose sizes are numbers of locations, and reads the time dimension.
+
+Of rows with one location (as written) and time, the first to arrive counts; within a micro-batch the
+smallest raw_id. So the facts are those of a batch run if raw ids rise with arrival.
 """
 
 from __future__ import annotations
@@ -24,6 +28,10 @@ from skymart.session import materialize, shared_dir
 from skymart.sources.warehouse import Warehouse
 
 
+#: Column with the location before standardization.
+GIVEN = "__given_location"
+
+
 @dataclass(frozen=True)
 class BatchResult:
     load: LoadResult
@@ -110,7 +118,7 @@ def ingest_batch(
     base = warehouse.snapshot()
     stage = f"{shared_dir(warehouse.spark)}/stage-{uuid.uuid4().hex}"
     try:
-        rows = materialize(cleaned_observations(raw), f"{stage}/cleaned")
+        rows = materialize(cleaned_observations(raw, given=GIVEN), f"{stage}/cleaned")
         late = late_rows(rows, base.watermark)
         summary = late.agg(
             F.count(F.lit(1)).alias("late"), F.collect_set(F.to_date("observed_at")).alias("days")
@@ -118,7 +126,8 @@ def ingest_batch(
         unseen = rows
         if summary["late"]:
             seen = warehouse.table("seen_keys", snapshot=base, dates=summary["days"])
-            keys = ["location", "observed_at"]
+            seen = seen.withColumnRenamed("location", GIVEN)
+            keys = [GIVEN, "observed_at"]
             fresh = rows.where(F.col("observed_at") > F.lit(base.watermark))
             unseen = fresh.unionByName(late.join(seen.select(*keys), keys, "left_anti"))
             unseen = materialize(unseen, f"{stage}/unseen")
@@ -132,14 +141,15 @@ def ingest_batch(
         )
         totals_dirs = warehouse.write(totals, "location_stats")
         totals = warehouse.spark.read.schema(totals.schema).parquet(*totals_dirs)
+        # Copies are told by the location as written, as in the batch run.
         keyed = unseen.select(
-            "location", "observed_at", F.to_date("observed_at").alias("date")
+            F.col(GIVEN).alias("location"), "observed_at", F.to_date("observed_at").alias("date")
         ).where(F.col("observed_at").isNotNull())
         extra = {
             "location_stats": totals_dirs,
             "seen_keys": base.tables.get("seen_keys", []) + warehouse.write(keyed, "seen_keys"),
         }
-        features = classify(with_running_features(unseen, totals), settings)
+        features = classify(with_running_features(unseen.drop(GIVEN), totals), settings)
         result = load(features, warehouse, city=city, extra=extra, base=base)
         return BatchResult(result, summary["late"], repeated)
     finally:
