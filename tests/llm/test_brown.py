@@ -8,6 +8,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from document_rows import documents  # noqa: F401
+
 from skymart.llm import brown, catalog
 
 SF = "/root/testdata/sf0.01"

@@ -7,6 +7,8 @@ import pyarrow as pa
 import pytest
 from compare import difference, duck
 
+from document_rows import documents  # noqa: F401
+
 from skymart.llm import catalog, near_dup
 from skymart.llm.components import components
 

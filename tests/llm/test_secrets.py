@@ -7,6 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from document_rows import documents  # noqa: F401
+
 from skymart.llm import catalog, secrets
 from skymart.llm.secrets import BASE_RULES, Rule, find
 

@@ -10,6 +10,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from document_rows import documents  # noqa: F401
+
 from skymart.llm import packing, token_file
 from skymart.llm.tokens import Encoder, default_path
 
