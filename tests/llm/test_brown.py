@@ -110,3 +110,37 @@ def test_held_out_texts_are_more_likely_than_by_word_counts(spark):
         assert r.base_score == pytest.approx(wanted[r.doc_id][3])
     held = got[got.held_out]
     assert held.score.sum() / held.n_tokens.sum() > held.base_score.sum() / held.n_tokens.sum() + 0.2
+
+
+def test_best_classes_are_those_of_one_word_at_a_time():
+    rng = np.random.default_rng(3)
+    width, n = 9, 60
+    matrix = rng.integers(20, 400, (width, width)).astype(float)
+    own = rng.integers(0, width - 1, n)
+    after, before = (rng.integers(0, 3, (n, width)) * rng.integers(0, 4, (n, width)).astype(float) for _ in range(2))
+    after[0] = before[1] = 0
+    wanted = []
+    for c, a, b in zip(own, after, before):
+        rest = matrix.copy()
+        rest[c] -= a
+        rest[:, c] -= b
+        wanted.append(brown.best_class(np.maximum(rest, 0), a, b, width - 1))
+    assert brown.best_classes(matrix, own, after, before, width - 1).tolist() == wanted
+
+
+def test_infrequent_words_are_classed_by_their_neighbours(documents):
+    # All words of one spelling group; half stand between a and b, half between b and a.
+    ring = [f"r{i}zz" for i in range(20)]
+    texts = [f"a {w} b" if i % 2 else f"b {w} a" for i, w in enumerate(ring)] * 4
+    rows = list(enumerate([*texts, *["a x1 b", "b x2 a"] * 40, "a r_once_zz b"]))
+    key = {w: brown.tokens(pa.array([w]))[0][0] for w in ["a", "b", "x1", "x2", *ring]}
+    frequent = np.array([key[w] for w in ("a", "b", "x1", "x2")], np.uint64)
+    order = np.argsort(frequent)
+    units = brown.Units(frequent[order], 1 + brown.ENDINGS + np.arange(4)[order])
+    # x1 is of class 2, x2 of class 3, all groups of class 4.
+    classes = np.array([5, *[4] * brown.ENDINGS, 0, 1, 2, 3])
+    chunks = brown.chunked(documents(rows).repartition(4), F.lit(True))
+    matrix = brown._matrix(brown._pairs(chunks, units), classes, 6)
+    placed = brown.word_classes(brown._contexts(chunks, units, classes, 6), classes, matrix).collect()
+    wanted = {int(key[w].view(np.int64)): 2 if i % 2 else 3 for i, w in enumerate(ring)}
+    assert {r["key"]: r["class"] for r in placed} == wanted and len(placed) == len(wanted)
