@@ -5,15 +5,15 @@ the bucket, and a bucket keeps, of its smallest remaining hash, the number of le
 ten bits behind the first one, in 16 bits. Empty buckets take another's register for banding. Documents with equal sets are one class, held by the
 smallest id, and only classes go on:
 
-1. Bands of seven registers are buckets of candidates. In each, every member is paired with the
+1. Bands of six registers are buckets of candidates. In each, every member is paired with the
    smallest id only, so a group of any size gives as many pairs as members.
 2. Pairs pass the size bound and the Jaccard estimate from their registers, corrected for registers
-   that agree by chance, with 4.5 standard deviations of slack; then the full sets are compared.
+   that agree by chance, with five standard deviations of slack; then the full sets are compared.
 3. Links give components. Members of one bucket that are in different components after that are
    checked against each other as well (by registers first, in blocks where a bucket is large), so
    no pair of a bucket is left unchecked unless already connected.
 
-For a pair at a similarity of 0.8 the chance to share none of the 48 bands is about 1 in 80,000, and
+For a pair at a similarity of 0.8 the chance to share none of the 56 bands is about 4 in 100 million, and
 links through other documents make up for most of these.
 
 Null or empty texts, and texts without words, have no set and no link. A text with fewer words than
@@ -35,11 +35,11 @@ from skymart.llm import words
 from skymart.llm.common import keep, text_buffer
 from skymart.llm.components import components
 
-BANDS, BAND_SIZE, MANTISSA = 48, 7, 10
+BANDS, BAND_SIZE, MANTISSA = 56, 6, 10
 BUCKETS = BANDS * BAND_SIZE
 EMPTY = np.uint16(0xFFFF)
 #: Standard deviations of the estimate by which a pair may miss the threshold and still be confirmed.
-SLACK = 4.5
+SLACK = 5
 #: Members up to which a bucket's pairs are listed; of larger ones, blocks are compared in tasks.
 LISTED, BLOCK = 16, 512
 #: Ids sent to all tasks to pick the texts of candidates; more of them are joined by a shuffle.
@@ -144,12 +144,11 @@ def estimate(a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> tu
 def likely(a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray, percent: int) -> np.ndarray:
     """Which register rows may belong to sets that are similar enough.
 
-    Registers are a sample without replacement of the union, whose size at the threshold is known.
+    The spread is that of independent draws, which is more than that of registers.
     """
     guess, count = estimate(a, b, n1, n2)
     share = percent / 100
-    union = np.maximum((n1 + n2) / (1 + share), 2.0)
-    spread = share * (1 - share) / np.maximum(count, 1) * np.clip((union - count) / (union - 1), 0.02, 1)
+    spread = share * (1 - share) / np.maximum(count, 1)
     return (guess >= share - SLACK * np.sqrt(spread)) & (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2))
 
 

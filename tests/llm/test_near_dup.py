@@ -131,3 +131,18 @@ def test_components_of_a_long_chain(spark):
 def test_query_against_sql(spark):
     result = catalog.op6_near_dup(spark, SF).toPandas()
     assert difference(result, duck(SF).execute(catalog.ORACLES["op6_near_dup"]).df()) is None
+
+
+def test_recall_at_the_threshold():
+    assert (1 - 0.8**near_dup.BAND_SIZE) ** near_dup.BANDS < 4e-6
+    # Registers that miss the threshold by nearly five deviations of independent draws still pass.
+    a = np.zeros((1, near_dup.BUCKETS), np.uint16)
+    b, n = a.copy(), np.array([1e6])
+    short = 4.9 * (0.8 * 0.2 / near_dup.BUCKETS) ** 0.5
+    b[0, : int((0.2 + short) * near_dup.BUCKETS)] = 1
+    assert near_dup.likely(a, b, n, n, 80).all()
+    few = np.array([near_dup.BUCKETS * 1.0])
+    random = near_dup.chance(few, few)[0]
+    b[:] = 0
+    b[0, : int((0.2 + short) * (1 - random) * near_dup.BUCKETS)] = 1
+    assert near_dup.likely(a, b, few, few, 80).all()
