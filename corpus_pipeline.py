@@ -43,9 +43,16 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 @shipped
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each near-duplicate group."""
-    gone = near_dup.near_duplicates(docs).filter("not kept").select("doc_id")
-    return _without(docs, gone, F.col("d.doc_id") == F.col("g.doc_id"), "copies")
+    """Keep one row of each near-duplicate group, one with the smallest id; null ids come last.
+
+    Rows are told apart by a written key in the order of ids, so rows that repeat an id and rows
+    without one are compared as well.
+    """
+    ordered = docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    rows = keep(ordered.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = near_dup.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"))
+    gone = found.filter("not kept").select("doc_id")
+    return _without(rows, gone, F.col("d.__row") == F.col("g.doc_id"), "copies").select(*docs.columns)
 
 
 @shipped

@@ -96,3 +96,13 @@ def test_run_gives_the_last_stage(spark, steps):
 def test_empty(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select(*COLUMNS).limit(0)
     assert run_stages(spark, docs, tmp_path)[-1][2] == []
+
+
+def test_near_dedup_keeps_one_of_repeated_rows_and_of_copies_without_id(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(30)) for w in "abc")
+    rows = [(5, one), (5, one), (7, one), (None, two), (None, two), (None, one), (8, three), (None, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "x", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    after = corpus_pipeline.near_deduplication(spark, docs.repartition(3), SF)
+    assert after.columns == COLUMNS
+    wanted = [(5, one), (None, two), (8, three), (None, None), (9, "")]
+    assert sorted(((r.doc_id, r.text) for r in after.collect()), key=str) == sorted(wanted, key=str)
