@@ -34,6 +34,8 @@ from skymart.llm.common import text_buffer
 
 PER_LANG = 1500
 MAX_LANGS = 500
+#: Labelled texts from which a language gives some to calibration; all texts of rarer ones are learned.
+LEAST_CHECKED = 20
 UNKNOWN = "und"
 ORDER = 4
 SIGN_BITS = 16
@@ -198,8 +200,9 @@ def _chosen(docs: DataFrame, learn: Column) -> DataFrame:
     shares = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, PER_LANG / r["count"]))))
     draw = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.try_element_at(shares, F.col("lang"))
+    enough = F.col("lang").isin([r["lang"] for r in counts if r["count"] >= LEAST_CHECKED])
     return rows.filter(share.isNotNull() & (draw("sample") < share)).select(
-        "lang", F.col("text").cast("string").alias("text"), (draw("check") < 0.2).alias("check")
+        "lang", F.col("text").cast("string").alias("text"), (enough & (draw("check") < 0.2)).alias("check")
     )
 
 

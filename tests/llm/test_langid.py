@@ -126,3 +126,9 @@ def test_held_out_accuracy(spark):
     for r in got.join(docs, "doc_id").collect():
         right[r.lang_pred == r.lang] += 1
     assert right[True] / (right[True] + right[False]) > 0.99
+
+
+def test_languages_with_few_labelled_texts_are_learned(spark):
+    rows = [(i, (LEFT + RIGHT)[i % 6] * 20, f"l{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len(langid.fit(docs, F.lit(True)).langs) == 40
