@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymart.llm import brown, decontaminate, langid, line_dedup, near_dup, packing, secrets, suffix_dedup, token_file, topk
+from skymart.llm import (
+    brown,
+    collocations,
+    decontaminate,
+    langid,
+    line_dedup,
+    near_dup,
+    packing,
+    secrets,
+    suffix_dedup,
+    token_file,
+    topk,
+)
 from skymart.llm.common import scratch, table
 from skymart.llm.ship import shipped
 
@@ -107,6 +119,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents"))
+    return found.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: shipped(query)
     for query in (
@@ -120,6 +137,7 @@ QUERIES: dict[str, Query] = {
         op8_suffix_dedup,
         op9_language_id,
         op10_line_dedup,
+        op11_collocations,
     )
 }
 
@@ -251,7 +269,48 @@ select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_repeated, 0) as n_r
 from documents d left join by_doc using (doc_id)
 """
 
+OP11_SQL = """
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents where text is not null
+), words as materialized (
+    select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') as w from pieces
+), spans as (
+    select lang, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') as phrase
+    from (select lang, k, w, unnest(range(1, len(w) - k + 2)) as i
+          from words, (select unnest(range(1, 6)) as k) where len(w) >= k)
+), totals as (
+    select lang, cast(sum(len(w)) as hugeint) as n from words group by lang
+), counts as materialized (
+    select lang, k, phrase, cast(count(*) as hugeint) as f from spans group by all having count(*) >= 100
+), cuts as (
+    select lang, k, phrase, f as a, string_split(phrase, ' ') as w, unnest(range(1, k)) as c from counts where k > 1
+), scores as (
+    select x.lang, x.k, x.phrase, a, c, p.f as l, q.f as r, n, (1000 * a * n) // (p.f * q.f) as score
+    from cuts x join totals t on t.lang = x.lang
+    join counts p on p.lang = x.lang and p.phrase = list_aggregate(w[1:c], 'string_agg', ' ')
+    join counts q on q.lang = x.lang and q.phrase = list_aggregate(w[c + 1:], 'string_agg', ' ')
+), best as (
+    select * from scores qualify row_number() over (partition by lang, phrase order by score, c) = 1
+), inner_spans as (
+    select lang, f, list_aggregate(w[i:i + m - 1], 'string_agg', ' ') as phrase
+    from (select lang, f, w, m, unnest(range(1, k - m + 2)) as i
+          from (select lang, k, f, string_split(phrase, ' ') as w, unnest(range(2, k)) as m from counts where k > 2))
+), covers as (
+    select lang, phrase, max(f) as most from inner_spans group by all
+), kept as (
+    select b.* from best b left join covers c on c.lang = b.lang and c.phrase = b.phrase
+    where most is null or 100 * most < 100 * a
+)
+select lang, rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r,
+       cast(n as bigint) as n, cast(score as bigint) as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+where rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_collocations": OP11_SQL,
     "op10_line_dedup": OP10_SQL,
     "op1_decontamination": OP1_SQL,
     "op5_topk": OP5_SQL,
