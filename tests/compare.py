@@ -60,20 +60,21 @@ def difference(spark_df: pd.DataFrame, duck_df: pd.DataFrame) -> str | None:
 
 
 def main(argv: list[str]) -> int:
-    from skymart.plans.catalog import ORACLES, QUERIES
+    from __spark_entry__ import oracle_sql, queries
     from skymart.session import local_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     prefixes = tuple(argv[1:])
     spark, con, failed = local_session("8"), duck(sf_dir), 0
-    for name, run in QUERIES.items():
+    oracles = oracle_sql()
+    for name, run in queries().items():
         if prefixes and not name.startswith(prefixes):
             continue
         start = time.time()
         try:
             result = run(spark, sf_dir).toPandas()
             took = time.time() - start
-            expected = con.execute(ORACLES[name]).df() if name in ORACLES else None
+            expected = con.execute(oracles[name]).df() if name in oracles else None
             problem = "no oracle" if expected is None else difference(result, expected)
         except Exception as error:  # report and go on with the next query
             problem, took, result = f"{type(error).__name__}: {str(error)[:600]}", 0.0, []
