@@ -13,8 +13,10 @@ from skymart.llm import (
     decontaminate,
     langid,
     line_dedup,
+    mixing,
     near_dup,
     packing,
+    periodic_runs,
     secrets,
     suffix_dedup,
     token_file,
@@ -124,6 +126,40 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
+def _repeated_from(doc_id: Column, text: Column) -> Column:
+    """Text with a periodic stretch set in: word i >= a is word a + (i - a) % p for a tenth of the ids."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    w = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    n = F.size(w).cast("bigint")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+    changed = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, place(i).cast("int"))), " ")
+    return F.when((h % 10 == 0) & (n > 0), changed).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs.periodic_runs(docs.select("doc_id", _repeated_from(F.col("doc_id"), F.col("text")).alias("text")))
+    listed = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces, documents = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.taken(pieces, documents).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: shipped(query)
     for query in (
@@ -138,6 +174,8 @@ QUERIES: dict[str, Query] = {
         op9_language_id,
         op10_line_dedup,
         op11_collocations,
+        op12_periodic_runs,
+        op13_mixing,
     )
 }
 
@@ -309,7 +347,39 @@ from (select *, row_number() over (partition by lang order by score desc, a desc
 where rank <= 2000
 """
 
+OP13_SQL = """
+with sized as (
+    select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as hugeint) as size,
+           md5(concat_ws(':', coalesce(cast(doc_id as varchar), '-'), md5(coalesce(text, '')))) as at
+    from documents
+), placed as (
+    select *, coalesce(sum(size) over (partition by source order by at, doc_id
+                                       rows between unbounded preceding and 1 preceding), 0) as start
+    from sized
+), sources as (
+    select source, sum(size) as s, (row_number() over (order by source nulls last) - 1) % 3 + 1 as w
+    from sized group by source
+), ranked as (
+    -- sources in the order in which three times their size binds
+    select *, row_number() over (order by 6 * s // w, w) as i, sum(s) over () as t from sources
+), steps as (
+    select i, w, s, t - 3 * (sum(s) over (order by i) - s) as share, sum(w) over (order by i desc) as parts from ranked
+), chosen as (
+    select share, parts, i from steps where w * share <= 3 * s * parts order by i limit 1
+), targets as (
+    select r.source, r.s, case when r.i < c.i then cast(3 * r.s as double)
+                               else cast(r.w * c.share as double) / cast(c.parts as double) end as target,
+           case when r.i < c.i then 3 * r.s else (r.w * c.share) // c.parts end as take
+    from ranked r, chosen c
+)
+select doc_id, cast(size as bigint) as size, cast(s as bigint) as source_size, target,
+       cast(case when size = 0 then 0
+                 else (take // s) * size + greatest(0, least(size, take % s - start)) end as bigint) as taken
+from placed p join targets x on x.source is not distinct from p.source
+"""
+
 ORACLES: dict[str, str] = {
+    "op13_mixing": OP13_SQL,
     "op11_collocations": OP11_SQL,
     "op10_line_dedup": OP10_SQL,
     "op1_decontamination": OP1_SQL,
