@@ -350,10 +350,10 @@ where rank <= 2000
 OP13_SQL = """
 with sized as (
     select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as hugeint) as size,
-           md5(concat_ws(':', coalesce(cast(doc_id as varchar), '-'), md5(coalesce(text, '')))) as at
+           md5(concat_ws(':', coalesce(cast(doc_id as varchar), '-'), md5(coalesce(text, '')))) as shuffled
     from documents
 ), placed as (
-    select *, coalesce(sum(size) over (partition by source order by at, doc_id
+    select *, coalesce(sum(size) over (partition by source order by shuffled, doc_id
                                        rows between unbounded preceding and 1 preceding), 0) as start
     from sized
 ), sources as (

@@ -5,12 +5,13 @@ spaces and tabs. Everything is counted per language; a null language is ``und``.
 
 1. Every occurrence of one to five words has a 48-bit key, and the key's leading part names one of
    the hash partitions. A first pass adds up the mass (occurrences) of each partition.
-2. Misra-Gries summaries: a task sorts some millions of keys at a time and keeps, per partition,
-   ``capacity`` counters at most, where capacity exceeds mass divided by threshold. If there are
-   more, the (capacity + 1)st largest count is taken off all. Summaries of one partition are merged
-   the same way. All that is taken off a counter is then below the threshold, so every phrase
-   that reaches the threshold keeps a counter. What was taken off is added up and sent along, and
-   keys that can't reach the threshold with it go.
+2. Misra-Gries summaries: a task sorts some millions of keys at a time and counts them. These are
+   summaries from which nothing had to be taken off: capacity grows with the mass of all data and a
+   block of keys does not, so reducing them would save bytes on small inputs only. Summaries of one
+   partition are merged: counts of equal keys are added, and whenever more than ``capacity`` counters
+   are there, the (capacity + 1)st largest count is taken off all. Capacity exceeds mass divided by
+   threshold, so what is taken off a counter in total stays below the threshold, and every phrase
+   that reaches the threshold keeps one. Counters that can't reach it with what was taken off go.
 3. The second pass counts exactly. A bitmap of a size fixed beforehand keeps most other phrases out
    of the shuffle (it lets some pass, and never loses one); phrases are then counted as such, so
    neither equal keys nor the bitmap change a result. Phrases below the threshold go.
@@ -20,8 +21,8 @@ spaces and tabs. Everything is counted per language; a null language is ``und``.
 5. A candidate goes if a longer one that holds it has ``covered`` per cent of its count. Counts never
    grow with length, so it is enough to look at those longer by one word.
 
-A hash partition is read as a stream; its summary holds no more counters than its capacity twice,
-nor than there are different keys. Hot phrases arrive as one counter per sorted block.
+A hash partition is read as a stream of short lists of counters; what a task holds is bounded by the
+capacity. Hot phrases arrive as one counter per block.
 
 Null texts are empty, without words. Repeated rows, null ids and equal ids are documents like any
 other. A very long text is cut behind white space; phrases across a cut are counted once. Ties go to
@@ -43,10 +44,12 @@ from skymart.llm import words
 from skymart.llm.common import keep, text_buffer
 
 LONGEST, THRESHOLD, COVERED, TOP = 5, 100, 100, 2000
-#: Bytes of text for each hash partition; there are at least as many as shuffle partitions.
-PARTITION_BYTES = 64 << 20
-#: Keys sorted at a time, bytes of text taken at a time by the two passes.
-BLOCK_KEYS, SLICE_BYTES, COUNTED_BYTES = 4 << 20, 1 << 20, 6 << 20
+#: Bytes of text for each hash partition, and the least number of them per shuffle partition.
+PARTITION_BYTES, LEAST_PARTITIONS = 256 << 20, 4
+#: Keys sorted at a time, and counters sent in one row.
+BLOCK_KEYS, ROW_KEYS = 8 << 20, 1024
+#: Bytes of text taken at a time by the two passes.
+SLICE_BYTES, COUNTED_BYTES = 1 << 20, 6 << 20
 KEY_BITS = 48
 #: The bitmap has about 32 bits for each key, and no more than 2 ** 28 (32 MB) for any number of them.
 BITMAP_BITS = (20, 28)
@@ -56,6 +59,9 @@ _CLASS = np.zeros(256, np.uint8)
 _CLASS[[9, 32]] = _SPACE
 _CLASS[[*b".,;:!?", 10, 11, 12, 13]] = _BREAK
 _ODD = np.uint64(0x9FB21C651E98DF25)
+_SUMMARY = pa.schema(
+    [("partition", pa.int64()), ("n", pa.int64()), ("first", pa.int64()), ("steps", pa.binary()), ("counts", pa.binary())]
+)
 
 
 @dataclass
@@ -187,14 +193,17 @@ def reduced(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.nda
     return keys[left], counts[left] - off, off
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of equal weight side by side, which compress well."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+def _packed(values: np.ndarray) -> bytes:
+    """As many bytes for each value as the largest needs, bytes of equal weight side by side."""
+    width = max((int(values.max()).bit_length() + 7) // 8, 1)
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def _from_planes(raw: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+def _unpacked(raw: memoryview, n: int) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(-1, n)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, : len(planes)] = planes.T
+    return out.reshape(-1).view("<u8")
 
 
 def masses(texts: DataFrame, partitions: int) -> DataFrame:
@@ -212,8 +221,8 @@ def masses(texts: DataFrame, partitions: int) -> DataFrame:
     return found.groupBy("partition").agg(F.sum("mass").alias("mass"))
 
 
-def _summaries(texts: DataFrame, capacity: dict[int, int], partitions: int, block_keys: int) -> DataFrame:
-    sent = texts.sparkSession.sparkContext.broadcast(capacity)
+def _summaries(texts: DataFrame, partitions: int, block_keys: int) -> DataFrame:
+    """partition, n, steps between sorted keys, counts: the counters of a block, some at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys in _blocks(batches, block_keys):
@@ -221,62 +230,76 @@ def _summaries(texts: DataFrame, capacity: dict[int, int], partitions: int, bloc
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             counts = np.diff(np.append(first, len(keys)))
             keys = keys[first]
-            bounds = np.searchsorted(partition_of(keys, partitions), np.arange(partitions + 1))
+            bounds = np.searchsorted(partition_of(keys, partitions), np.arange(partitions + 1)).tolist()
             rows = []
-            for p in np.flatnonzero(np.diff(bounds)).tolist():
-                own = slice(bounds[p], bounds[p + 1])
-                k, c, off = reduced(keys[own], counts[own], sent.value[p])
-                steps = np.diff(k, prepend=np.uint64(0))
-                rows.append((p, off, _planes(steps), _planes(c.astype(np.uint32))))
-            columns = zip(*rows)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["partition", "off", "steps", "counts"]
-            )
+            for p, (a, b) in enumerate(zip(bounds, bounds[1:])):
+                for at in range(a, b, ROW_KEYS):
+                    stop = min(at + ROW_KEYS, b)
+                    steps = np.diff(keys[at:stop])
+                    packed = _packed(steps) if stop > at + 1 else b""
+                    rows.append((p, stop - at, int(keys[at]), packed, _packed(counts[at:stop])))
+                    if len(rows) == 1000 or stop == bounds[-1]:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, f.type) for c, f in zip(zip(*rows), _SUMMARY)], schema=_SUMMARY
+                        )
+                        rows = []
+
+    return texts.mapInArrow(run, "partition bigint, n bigint, first bigint, steps binary, counts binary")
+
+
+class _Summary:
+    """The merged counters of one hash partition."""
+
+    def __init__(self, capacity: int):
+        self.capacity, self.off, self.waiting = capacity, 0, 0
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.more: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.more.append((keys, counts))
+        self.waiting += len(keys)
+        if self.waiting > max(len(self.keys), 1 << 18):
+            self.merge()
+
+    def merge(self) -> None:
+        keys, counts = distinct(
+            np.concatenate([self.keys, *(m[0] for m in self.more)]),
+            np.concatenate([self.counts, *(m[1] for m in self.more)]),
+        )
+        self.keys, self.counts, off = reduced(keys, counts, self.capacity)
+        self.off += off
+        self.more, self.waiting = [], 0
 
-    return texts.mapInArrow(run, "partition bigint, off bigint, steps binary, counts binary")
+    def survivors(self, threshold: int) -> np.ndarray:
+        self.merge()
+        return self.keys[self.counts + self.off >= threshold]
 
 
 def _survivors(summaries: DataFrame, capacity: dict[int, int], threshold: int) -> DataFrame:
     """Keys whose phrases may reach the threshold."""
     sent = summaries.sparkSession.sparkContext.broadcast(capacity)
 
-    def left(keys, counts, off) -> pa.RecordBatch:
-        kept = keys[counts + off >= threshold]
-        return pa.RecordBatch.from_arrays([pa.array(kept.view(np.int64))], names=["key"])
+    def batch_of(summary: _Summary) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(summary.survivors(threshold).view(np.int64))], names=["key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, off = None, 0
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        more: list[tuple[np.ndarray, np.ndarray]] = []
-        waiting = 0
-
-        def merged() -> tuple[np.ndarray, np.ndarray, int]:
-            k, c = distinct(
-                np.concatenate([keys, *(m[0] for m in more)]), np.concatenate([counts, *(m[1] for m in more)])
-            )
-            return reduced(k, c, sent.value[here])
-
+        here, summary = None, None
         for batch in batches:
-            for p, took, steps, n in zip(*(c.to_pylist() for c in batch.columns)):
-                if p != here:
-                    if here is not None:
-                        keys, counts, less = merged()
-                        yield left(keys, counts, off + less)
-                    here, off, more, waiting = p, 0, [], 0
-                    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-                off += took
-                more.append((np.cumsum(_from_planes(steps, np.uint64)), _from_planes(n, np.uint32).astype(np.int64)))
-                waiting += len(more[-1][0])
-                if waiting > max(len(keys), 1 << 18):
-                    keys, counts, less = merged()
-                    off, more, waiting = off + less, [], 0
-        if here is not None:
-            keys, counts, less = merged()
-            yield left(keys, counts, off + less)
-
-    dealt = summaries.repartition("partition").sortWithinPartitions("partition")
-    return dealt.select("partition", "off", "steps", "counts").mapInArrow(run, "key bigint")
+            partition, n, first = (batch.column(i).to_numpy() for i in range(3))
+            for row in range(batch.num_rows):
+                if partition[row] != here:
+                    if summary:
+                        yield batch_of(summary)
+                    here = partition[row]
+                    summary = _Summary(sent.value[int(here)])
+                keys = np.full(n[row], first[row], np.uint64)
+                if n[row] > 1:
+                    keys[1:] += np.cumsum(_unpacked(batch.column(3)[row].as_buffer(), int(n[row]) - 1), dtype=np.uint64)
+                summary.add(keys, _unpacked(batch.column(4)[row].as_buffer(), int(n[row])).astype(np.int64))
+        if summary:
+            yield batch_of(summary)
+
+    return summaries.repartition("partition").sortWithinPartitions("partition").mapInArrow(run, "key bigint")
 
 
 def _bitmap(keys: DataFrame) -> tuple[np.ndarray, int]:
@@ -387,11 +410,11 @@ def frequent(
     ).filter("text <> ''")
     if partitions is None:
         size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+        least = LEAST_PARTITIONS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(least, -(-size // PARTITION_BYTES))
     rows = masses(texts, partitions).collect()  # one row per hash partition
     capacity = {r["partition"]: r["mass"] // threshold + 1 for r in rows}
-    summaries = _summaries(texts, capacity, partitions, block_keys)
-    keys = keep(_survivors(summaries, capacity, threshold), "phrase-keys")
+    keys = keep(_survivors(_summaries(texts, partitions, block_keys), capacity, threshold), "phrase-keys")
     return keep(counted(texts, keys).filter((F.col("f") >= threshold) | (F.col("size") == 0)), "phrases")
 
 
