@@ -1,8 +1,13 @@
 """Row-frame windows over time that stay balanced when one key holds most of the rows.
 
 ``partitionBy(key)`` puts the whole history of a key into one task. A trailing frame only looks a
-few rows back, so a long history can be cut into time chunks: every chunk is computed on its own,
-after receiving the last rows of the chunks before it.
+few rows back, so a long history can be cut into slices: every slice is computed on its own, after
+receiving the last rows of the slices before it.
+
+Slices are cut at row quantiles, wherever in time the rows lie. A sample of the order keys, drawn by
+hash, is ranked within each key; every so many sampled rows make a cut. A row finds its slice by
+binary search in the cuts of its key. Everything is part of the plan: nothing runs while it is built,
+and where no key is long the cuts are empty and adaptive execution drops the rest.
 """
 
 from __future__ import annotations
@@ -12,46 +17,60 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-#: A key is cut only above this many rows, into chunks of about this size.
-MIN_CHUNK_ROWS = 1_000_000
-#: Only this many of the largest keys are cut, which bounds the list of them. A key left whole
-#: then holds at most ``total / MAX_HOT_KEYS`` rows. What is cut never changes results.
-MAX_HOT_KEYS = 100_000
-#: Rows with a null key have no timeline; they are spread over this many groups.
+#: Rows of a slice, about; shorter time lines stay whole. Where cuts are placed never changes results.
+SLICE_ROWS = 1_000_000
+#: Sampled rows for each slice: sizes vary by an eighth of a slice, seven of them to twice the target.
+SAMPLES = 64
+#: Bound on the list of cuts, which is sent to all tasks. With more rows than this many slices hold,
+#: all slices grow alike; no key is left out.
+MAX_CUTS = 100_000
+#: Rows with a null key have no time line; they are spread over this many groups.
 NULL_GROUPS = 1_024
 
-CHUNK = "__chunk"
+SLICE = "__slice"
 HALO = "__halo"
 TIME = "__time"
+PLACE = "__place"
+CUTS = "__cuts"
 
 
-def _hot_keys(df: DataFrame, key: str, chunk_rows: int) -> DataFrame | None:
-    """Time span and chunk count of the keys to cut, or None if every key is short.
+def _place(sort_keys: Sequence[str]) -> Column:
+    """The row order as one comparable value, nulls last."""
+    return F.struct(*[c for name in sort_keys for c in (F.col(name).isNull(), F.col(name))])
 
-    Runs one aggregate over two columns, like the size check before a broadcast.
-    """
-    largest = (
-        df.where(F.col(key).isNotNull() & F.col(TIME).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.min(TIME).alias("__first"),
-            F.max(TIME).alias("__last"),
-            F.ceil(F.count(F.lit(1)) / F.lit(chunk_rows)).cast("bigint").alias("__chunks"),
-        )
-        .where(F.col("__chunks") > 1)
-        .orderBy(F.desc("__chunks"))
-        .limit(MAX_HOT_KEYS)
-    )
-    rows = largest.collect()
-    return df.sparkSession.createDataFrame(rows, largest.schema) if rows else None
 
+def _cuts(df: DataFrame, key: str, sort_keys: Sequence[str], slice_rows: int) -> DataFrame:
+    """The cuts of each key that has any, in order. At most ``MAX_CUTS`` altogether."""
+    every = max(slice_rows // SAMPLES, 1)
+    per_slice = max(slice_rows // every * 3 // 4, 1)
+    drawn = F.pmod(F.xxhash64(key, *sort_keys), F.lit(every)) == 0
+    sample = df.where(F.col(key).isNotNull() & drawn).select(key, _place(sort_keys).alias(PLACE))
+    total = sample.agg(F.count(F.lit(1)).alias("n")).scalar()
+    step = F.greatest(F.lit(per_slice), F.ceil(total / F.lit(MAX_CUTS)).cast("int"))
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(PLACE))
+    ranked = sample.withColumn("__rank", rank).where(F.col("__rank") % step == 0)
+    return ranked.groupBy(key).agg(F.sort_array(F.collect_list(PLACE)).alias(CUTS))
+
+
+def _slice_of(sort_keys: Sequence[str]) -> Column:
+    """Number of cuts before the row, by doubling steps back from the largest."""
+    place, cuts = _place(sort_keys), F.col(CUTS)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MAX_CUTS.bit_length()))])
+
+    def step(found: Column, by: Column) -> Column:
+        return F.when(F.get(cuts, found + by - 1) < place, found + by).otherwise(found)
+
+    return F.when(cuts.isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), step))
 
-def _chunk_of() -> Column:
-    """Equal-width time slice of a hot key; monotonic in time, so chunks never interleave."""
-    share = (F.col(TIME) - F.col("__first")).cast("double") / (
-        F.col("__last") - F.col("__first") + F.lit(1)
-    )
-    return F.floor(share * F.col("__chunks"))
+
+def sliced(
+    df: DataFrame, *, key: str, sort_keys: Sequence[str], slice_rows: int = SLICE_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` with the column ``SLICE``, and the list of cuts."""
+    cuts = F.broadcast(_cuts(df, key, sort_keys, slice_rows))
+    spread = -F.lit(1) - F.pmod(F.xxhash64(*sort_keys), F.lit(NULL_GROUPS)).cast("int")
+    number = F.when(F.col(key).isNotNull(), _slice_of(sort_keys)).otherwise(spread)
+    return df.join(cuts, key, "left").withColumn(SLICE, number).drop(CUTS), cuts
 
 
 def with_trailing(
@@ -63,7 +82,7 @@ def with_trailing(
     lookback: int,
     inputs: Sequence[str],
     tie: Sequence[str] = (),
-    min_chunk_rows: int = MIN_CHUNK_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add window columns that look at most ``lookback`` rows back within ``key``.
 
@@ -71,59 +90,42 @@ def with_trailing(
     functions read. ``order`` is a timestamp, ``tie`` breaks equal timestamps. Rows with a null
     key get null.
     """
-    tie = [name for name in tie if name in df.columns]
-    sort_keys = [TIME, *tie]
-    known = F.col(key).isNotNull()
-    spread = -F.lit(1) - F.pmod(F.xxhash64(TIME), F.lit(NULL_GROUPS))
+    sort_keys = [TIME, *[name for name in tie if name in df.columns]]
     base = df.drop(*columns).withColumn(TIME, F.unix_micros(F.col(order).cast("timestamp")))
-    hot = _hot_keys(base, key, min_chunk_rows)
-
-    window = Window.partitionBy(key, CHUNK).orderBy(*[F.asc_nulls_last(c) for c in sort_keys])
-    added = [F.when(known, make(window)).alias(name) for name, make in columns.items()]
-    if hot is None:
-        whole = base.withColumn(CHUNK, F.when(known, F.lit(0)).otherwise(spread))
-        return whole.select("*", *added).drop(TIME, CHUNK)
-
-    hot = F.broadcast(hot)  # at most MAX_HOT_KEYS short rows
-    chunked = (
-        base.join(hot, key, "left")
-        .withColumn(CHUNK, F.when(known, F.coalesce(_chunk_of(), "__chunks", F.lit(0))).otherwise(spread))
-        .withColumn(HALO, F.lit(False))
-        .drop("__first", "__last", "__chunks")
-    )
+    whole, cuts = sliced(base, key=key, sort_keys=sort_keys, slice_rows=slice_rows)
 
-    # Last rows of every chunk of the hot keys, then the last rows before every chunk.
+    # Last rows of every slice of the cut keys, then the last rows before every slice.
     carried = list(dict.fromkeys([*sort_keys, order, *inputs]))
-    latest = Window.partitionBy(key, CHUNK).orderBy(*[F.desc_nulls_last(c) for c in sort_keys])
+    backwards = Window.partitionBy(key, SLICE).orderBy(*[F.desc_nulls_first(c) for c in sort_keys])
     tails = (
         base.select(key, *carried)
-        .join(hot, key)
-        .withColumn(CHUNK, F.coalesce(_chunk_of(), "__chunks"))
-        .withColumn("__rank", F.row_number().over(latest))
+        .join(cuts, key)
+        .withColumn(SLICE, _slice_of(sort_keys))
+        .drop(CUTS)
+        .withColumn("__rank", F.row_number().over(backwards))
         .where(F.col("__rank") <= lookback)
-        .groupBy(key, CHUNK)
-        .agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("__tail"))
+        .groupBy(key, SLICE)
+        .agg(F.sort_array(F.collect_list(F.struct(_place(sort_keys), *carried))).alias("__tail"))
+    )
+    earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(-lookback, -1)
+    before = F.flatten(F.collect_list("__tail").over(earlier))
+    nearest = F.slice(
+        "__before", F.greatest(F.size("__before") - F.lit(lookback), F.lit(0)) + F.lit(1), F.lit(lookback)
     )
-    earlier = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(-lookback, -1)
-    joined = F.flatten(F.collect_list("__tail").over(earlier))
     halo = (
-        tails.select(key, CHUNK, joined.alias("__before"))
-        .select(
-            key,
-            CHUNK,
-            F.slice(
-                "__before",
-                F.greatest(F.size("__before") - F.lit(lookback), F.lit(0)) + F.lit(1),
-                F.lit(lookback),
-            ).alias("__before"),
-        )
-        .select(key, CHUNK, F.explode("__before").alias("__row"))
-        .select(key, CHUNK, "__row.*", F.lit(True).alias(HALO))
+        tails.select(key, SLICE, before.alias("__before"))
+        .select(key, SLICE, F.explode(nearest).alias("__row"))
+        .select(key, SLICE, *[F.col(f"__row.{name}").alias(name) for name in carried])
+        .withColumn(HALO, F.lit(True))
     )
 
+    window = Window.partitionBy(key, SLICE).orderBy(*[F.asc_nulls_last(c) for c in sort_keys])
+    known = F.col(key).isNotNull()
+    added = [F.when(known, make(window)).alias(name) for name, make in columns.items()]
     return (
-        chunked.unionByName(halo, allowMissingColumns=True)
+        whole.withColumn(HALO, F.lit(False))
+        .unionByName(halo, allowMissingColumns=True)
         .select("*", *added)
         .where(~F.col(HALO))
-        .drop(TIME, CHUNK, HALO)
+        .drop(TIME, SLICE, HALO)
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skymart.config import DEFAULTS, Settings
 from skymart.functions import classes, numeric
-from skymart.functions.timeline import MIN_CHUNK_ROWS, with_trailing
+from skymart.functions.timeline import SLICE_ROWS, with_trailing
 
 FEATURES = ("temp_avg", "temp_max", "temp_min", "humidity_avg", "pressure_avg")
 SPREAD = ("__mean", "__std", "__count")
@@ -73,7 +73,7 @@ def _predicted_columns(df: DataFrame, window: int) -> dict:
     return {"predicted_temp": lambda w: numeric.mean(df, "temperature", w.rowsBetween(-window, -1))}
 
 
-def _along_time(df: DataFrame, columns: dict, lookback: int, chunk_rows: int) -> DataFrame:
+def _along_time(df: DataFrame, columns: dict, lookback: int, slice_rows: int) -> DataFrame:
     return with_trailing(
         df,
         columns,
@@ -82,38 +82,38 @@ def _along_time(df: DataFrame, columns: dict, lookback: int, chunk_rows: int) ->
         tie=("raw_id",),
         lookback=lookback,
         inputs=("temperature", "humidity"),
-        min_chunk_rows=chunk_rows,
+        slice_rows=slice_rows,
     )
 
 
 def moving_average(
-    df: DataFrame, window: int | None = None, *, chunk_rows: int = MIN_CHUNK_ROWS
+    df: DataFrame, window: int | None = None, *, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Trailing mean of temperature and humidity; nulls skipped, one value is enough."""
     window = window or DEFAULTS.moving_avg_window
-    return _along_time(df, _moving_columns(df, window), window, chunk_rows)
+    return _along_time(df, _moving_columns(df, window), window, slice_rows)
 
 
-def delta(df: DataFrame, *, chunk_rows: int = MIN_CHUNK_ROWS) -> DataFrame:
+def delta(df: DataFrame, *, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Change against the previous row of the location."""
-    return _along_time(df, _delta_columns(), 1, chunk_rows)
+    return _along_time(df, _delta_columns(), 1, slice_rows)
 
 
 def compute_trends(
-    df: DataFrame, window: int | None = None, *, chunk_rows: int = MIN_CHUNK_ROWS
+    df: DataFrame, window: int | None = None, *, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """T1 and T2 in one pass."""
     window = window or DEFAULTS.moving_avg_window
     columns = _moving_columns(df, window) | _delta_columns()
-    return _along_time(df, columns, window, chunk_rows)
+    return _along_time(df, columns, window, slice_rows)
 
 
 def predict(
-    df: DataFrame, window: int | None = None, *, chunk_rows: int = MIN_CHUNK_ROWS
+    df: DataFrame, window: int | None = None, *, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """PR1: mean of the previous ``window`` rows; null on the first row."""
     window = window or DEFAULTS.moving_avg_window
-    return _along_time(df, _predicted_columns(df, window), window, chunk_rows)
+    return _along_time(df, _predicted_columns(df, window), window, slice_rows)
 
 
 def _anomaly_flag(threshold: float) -> Column:
@@ -134,7 +134,7 @@ def detect_anomalies(df: DataFrame, threshold: float | None = None) -> DataFrame
 
 
 def enrich(
-    df: DataFrame, settings: Settings = DEFAULTS, *, chunk_rows: int = MIN_CHUNK_ROWS
+    df: DataFrame, settings: Settings = DEFAULTS, *, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """F1, K5, T1, T2, A1 and PR1 with one aggregate, one join and one window shuffle."""
     window = settings.moving_avg_window
@@ -143,4 +143,4 @@ def enrich(
     flagged = profiled.withColumn(
         "is_anomaly", _anomaly_flag(settings.anomaly_zscore_threshold)
     ).drop(*SPREAD)
-    return _along_time(classify(flagged, settings), columns, window, chunk_rows)
+    return _along_time(classify(flagged, settings), columns, window, slice_rows)

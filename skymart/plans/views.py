@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skymart.functions import numeric
-from skymart.functions.timeline import MIN_CHUNK_ROWS, with_trailing
+from skymart.functions.timeline import SLICE_ROWS, with_trailing
 from skymart.sources.warehouse import Warehouse
 
 WEATHER = (
@@ -179,7 +179,7 @@ def trend_columns(names: tuple[str, str, str]) -> dict:
     }
 
 
-def trend(star: Star, *, ordered: bool = True, chunk_rows: int = MIN_CHUNK_ROWS) -> DataFrame:
+def trend(star: Star, *, ordered: bool = True, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """V3: moving averages and changes along each district's time line."""
     columns = trend_columns(("temp_ma_3h", "humidity_ma_3h", "rainfall_ma_3h"))
     facts = with_district(
@@ -193,7 +193,7 @@ def trend(star: Star, *, ordered: bool = True, chunk_rows: int = MIN_CHUNK_ROWS)
         tie=("location_id",),
         lookback=2,
         inputs=("temperature", "humidity", "rainfall"),
-        min_chunk_rows=chunk_rows,
+        slice_rows=slice_rows,
     ).select(
         "district",
         F.to_date("timestamp").alias("date"),

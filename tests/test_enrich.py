@@ -5,7 +5,7 @@ from conftest import column, rows
 from pyspark.sql import functions as F
 
 from skymart.config import Settings
-from skymart.functions import classes
+from skymart.functions import classes, timeline
 from skymart.operators import enrich
 from skymart.plans.transform import observed
 
@@ -115,14 +115,14 @@ def _many(seed=5, n=400):
     return data
 
 
-@pytest.mark.parametrize("chunk_rows", [3, 25, 1_000_000])
+@pytest.mark.parametrize("slice_rows", [3, 25, 1_000_000])
 @pytest.mark.parametrize("window", [1, 3, 7])
-def test_trailing_windows_equal_pandas_however_keys_are_cut(frame, chunk_rows, window):
+def test_trailing_windows_equal_pandas_however_keys_are_cut(frame, slice_rows, window):
     data = _many()
     got = (
         frame(data)
-        .transform(enrich.compute_trends, window, chunk_rows=chunk_rows)
-        .transform(enrich.predict, window, chunk_rows=chunk_rows)
+        .transform(enrich.compute_trends, window, slice_rows=slice_rows)
+        .transform(enrich.predict, window, slice_rows=slice_rows)
         .select("raw_id", "temp_ma", "temp_delta", "predicted_temp")
         .toPandas().set_index("raw_id").sort_index()
     )
@@ -140,9 +140,59 @@ def test_trailing_windows_equal_pandas_however_keys_are_cut(frame, chunk_rows, w
     pd.testing.assert_frame_equal(got.astype(float), want.astype(float), check_names=False, atol=1e-9)
 
 
+def _burst(spark, n=100_000):
+    """One old row, then ``n`` rows within a tenth of a second."""
+    late = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id"))
+    old = F.lit("1999-01-01 00:00:00").cast("timestamp")
+    return spark.range(n + 1).select(
+        F.col("id").alias("raw_id"),
+        F.when(F.col("id") == 0, old).otherwise(late).alias("observed_at"),
+        F.lit("hot").alias("location"),
+        (F.col("id") % 400 / 8).alias("temperature"),
+        (F.col("id") % 90).cast("double").alias("humidity"),
+    )
+
+
+def test_a_burst_is_cut_into_even_slices(spark):
+    target = 4_000
+    df = _burst(spark).withColumn(timeline.TIME, F.unix_micros("observed_at"))
+    cut, _ = timeline.sliced(df, key="location", sort_keys=[timeline.TIME, "raw_id"], slice_rows=target)
+    sizes = [r["count"] for r in cut.groupBy(timeline.SLICE).count().collect()]
+    assert sum(sizes) == 100_001 and max(sizes) <= 2 * target and len(sizes) >= 20
+
+
+def test_equal_times_are_cut_by_the_tie(spark):
+    same = _burst(spark, 20_000).withColumn("observed_at", F.lit("2024-01-01").cast("timestamp"))
+    df = same.withColumn(timeline.TIME, F.unix_micros("observed_at"))
+    cut, _ = timeline.sliced(df, key="location", sort_keys=[timeline.TIME, "raw_id"], slice_rows=1_000)
+    assert max(r["count"] for r in cut.groupBy(timeline.SLICE).count().collect()) <= 2_000
+    got = enrich.delta(same, slice_rows=1_000).agg(F.count("temp_delta"), F.sum(F.abs("temp_delta"))).first()
+    want = enrich.delta(same).agg(F.count("temp_delta"), F.sum(F.abs("temp_delta"))).first()
+    assert got == want and got[0] == 20_000
+
+
+def test_cuts_are_bounded_without_leaving_out_keys(spark, monkeypatch):
+    monkeypatch.setattr(timeline, "MAX_CUTS", 10)
+    df = _burst(spark, 9_000).withColumn("location", F.concat(F.lit("k"), F.col("raw_id") % 3))
+    df = df.withColumn(timeline.TIME, F.unix_micros("observed_at"))
+    cut, cuts = timeline.sliced(df, key="location", sort_keys=[timeline.TIME, "raw_id"], slice_rows=100)
+    sizes = cut.groupBy("location", timeline.SLICE).count().collect()
+    assert cuts.selectExpr(f"sum(size({timeline.CUTS}))").first()[0] <= 10
+    assert len({r.location for r in sizes}) == 3 and max(r["count"] for r in sizes) < 1_500
+
+
+def test_building_a_plan_starts_no_job(spark):
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        _burst(spark).transform(enrich.compute_trends).transform(enrich.predict)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_enrich_equals_the_single_steps(frame):
     df = frame(_many())
-    together = enrich.enrich(df, chunk_rows=20)
+    together = enrich.enrich(df, slice_rows=20)
     apart = (
         df.transform(enrich.add_features).transform(enrich.classify)
         .transform(enrich.compute_trends).transform(enrich.detect_anomalies).transform(enrich.predict)

@@ -88,9 +88,9 @@ def test_trend_windows_see_rows_beyond_the_limit(star):
     assert nested[0].trend[0].observed_at > nested[0].trend[1].observed_at
 
 
-@pytest.mark.parametrize("chunk_rows", [2, 1_000_000])
-def test_trend_view_for_short_and_cut_time_lines(star, chunk_rows):
-    got = views.trend(star, chunk_rows=chunk_rows).where("district = '12.71.01.1001'").collect()
+@pytest.mark.parametrize("slice_rows", [2, 1_000_000])
+def test_trend_view_for_short_and_cut_time_lines(star, slice_rows):
+    got = views.trend(star, slice_rows=slice_rows).where("district = '12.71.01.1001'").collect()
     assert [float(r.temp_ma_3h) for r in got] == [20.0, 20.5, 21.0, 22.0, 23.0, 24.0]
     assert [r.hour for r in got] == [10, 13, 16, 19, 22, 1]
 
