@@ -47,7 +47,7 @@ LONGEST, THRESHOLD, COVERED, TOP = 5, 100, 100, 2000
 #: Bytes of text for each hash partition, and the least number of them per shuffle partition.
 PARTITION_BYTES, LEAST_PARTITIONS = 256 << 20, 4
 #: Keys sorted at a time, and counters sent in one row.
-BLOCK_KEYS, ROW_KEYS = 8 << 20, 1024
+BLOCK_KEYS, ROW_KEYS = 4 << 20, 1024
 #: Bytes of text taken at a time by the two passes.
 SLICE_BYTES, COUNTED_BYTES = 1 << 20, 6 << 20
 KEY_BITS = 48
@@ -159,16 +159,19 @@ def _keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[np.ndarray]:
-    held, n = [], 0
+    """Keys of all batches, ``size`` at a time, in one array that is used again."""
+    held, n = np.empty(size, np.uint64), 0
     for batch in batches:
         for keys in _keys(batch):
-            held.append(keys)
-            n += len(keys)
-            if n >= size:
-                yield np.concatenate(held)
-                held, n = [], 0
+            while len(keys):
+                some = keys[: size - n]
+                held[n : n + len(some)] = some
+                n, keys = n + len(some), keys[len(some) :]
+                if n == size:
+                    yield held
+                    n = 0
     if n:
-        yield np.concatenate(held)
+        yield held[:n]
 
 
 def partition_of(keys: np.ndarray, partitions: int) -> np.ndarray:
@@ -176,6 +179,12 @@ def partition_of(keys: np.ndarray, partitions: int) -> np.ndarray:
     return ((keys >> np.uint64(16)) * np.uint64(partitions) >> np.uint64(KEY_BITS - 16)).astype(np.int64)
 
 
+def _first_keys(partitions: int) -> np.ndarray:
+    """Smallest key of each partition, and one beyond all."""
+    heads = [-(-(p << (KEY_BITS - 16)) // partitions) << 16 for p in range(partitions)]
+    return np.array([*heads, 1 << KEY_BITS], np.uint64)
+
+
 def distinct(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys with their counts added up."""
     order = np.argsort(keys, kind="stable")
@@ -225,12 +234,13 @@ def _summaries(texts: DataFrame, partitions: int, block_keys: int) -> DataFrame:
     """partition, n, steps between sorted keys, counts: the counters of a block, some at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = _first_keys(partitions)
         for keys in _blocks(batches, block_keys):
             keys.sort()
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            counts = np.diff(np.append(first, len(keys)))
+            counts = np.diff(first, append=len(keys))
             keys = keys[first]
-            bounds = np.searchsorted(partition_of(keys, partitions), np.arange(partitions + 1)).tolist()
+            bounds = np.searchsorted(keys, edges).tolist()
             rows = []
             for p, (a, b) in enumerate(zip(bounds, bounds[1:])):
                 for at in range(a, b, ROW_KEYS):

@@ -116,6 +116,14 @@ def test_summaries_keep_what_is_frequent():
     assert {k for k, n in exact.items() if n >= threshold} <= left
 
 
+@pytest.mark.parametrize("partitions", [1, 7, 48, 211])
+def test_partitions_are_ranges_of_keys(partitions):
+    edges = c._first_keys(partitions)
+    near = np.concatenate([edges[:-1], edges[1:] - np.uint64(1)])
+    keys = np.sort(np.append(near, np.random.default_rng(2).integers(0, 1 << c.KEY_BITS, 5_000).astype(np.uint64)))
+    assert (np.searchsorted(edges, keys, "right") - 1 == c.partition_of(keys, partitions)).all()
+
+
 def test_packed_counters():
     rng = np.random.default_rng(4)
     for top in (1, 255, 256, 70_000, 1 << 47):
