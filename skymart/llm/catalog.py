@@ -130,12 +130,12 @@ def _repeated_from(doc_id: Column, text: Column) -> Column:
     """Text with a periodic stretch set in: word i >= a is word a + (i - a) % p for a tenth of the ids."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
     g = F.floor(h / 10)
-    w = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    w = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
     n = F.size(w).cast("bigint")
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
-    changed = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, place(i).cast("int"))), " ")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(w, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    changed = F.array_join(F.concat(F.slice(w, F.lit(1), a), F.slice(again, F.lit(1), (n - a).cast("int"))), " ")
     return F.when((h % 10 == 0) & (n > 0), changed).otherwise(text)
 
 
