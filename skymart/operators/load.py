@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
@@ -15,11 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skymart.config import CITY, REGION_LEVEL
-from skymart.operators import quality
+from skymart.operators import quality, rollup
 from skymart.schemas import FACT_MEASURES
 from skymart.session import materialize, shared_dir
 from skymart.sources.admin import location_id
-from skymart.sources.warehouse import Snapshot, Warehouse, partition_date
+from skymart.sources.warehouse import BUCKETS, Snapshot, Warehouse, partition_value
 
 logger = logging.getLogger(__name__)
 
@@ -247,7 +249,7 @@ def load(
 
         tables = dict(extra or {})
         tables.update(_write_dimensions(batch, warehouse, base, city))
-        tables["fact_weather"] = _write_facts(batch, warehouse, base, city, stats["dates"])
+        tables.update(_write_facts(batch, warehouse, base, city, stats["dates"], tables))
         watermark = base.watermark_us if stats["last"] is None else stats["last"]
         warehouse.publish(base, tables, watermark)
         return LoadResult(stats["ok"], stats["rows"] - stats["ok"], issues)
@@ -257,6 +259,8 @@ def load(
 
 #: Directories a growing dimension may consist of before it is rewritten as one.
 MAX_DIRECTORIES = 32
+#: Directories a day may consist of before the next load of that day merges them.
+MAX_DAY_DIRECTORIES = 8
 
 
 def _grow(warehouse: Warehouse, base: Snapshot, name: str, added: DataFrame) -> list[str]:
@@ -283,26 +287,95 @@ def _write_dimensions(
 
 
 def _write_facts(
-    batch: DataFrame, warehouse: Warehouse, base: Snapshot, city: str, dates: list
-) -> list[str]:
-    """Directories of the facts after the load.
+    batch: DataFrame,
+    warehouse: Warehouse,
+    base: Snapshot,
+    city: str,
+    dates: list,
+    dimensions: dict[str, list[str]],
+) -> dict[str, list[str]]:
+    """Directories of the facts and their aggregates after the load.
 
     Rows behind the watermark are not loaded, so they meet published ones only on days that hold facts
-    newer than it: after it was moved back, or where there is none. Those days are rewritten, all
-    others grow by a directory.
+    newer than it: after it was moved back, or where there is none. Those days are rewritten, and days
+    of many directories as well; all others grow by a directory.
     """
     rows = fact_rows(batch, city=city, created_at=F.lit(datetime.now(UTC)))
     published = base.tables.get("fact_weather", [])
     touched = {d.isoformat() for d in dates}
-    there = {partition_date(p) for p in published} & touched
+    parts = Counter(day for day in map(partition_value, published) if day in touched)
+    there = set(parts)
     if there:
         existing = warehouse.table("fact_weather", snapshot=base, dates=dates)
         if base.watermark_us is not None:
             newer = existing.where(F.col("time_id") > base.watermark_us).select("date").distinct()
             there = {r.date.isoformat() for r in newer.collect()}  # at most the days of the batch
-    if not there:
-        return published + warehouse.write(upsert_fact(rows), "fact_weather")
-    met = F.col("date").cast("string").isin(sorted(there))
-    merged = upsert_fact(rows.where(met), existing.where(met)).unionByName(upsert_fact(rows.where(~met)))
-    kept = [p for p in published if partition_date(p) not in there]
-    return kept + warehouse.write(merged, "fact_weather")
+        there |= {day for day, n in parts.items() if n >= MAX_DAY_DIRECTORIES}
+    facts = upsert_fact(rows)
+    if there:
+        met = F.col("date").cast("string").isin(sorted(there))
+        merged = upsert_fact(rows.where(met), existing.where(met))
+        facts = merged.unionByName(upsert_fact(rows.where(~met)))
+    written = warehouse.write(facts, "fact_weather")
+    return {
+        "fact_weather": _but(published, there) + written,
+        **_write_rollups(warehouse, base, warehouse.read("fact_weather", written), there, dimensions),
+    }
+
+
+def _but(paths: list[str], parts: set[str]) -> list[str]:
+    return [path for path in paths if partition_value(path) not in parts]
+
+
+def _write_rollups(
+    warehouse: Warehouse,
+    base: Snapshot,
+    facts: DataFrame,
+    there: set[str],
+    dimensions: dict[str, list[str]],
+) -> dict[str, list[str]]:
+    """Directories of the aggregates; ``facts`` are the written ones, ``there`` the days they replace."""
+    if base.tables.get("fact_weather") and "fact_days" not in base.tables:
+        return {}  # a warehouse from before the aggregates: they are computed when asked for
+    places = warehouse.read("dim_location", dimensions["dim_location"])
+    added = warehouse.write(rollup.by_day(facts), "fact_days")
+    days = _but(base.tables.get("fact_days", []), there) + added
+    new = warehouse.read("fact_days", added)
+    merged = all_days = None
+    if there:  # a merged day holds all its locations, those it had before as well
+        merged = new.where(F.col("date").cast("string").isin(sorted(there))).select("location_id").distinct()
+        all_days = warehouse.read("fact_days", days)
+    covered = warehouse.write(rollup.coverage(facts, places), "time_coverage")
+    totals = regroup(
+        warehouse,
+        base,
+        "location_totals",
+        new.select(rollup.bucket_of("location_id", BUCKETS).alias("bucket")),
+        lambda old: rollup.changed_totals(old, new, all_days, merged),
+        "location_id",
+    )
+    return {
+        "fact_days": days,
+        "time_coverage": _but(base.tables.get("time_coverage", []), there) + covered,
+        "location_totals": totals,
+    }
+
+
+def regroup(
+    warehouse: Warehouse,
+    base: Snapshot,
+    table: str,
+    touched: DataFrame,
+    change: Callable[[DataFrame], DataFrame],
+    key: str,
+) -> list[str]:
+    """Rewrite the touched buckets of a table with one row per ``key``.
+
+    ``change`` gives the changed rows of the old ones; all others of these buckets stay as they are.
+    """
+    buckets = [r[0] for r in touched.distinct().collect()]  # at most BUCKETS
+    old = warehouse.table(table, snapshot=base, buckets=buckets)
+    changed = change(old.drop("bucket")).withColumn("bucket", rollup.bucket_of(key, BUCKETS))
+    kept = old.join(changed.select(key), key, "left_anti")
+    written = warehouse.write(kept.unionByName(changed), table)
+    return _but(base.tables.get(table, []), {str(b) for b in buckets}) + written

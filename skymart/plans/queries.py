@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,7 @@ from skymart.plans.views import (
     utc,
     with_district,
     with_weather,
+    within,
 )
 from skymart.sources.admin import district_names
 
@@ -59,11 +61,7 @@ def at_locations(star: Star, condition: Column) -> Star:
     """
     matching = star.dim_location.where(condition)
     keys = [row[0] for row in matching.select("location_id").take(MAX_LITERAL_KEYS + 1)]
-    if len(keys) <= MAX_LITERAL_KEYS:
-        fact = star.fact.where(F.col("location_id").isin(keys) if keys else F.lit(False))
-    else:
-        fact = star.fact.join(matching, "location_id", "left_semi")
-    return Star(fact, matching, star.dim_weather)
+    return star.at(matching, keys if len(keys) <= MAX_LITERAL_KEYS else None)
 
 
 def under(parent: str) -> Column:
@@ -77,16 +75,12 @@ def under(parent: str) -> Column:
 SEARCH_DAYS = (1, 16, 256, None)
 
 
-def _nearest(star: Star, as_of: datetime, min_locations: int, pattern: str) -> DataFrame:
-    coded = star.dim_location.where(F.col("district").rlike(pattern))
+def _nearest(covered: DataFrame, as_of: datetime, min_locations: int) -> DataFrame:
     return (
-        star.fact.select("time_id", "location_id")
-        .join(coded.select("location_id", "district"), "location_id")
-        .groupBy("time_id")
-        .agg(F.countDistinct("district").alias("locations"))
-        .where(F.col("locations") >= min_locations)
+        covered.where(F.col("districts") >= min_locations)
         .orderBy(F.abs(F.col("time_id") - micros(as_of)), "time_id")
         .limit(1)
+        .select("time_id", F.col("districts").alias("locations"))
     )
 
 
@@ -99,16 +93,17 @@ def closest_timestamp(
 ) -> DataFrame:
     """G1: the timestamp nearest to ``as_of`` with enough coded districts; the earlier on a tie.
 
-    A hit inside the searched days is nearer than anything outside them, so the search usually
-    reads a few daily partitions instead of all facts.
+    Searched are the numbers of coded districts that a load keeps per timestamp; for another pattern
+    they are counted from the facts. A hit inside the searched days is nearer than anything outside
+    them, so the search usually reads a few days.
     """
     as_of = utc(as_of)
     for days in SEARCH_DAYS:
-        around = star
+        around = star.coverage(pattern)
         if days is not None:
             span = timedelta(days=days)
-            around = star.between(as_of - span, as_of + span)
-        hit = _nearest(around, as_of, min_locations, pattern).collect()
+            around = within(around, as_of - span, as_of + span)
+        hit = _nearest(around, as_of, min_locations).collect()
         if hit or days is None:
             break
     return star.fact.sparkSession.createDataFrame(hit, "time_id bigint, locations bigint").select(
@@ -179,6 +174,21 @@ def weather_map(
 # -- forecast ------------------------------------------------------------------------------------
 
 
+def _first_districts(star: Star, rows: int) -> Star:
+    """The first districts that have ``rows`` facts together."""
+    if star.totals is None:
+        return star
+    districts = with_district(star.totals.select("location_id", "rows"), star).groupBy("district")
+    listed = districts.agg(F.sum("rows").alias("rows"))
+    names, found = [], 0
+    for row in listed.orderBy("district").limit(rows).collect():  # each has a row at least
+        if found >= rows:
+            break
+        names.append(row["district"])
+        found += row["rows"]
+    return at_locations(star, F.col("district").isin(names) if names else F.lit(False))
+
+
 def forecast(
     star: Star,
     *,
@@ -188,16 +198,19 @@ def forecast(
 ) -> DataFrame:
     """Newest rows of a code, of a parent, or the first rows by district.
 
-    The limit is global. Equal timestamps come in district order.
+    The limit is global. Equal timestamps come in district order. Without a code or parent, the row
+    counts per location tell which districts in order hold the rows, and only their facts are read.
     """
+    wanted = clamp(limit)
+    order = [F.desc("time_id"), F.asc("district")]
     if adm4:
         star = at_locations(star, F.col("district") == adm4)
     elif kecamatan:
         star = at_locations(star, under(kecamatan))
-    order = [F.desc("time_id"), F.asc("district")]
-    if not adm4 and not kecamatan:
+    else:
+        star = _first_districts(star, wanted)
         order.reverse()
-    top = with_district(star.fact, star).orderBy(*order).limit(clamp(limit))
+    top = with_district(star.fact, star).orderBy(*order).limit(wanted)
     return with_weather(top, star, "condition_desc", "temp_classification").select(
         "district",
         "temperature",
@@ -258,8 +271,8 @@ def trend(
     elif kecamatan:
         star = at_locations(star, under(kecamatan))
     wanted = clamp(limit)
-    slim = star.only(
-        star.fact.select("time_id", "location_id", "temperature", "humidity", "rainfall")
+    slim = replace(
+        star, fact=star.fact.select("time_id", "location_id", "date", "temperature", "humidity", "rainfall")
     )
     line = Window.partitionBy("district").orderBy("time_id", F.desc("location_id"))
     columns = {name: make(line) for name, make in trend_columns(TREND_NAMES).items()}

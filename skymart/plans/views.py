@@ -13,8 +13,10 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skymart.config import CODE_PATTERN
 from skymart.functions import numeric
 from skymart.functions.timeline import SLICE_ROWS, with_trailing
+from skymart.operators import rollup
 from skymart.sources.warehouse import Warehouse
 
 WEATHER = (
@@ -28,34 +30,67 @@ WEATHER = (
 
 @dataclass(frozen=True)
 class Star:
-    """The tables of one warehouse snapshot."""
+    """The tables of one warehouse snapshot.
+
+    ``days``, ``totals`` and ``covered`` are the aggregates a load keeps of all facts; None where facts
+    are only some of them, or the warehouse is older than the aggregates.
+    """
 
     fact: DataFrame
     dim_location: DataFrame
     dim_weather: DataFrame
+    days: DataFrame | None = None
+    totals: DataFrame | None = None
+    covered: DataFrame | None = None
 
     @classmethod
     def of(cls, warehouse: Warehouse) -> "Star":
         current = warehouse.snapshot()
-        names = ("fact_weather", "dim_location", "dim_weather")
+        names = ["fact_weather", "dim_location", "dim_weather"]
+        if "fact_days" in current.tables:
+            names += ["fact_days", "location_totals", "time_coverage"]
         return cls(*[warehouse.table(name, snapshot=current) for name in names])
 
     def between(self, first: datetime | None = None, last: datetime | None = None) -> "Star":
         """Only facts in a closed time range; prunes the daily partitions."""
-        fact = self.fact
-        if first is not None:
-            fact = fact.where(
-                (F.col("date") >= F.lit(first.date())) & (F.col("time_id") >= micros(first))
-            )
-        if last is not None:
-            fact = fact.where(
-                (F.col("date") <= F.lit(last.date())) & (F.col("time_id") <= micros(last))
-            )
-        return Star(fact, self.dim_location, self.dim_weather)
+        return self.only(within(self.fact, first, last))
 
     def only(self, fact: DataFrame) -> "Star":
+        """Some of the facts."""
         return Star(fact, self.dim_location, self.dim_weather)
 
+    def at(self, places: DataFrame, keys: list[int] | None) -> "Star":
+        """Facts of some locations: by literal ``keys``, or by a join with ``places``."""
+
+        def there(table: DataFrame | None) -> DataFrame | None:
+            if table is None:
+                return None
+            if keys is None:
+                return table.join(places, "location_id", "left_semi")
+            return table.where(F.col("location_id").isin(keys) if keys else F.lit(False))
+
+        return Star(there(self.fact), places, self.dim_weather, there(self.days), there(self.totals))
+
+    def sums(self) -> DataFrame:
+        """One row per location with the sums of its facts."""
+        if self.totals is not None:
+            return self.totals
+        return rollup.by_location(rollup.by_day(self.fact))
+
+    def coverage(self, pattern: str) -> DataFrame:
+        """Number of coded districts per timestamp, with its day."""
+        if self.covered is not None and pattern == CODE_PATTERN:
+            return self.covered
+        return rollup.coverage(self.fact, self.dim_location, pattern)
+
+
+def within(df: DataFrame, first: datetime | None, last: datetime | None) -> DataFrame:
+    if first is not None:
+        df = df.where((F.col("date") >= F.lit(first.date())) & (F.col("time_id") >= micros(first)))
+    if last is not None:
+        df = df.where((F.col("date") <= F.lit(last.date())) & (F.col("time_id") <= micros(last)))
+    return df
+
 
 def utc(instant: datetime | None) -> datetime:
     """A given instant, or now, as an aware UTC datetime."""
@@ -82,15 +117,58 @@ def with_weather(facts: DataFrame, star: Star, *columns: str) -> DataFrame:
     return facts.join(star.dim_weather.select("weather_id", *columns), "weather_id")
 
 
+#: Days before the newest one searched one after the other for the newest rows; None searches all.
+NEWEST_DAYS = (2, 32, 512, None)
+
+
+def newest_days(star: Star, rows: int) -> DataFrame:
+    """location_id, date: the days that hold the newest ``rows`` facts of every location.
+
+    Days are searched from the newest one backwards. A location is done when the days read hold
+    ``rows`` of its facts, or all it has by its total; the search stops when all are done. The plan
+    reads sums of days, and no fact.
+    """
+    wanted = star.totals.select("location_id", F.least("rows", F.lit(rows)).alias("wanted"))
+    newest = star.totals.agg(F.to_date(F.timestamp_micros(F.max("last")))).first()[0]
+    days = star.days.select("location_id", "date", "rows")
+    for span in NEWEST_DAYS:
+        found = days
+        if span is not None and newest is not None:
+            found = days.where(F.col("date") > F.lit(newest - timedelta(days=span)))
+        have = found.groupBy("location_id").agg(F.sum("rows").alias("have"))
+        short = wanted.join(have, "location_id", "left").where(F.coalesce("have", F.lit(0)) < F.col("wanted"))
+        if span is None or newest is None or short.isEmpty():
+            break
+    # A day of one location may lie in several directories.
+    found = found.groupBy("location_id", "date").agg(F.sum("rows").alias("rows"))
+    backwards = Window.partitionBy("location_id").orderBy(F.desc("date"))
+    place = F.row_number().over(backwards)
+    newer = F.sum("rows").over(backwards.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = found.withColumn("place", place).where(F.col("place") <= rows)
+    return ranked.withColumn("newer", newer).where(F.coalesce("newer", F.lit(0)) < rows).select("location_id", "date")
+
+
+def _newest_facts(star: Star, rows: int) -> DataFrame:
+    """Facts of the days that matter, or all facts where sums of days are missing."""
+    if star.days is None or star.totals is None:
+        return star.fact
+    wanted = newest_days(star, rows)
+    dates = [r[0] for r in wanted.select("date").distinct().collect()]  # at most one per day of history
+    facts = star.fact.where(F.col("date").isin(dates) if dates else F.lit(False))
+    return facts.join(wanted, ["location_id", "date"], "left_semi")
+
+
 def latest_per_district(star: Star, rows: int, *location_columns: str) -> DataFrame:
     """The newest ``rows`` facts per district, ranked 1 upward.
 
-    Ranked by location before the join, so the whole fact meets neither the dimension nor a shuffle:
-    the rank filter limits every group in the task that reads it. Few rows are ranked again.
+    Only days that hold such facts are read. Facts are ranked by location before the join, so they
+    meet neither the dimension nor a shuffle as a whole: the rank filter limits every group in the
+    task that reads it. Few rows are ranked again.
     """
     own = Window.partitionBy("location_id").orderBy(F.desc("time_id"))
     newest = Window.partitionBy("district").orderBy(F.desc("time_id"), "location_id")
-    latest = star.fact.withColumn("rn", F.row_number().over(own)).where(F.col("rn") <= rows)
+    facts = _newest_facts(star, rows)
+    latest = facts.withColumn("rn", F.row_number().over(own)).where(F.col("rn") <= rows)
     return (
         with_district(latest.drop("rn"), star, *location_columns)
         .withColumn("rn", F.row_number().over(newest))
@@ -129,18 +207,9 @@ def combined_mean(name: str, places: int) -> Column:
 
 
 def analytics(star: Star) -> DataFrame:
-    """V2: counts, averages and extremes per district."""
-    measures = ("temperature", "humidity", "wind_speed", "rainfall", "cloud_coverage")
-    per_location = star.fact.groupBy("location_id").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("temperature").alias("low"),
-        F.max("temperature").alias("high"),
-        F.min("time_id").alias("first"),
-        F.max("time_id").alias("last"),
-        *partial_sums(*measures),
-    )
+    """V2: counts, averages and extremes per district, from the sums a load keeps per location."""
     return (
-        with_district(per_location, star)
+        with_district(star.sums(), star)
         .groupBy("district")
         .agg(
             F.sum("rows").alias("total_observations"),
@@ -243,16 +312,17 @@ def prediction(star: Star, *, rows: int = 3, ordered: bool = True) -> DataFrame:
 def anomaly(star: Star, *, threshold: float = 2.5, ordered: bool = True) -> DataFrame:
     """V6: z-scores against the district's mean and sample deviation.
 
-    Sums and sums of squares are exact integers, combined from locations to districts, then put on
-    the locations: facts join one small table. With sum S, squares Q and count n in hundredths,
+    Sums and sums of squares are exact integers that a load keeps per location. They are combined to
+    districts, then put on the locations: facts join one small table. With sum S, squares Q and count n in hundredths,
     the deviation is sqrt((nQ - S^2) / (n(n - 1))).
     """
     cents = numeric.unscaled(F.col("temperature"))
-    per_location = star.fact.groupBy("location_id").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("temperature").alias("n"),
-        F.sum(cents).alias("s"),
-        F.sum((cents * cents).cast("decimal(14,0)")).alias("q"),
+    per_location = star.sums().select(
+        "location_id",
+        "rows",
+        F.col("temperature_n").alias("n"),
+        F.col("temperature_sum").alias("s"),
+        F.col(rollup.SQUARES).alias("q"),
     )
     places = star.dim_location.select("location_id", "district")
     per_district = (

@@ -48,11 +48,27 @@ FACT_WEATHER = (
     + ", wind_direction string, source string, created_at timestamp, date date"
 )
 
+_ROLLUP = (
+    "rows bigint, first bigint, last bigint, low decimal(5,2), high decimal(5,2), "
+    + ", ".join(
+        f"{name}_sum bigint, {name}_n bigint"
+        for name in ("temperature", "humidity", "wind_speed", "rainfall", "cloud_coverage")
+    )
+    + ", temperature_squares decimal(24,0)"
+)
+
+#: Sums of the facts kept by the load: per location and day, and per location.
+FACT_DAYS = f"location_id bigint, {_ROLLUP}, date date"
+LOCATION_TOTALS = f"location_id bigint, {_ROLLUP}, bucket int"
+
+#: Number of coded districts per timestamp, kept by the load.
+TIME_COVERAGE = "time_id bigint, districts bigint, date date"
+
 #: Running per-location totals kept by the incremental ingest.
 LOCATION_STATS = (
     "location string, rows bigint, temp_count bigint, temp_sum double, temp_max double, "
     "temp_min double, humidity_count bigint, humidity_sum double, pressure_count bigint, "
-    "pressure_sum double"
+    "pressure_sum double, bucket int"
 )
 
 #: (location, observed_at) pairs already part of the history.
@@ -63,6 +79,9 @@ TABLES = {
     "dim_location": DIM_LOCATION,
     "dim_weather": DIM_WEATHER,
     "fact_weather": FACT_WEATHER,
+    "fact_days": FACT_DAYS,
+    "location_totals": LOCATION_TOTALS,
+    "time_coverage": TIME_COVERAGE,
     "location_stats": LOCATION_STATS,
     "seen_keys": SEEN_KEYS,
 }

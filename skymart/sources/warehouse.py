@@ -19,12 +19,22 @@ from skymart.schemas import TABLES
 
 #: Older manifests are dropped; they only serve readers that started before the last loads.
 KEPT_MANIFESTS = 5
-PARTITIONED = ("fact_weather", "seen_keys")
+#: Column by which a table's directories are cut: days, or hash buckets of locations.
+PARTITIONED = {
+    "fact_weather": "date",
+    "fact_days": "date",
+    "time_coverage": "date",
+    "seen_keys": "date",
+    "location_totals": "bucket",
+    "location_stats": "bucket",
+}
+#: Hash buckets of the tables with a row per location; a load rewrites those it touches.
+BUCKETS = 32
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """``tables`` maps a table to directories; for partitioned tables ``date=...`` leaf ones."""
+    """``tables`` maps a table to directories; for partitioned tables the leaf ones."""
 
     version: int = 0
     watermark_us: int | None = None
@@ -105,11 +115,27 @@ class Warehouse:
             {**base.tables, **tables},
         )
         self._write_new(self._manifest(new.version), json.dumps(new.__dict__))
-        expired = new.version - KEPT_MANIFESTS
-        if expired > 0:
-            self.delete(self._manifest(expired))
+        self._expire(new.version - KEPT_MANIFESTS)
         return new
 
+    def _directories(self, version: int) -> set[str]:
+        tables = json.loads(self._read_text(self._manifest(version)))["tables"]
+        return {path for paths in tables.values() for path in paths}
+
+    def _expire(self, version: int) -> None:
+        """Drop a manifest and the directories that only it and older ones name.
+
+        A directory that the next snapshot left out never comes back.
+        """
+        if version <= 0 or f"{version:012d}.json" not in self._children(self._manifests):
+            return
+        for path in self._directories(version) - self._directories(version + 1):
+            self.delete(path)
+            above, _, name = path.rpartition("/")
+            if not name.startswith("load=") and not any("=" in c for c in self._children(above)):
+                self.delete(above)  # the last day or bucket of its load
+        self.delete(self._manifest(version))
+
     # -- L1 --------------------------------------------------------------------------------
 
     def get_watermark(self) -> datetime | None:
@@ -132,12 +158,27 @@ class Warehouse:
         if table not in PARTITIONED:
             df.write.parquet(path)
             return [path]
+        by = PARTITIONED[table]
         # One shuffle by day would put a busy day into one task; AQE's rebalance splits it.
         # Sorted rows give the location filter of the queries selective row-group statistics.
-        sort_key = "location_id" if "location_id" in df.columns else "location"
-        balanced = df.hint("rebalance", "date").sortWithinPartitions("date", sort_key)
-        balanced.write.partitionBy("date").parquet(path)
-        return [f"{path}/{name}" for name in self._children(path) if name.startswith("date=")]
+        sort_key = next((c for c in ("location_id", "location") if c in df.columns), df.columns[0])
+        balanced = df.hint("rebalance", by).sortWithinPartitions(by, sort_key)
+        balanced.write.partitionBy(by).parquet(path)
+        parts = [f"{path}/{name}" for name in self._children(path) if name.startswith(f"{by}=")]
+        if not parts:  # no rows
+            self.delete(path)
+        return parts
+
+    def read(self, name: str, paths: list[str]) -> DataFrame:
+        """Rows of some directories of a table."""
+        schema = TABLES[name]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
+        if name in PARTITIONED:
+            reader = reader.option("basePath", f"{self.root}/{name}")
+        df = reader.parquet(*paths)
+        return df.drop("load") if "load" in df.columns else df
 
     def table(
         self,
@@ -146,24 +187,21 @@ class Warehouse:
         snapshot: Snapshot | None = None,
         dates: Iterable[date] | None = None,
         since: date | None = None,
+        buckets: Iterable[int] | None = None,
     ) -> DataFrame:
-        """A table of the current or a given snapshot, optionally only some days of it."""
+        """A table of the current or a given snapshot, optionally only some days or buckets of it."""
         snapshot = snapshot or self.snapshot()
         paths = snapshot.tables.get(name, [])
         if name in PARTITIONED:
             if dates is not None:
                 wanted = {d.isoformat() for d in dates}
-                paths = [p for p in paths if partition_date(p) in wanted]
+                paths = [p for p in paths if partition_value(p) in wanted]
             if since is not None:
-                paths = [p for p in paths if partition_date(p) >= since.isoformat()]
-        schema = TABLES[name]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema)
-        if name in PARTITIONED:
-            reader = reader.option("basePath", f"{self.root}/{name}")
-        df = reader.parquet(*paths)
-        return df.drop("load") if "load" in df.columns else df
+                paths = [p for p in paths if partition_value(p) >= since.isoformat()]
+            if buckets is not None:
+                some = {str(b) for b in buckets}
+                paths = [p for p in paths if partition_value(p) in some]
+        return self.read(name, paths)
 
     def register_views(self, names: Iterable[str] = TABLES) -> None:
         """Expose the tables to ``spark.sql``."""
@@ -172,5 +210,5 @@ class Warehouse:
             self.table(name, snapshot=current).createOrReplaceTempView(name)
 
 
-def partition_date(path: str) -> str:
-    return path.rsplit("date=", 1)[1]
+def partition_value(path: str) -> str:
+    return path.rsplit("=", 1)[1]

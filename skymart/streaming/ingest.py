@@ -1,8 +1,9 @@
 """Incremental ingest of raw files (ST1-ST3).
 
 A batch run recomputes the features of the whole history. The stream keeps per-location running
-totals instead: the fact history is not read again. A micro-batch still rewrites the totals and the
-location dimension, whose sizes are numbers of locations, and reads the time dimension.
+totals instead: the fact history is not read again. Totals lie in hash buckets of locations, and a
+micro-batch rewrites the buckets of its own locations only. It reads the time dimension, and rewrites
+the location dimension when a location is new or moved.
 
 Of rows with one location (as written) and time, the first to arrive counts; within a micro-batch the
 smallest raw_id. So the facts are those of a batch run if raw ids rise with arrival.
@@ -20,12 +21,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skymart.config import CITY, DEFAULTS, Settings
 from skymart.operators.enrich import classify
-from skymart.operators.load import LoadResult, load
+from skymart.operators.load import LoadResult, load, regroup
 from skymart.operators.parse import floor_slot
+from skymart.operators.rollup import bucket_of
 from skymart.plans.transform import cleaned_observations
 from skymart.schemas import RAW
 from skymart.session import materialize, shared_dir
-from skymart.sources.warehouse import Warehouse
+from skymart.sources.warehouse import BUCKETS, Warehouse
 
 
 #: Column with the location before standardization.
@@ -136,11 +138,17 @@ def ingest_batch(
         if count == 0:
             return BatchResult(LoadResult(), summary["late"], repeated)
 
-        totals = merge_totals(
-            warehouse.table("location_stats", snapshot=base), _batch_totals(unseen)
+        new = materialize(_batch_totals(unseen), f"{stage}/totals")
+        totals_dirs = regroup(
+            warehouse,
+            base,
+            "location_stats",
+            new.select(bucket_of("location", BUCKETS).alias("bucket")),
+            lambda old: merge_totals(old.join(new, "location", "left_semi"), new),
+            "location",
         )
-        totals_dirs = warehouse.write(totals, "location_stats")
-        totals = warehouse.spark.read.schema(totals.schema).parquet(*totals_dirs)
+        here = [p for p in totals_dirs if p not in set(base.tables.get("location_stats", []))]
+        totals = warehouse.read("location_stats", here)
         # Copies are told by the location as written, as in the batch run.
         keyed = unseen.select(
             F.col(GIVEN).alias("location"), "observed_at", F.to_date("observed_at").alias("date")
