@@ -71,14 +71,11 @@ def unproject(x: Column, y: Column, box: Box, width: float, height: float):
     return lon, lat
 
 
-def in_ring(lon: Column, lat: Column, ring: Column) -> Column:
-    """Even-odd rule: a ray eastward crosses the outline an odd number of times."""
-    previous = F.concat(F.slice(ring, -1, 1), F.slice(ring, F.lit(1), F.size(ring) - F.lit(1)))
+def crossing(lat: Column, x1: Column, y1: Column, x0: Column, y0: Column) -> Column:
+    """Longitude at which the edge from 0 to 1 meets a latitude; null for a level edge."""
+    return (x0 - x1) * (lat - y1) / F.nullif(y0 - y1, F.lit(0.0)) + x1
 
-    def crosses(here: Column, before: Column) -> Column:
-        x1, y1, x0, y0 = F.get(here, 0), F.get(here, 1), F.get(before, 0), F.get(before, 1)
-        at = (x0 - x1) * (lat - y1) / F.nullif(y0 - y1, F.lit(0.0)) + x1
-        return ((y1 > lat) != (y0 > lat)) & (lon < at)
 
-    crossings = F.filter(F.zip_with(ring, previous, crosses), lambda hit: hit)
-    return F.size(crossings) % F.lit(2) == F.lit(1)
+def crosses(lon: Column, lat: Column, x1: Column, y1: Column, x0: Column, y0: Column) -> Column:
+    """Whether a ray eastward meets the edge. A point is inside if it meets an odd number of edges."""
+    return ((y1 > lat) != (y0 > lat)) & (lon < crossing(lat, x1, y1, x0, y0))

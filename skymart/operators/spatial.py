@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,70 +93,166 @@ def mercator_unproject(points: DataFrame, box: DataFrame, width: float, height:
 
 # -- X4 ------------------------------------------------------------------------------------------
 
-#: A polygon covers at most this many grid cells per axis, plus one.
-CELLS_PER_AXIS = 8
-CELL_KEYS = ["__level", "__cx", "__cy"]
+#: Columns of a polygon's grid, about, and the least number of its bands.
+COLUMNS, LEAST_BANDS = 8, 8
+#: Edges aimed at in a band, and how many rows its bands may make of an edge on average.
+BAND_EDGES, ROWS_PER_EDGE = 16, 4
+#: Part of a cell by which an edge counts as reaching into the next one, so that rounding can't matter.
+MARGIN = 1e-9
+CELL_KEYS = ["__lx", "__ly", "__cx", "__cy"]
 
 
 def _cell(value: Column, level: Column) -> Column:
     return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
 
 
-def polygon_cells(features: DataFrame) -> DataFrame:
-    """Outlines by the grid cells their box touches.
+def _edges(features: DataFrame) -> DataFrame:
+    """One row per edge of every outline, with the point before it and the polygon's grid.
 
-    The cell size is a power of two chosen by the polygon's own size, so a large polygon does not
-    explode into many cells and a small one does not meet far points.
+    Cells are 2 ** level wide and high. Bands grow with the number of edges, unless long edges would
+    then fall into too many of them.
     """
     rings = features.select(F.explode("polygons").alias("polygon")).select(
-        F.get("polygon", F.lit(0)).alias("__ring")
+        F.monotonically_increasing_id().alias("__polygon"), F.get("polygon", F.lit(0)).alias("__ring")
     )
     x, y = geo.axis(F.col("__ring"), 0), geo.axis(F.col("__ring"), 1)
-    sized = rings.select(
+    n = F.size("__ring")
+    before = F.concat(F.slice("__ring", -1, 1), F.slice("__ring", F.lit(1), n - 1))
+    sized = rings.where(n > 0).select(
+        "__polygon",
         "__ring",
-        F.array_min(x).alias("__x0"),
-        F.array_max(x).alias("__x1"),
-        F.array_min(y).alias("__y0"),
-        F.array_max(y).alias("__y1"),
+        before.alias("__before"),
+        n.alias("__n"),
+        (F.array_max(x) - F.array_min(x)).alias("__wide"),
+        (F.array_max(y) - F.array_min(y)).alias("__high"),
+    )
+    rise = F.zip_with("__ring", "__before", lambda a, b: F.abs(F.get(a, 1) - F.get(b, 1)))
+    rise = F.greatest(F.aggregate(rise, F.lit(0.0), lambda total, v: total + v), F.lit(1e-9))
+    high = F.greatest("__high", F.lit(1e-9))
+    bands = F.greatest(F.col("__n") / BAND_EDGES, F.lit(float(LEAST_BANDS)))
+    bands = F.greatest(F.least(bands, ROWS_PER_EDGE * F.col("__n") * high / rise), F.lit(1.0))
+    leveled = sized.withColumns(
+        {
+            "__lx": F.ceil(F.log2(F.greatest("__wide", F.lit(1e-9)) / COLUMNS)).cast("int"),
+            "__ly": F.ceil(F.log2(high / bands)).cast("int"),
+        }
     )
-    extent = F.greatest(
-        F.col("__x1") - F.col("__x0"), F.col("__y1") - F.col("__y0"), F.lit(1e-9)
+    point = lambda c, i: F.get(F.get(F.col(c), F.col("__i")), i)
+    earlier = F.pmod(F.col("__i") - 1, F.col("__n"))
+    numbered = leveled.withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
+    return numbered.select(
+        "__polygon",
+        "__lx",
+        "__ly",
+        point("__ring", 0).alias("x1"),
+        point("__ring", 1).alias("y1"),
+        point("__before", 0).alias("x0"),
+        point("__before", 1).alias("y0"),
+        F.get(F.get("__before", earlier), 0).alias("xp"),
+        F.get(F.get("__before", earlier), 1).alias("yp"),
     )
-    leveled = sized.withColumn("__level", F.ceil(F.log2(extent / F.lit(CELLS_PER_AXIS))).cast("int"))
-    level = F.col("__level")
-    columns = leveled.withColumn(
-        "__cx", F.explode(F.sequence(_cell(F.col("__x0"), level), _cell(F.col("__x1"), level)))
+
+
+def _columns_of(xa: Column, ya: Column, xb: Column, yb: Column) -> tuple[Column, Column]:
+    """First and last column that an edge may touch inside its row's band."""
+    height, width = F.pow(F.lit(2.0), "__ly"), F.pow(F.lit(2.0), "__lx")
+    low, high = F.col("__cy") * height, (F.col("__cy") + 1) * height
+    at = lambda y: xa + (xb - xa) * (y - ya) / F.nullif(yb - ya, F.lit(0.0))
+    ends = (
+        F.coalesce(at(F.greatest(low, F.least(ya, yb))), xa),
+        F.coalesce(at(F.least(high, F.greatest(ya, yb))), xb),
     )
-    return columns.withColumn(
-        "__cy", F.explode(F.sequence(_cell(F.col("__y0"), level), _cell(F.col("__y1"), level)))
+    pad = width * MARGIN + 1e-11
+    return (
+        F.floor((F.least(*ends) - pad) / width).cast("bigint"),
+        F.floor((F.greatest(*ends) + pad) / width).cast("bigint"),
     )
 
 
+def polygon_cells(features: DataFrame) -> DataFrame:
+    """Grid cells of all outlines that are inside or cut; those outside have no row.
+
+    The cells of a polygon lie in bands of latitude and in columns. A cell holds the edges that may
+    touch its column inside its band (none: the cell is inside). Of the edges east of it only the
+    parity counts: ``odd`` tells it at the cell's lower border, and each latitude of ``turns`` changes it,
+    where the outline enters or leaves the columns further east. So an edge lies in the cells it
+    touches, and no outline is copied.
+    """
+    height = F.pow(F.lit(2.0), "__ly")
+    edges = _edges(features)
+    banded = edges.withColumn(
+        "__cy",
+        F.explode(
+            F.sequence(
+                _cell(F.least("y0", "y1"), F.col("__ly")), _cell(F.greatest("y0", "y1"), F.col("__ly"))
+            )
+        ),
+    )
+    first, last = _columns_of(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
+    before, _ = _columns_of(F.col("xp"), F.col("yp"), F.col("x0"), F.col("y0"))
+    low, high = F.col("__cy") * height, (F.col("__cy") + 1) * height
+    edge = F.struct(
+        "x0",
+        "y0",
+        "x1",
+        "y1",
+        first.alias("first"),
+        last.alias("last"),
+        ((F.col("y1") > low) != (F.col("y0") > low)).alias("spans"),
+        F.when((F.col("y0") > low) & (F.col("y0") < high), before).alias("before"),
+    )
+    bands = banded.groupBy("__polygon", "__lx", "__ly", "__cy").agg(F.collect_list(edge).alias("__edges"))
+    columns = F.sequence(F.array_min("__edges.first"), F.array_max("__edges.last"))
+    cells = bands.withColumn("__cx", F.explode(columns))
+    cx = F.col("__cx")
+    east = F.filter("__edges", lambda e: (e["first"] > cx) & e["spans"])
+    local = F.filter("__edges", lambda e: (e["first"] <= cx) & (e["last"] >= cx))
+    turns = F.filter(
+        "__edges", lambda e: e["before"].isNotNull() & ((e["first"] > cx) != (e["before"] > cx))
+    )
+    found = cells.select(
+        *CELL_KEYS,
+        (F.size(east) % 2 == 1).alias("__odd"),
+        F.transform(turns, lambda e: e["y0"]).alias("__turns"),
+        F.transform(local, lambda e: F.struct(e["x0"], e["y0"], e["x1"], e["y1"])).alias("__local"),
+    )
+    return found.where(F.col("__odd") | (F.size("__turns") > 0) | (F.size("__local") > 0))
+
+
+def _inside(lon: Column, lat: Column) -> Column:
+    """Even-odd rule from a cell: its own edges, and the parity of those further east."""
+    crossed = F.filter(
+        "__local",
+        lambda e: geo.crosses(lon, lat, e["x1"], e["y1"], e["x0"], e["y0"]),
+    )
+    turned = F.filter("__turns", lambda y: y <= lat)
+    return (F.size(crossed) + F.size(turned) + F.col("__odd").cast("int")) % 2 == 1
+
+
 def points_in_polygons(
     points: DataFrame, features: DataFrame, *, lon: str = "lon", lat: str = "lat", key: str
 ) -> DataFrame:
-    """The points inside any polygon.
+    """The points inside any polygon, by the even-odd rule on its outline.
 
-    Points meet only the outlines of their own cell and are then tested exactly. ``key`` is the
+    Points meet the cells they lie in and are tested against the edges of those. ``key`` is the
     points' unique column, needed where outlines of several sizes exist.
     """
     cells = polygon_cells(features)
-    levels = [row[0] for row in cells.select("__level").distinct().collect()]  # sizes, a few dozen
+    sizes = _edges(features).select("__lx", "__ly").distinct()
+    levels = [tuple(row) for row in sizes.collect()]  # pairs of sizes, a few dozen
     if not levels:
         return points.where(F.lit(False))
-    probes = points.withColumn("__level", F.explode(F.lit(sorted(levels))))
-    probes = probes.withColumns(
-        {
-            "__cx": _cell(F.col(lon), F.col("__level")),
-            "__cy": _cell(F.col(lat), F.col("__level")),
-        }
-    ).alias("p")
-    outlines = cells.select(*CELL_KEYS, "__ring").alias("o")
+    grids = F.array(*[F.struct(F.lit(a).alias("__lx"), F.lit(b).alias("__ly")) for a, b in sorted(levels)])
+    probes = points.withColumn("__grid", F.explode(grids)).select(
+        *points.columns,
+        "__grid.*",
+        _cell(F.col(lon), F.col("__grid.__lx")).alias("__cx"),
+        _cell(F.col(lat), F.col("__grid.__ly")).alias("__cy"),
+    )
+    inside = _inside(F.col(f"p.{lon}"), F.col(f"p.{lat}"))
     same_cell = [F.col(f"p.{name}") == F.col(f"o.{name}") for name in CELL_KEYS]
-    inside = geo.in_ring(F.col(f"p.{lon}"), F.col(f"p.{lat}"), F.col("o.__ring"))
-    hits = probes.join(
-        outlines, same_cell[0] & same_cell[1] & same_cell[2] & inside, "left_semi"
-    ).drop(*CELL_KEYS)
+    matched = same_cell[0] & same_cell[1] & same_cell[2] & same_cell[3] & inside
+    hits = probes.alias("p").join(cells.alias("o"), matched, "left_semi").drop(*CELL_KEYS)
     return hits if len(levels) == 1 else hits.dropDuplicates([key])
 
 
@@ -180,44 +276,82 @@ def hex_grid(
     """Centres of flat-top hexagons over the canvas, kept where inside a feature.
 
     Odd rows shift by a whole column step, as the lattice is defined, so the centres form a
-    rectangular lattice. Rows are spread over tasks before columns are generated.
+    rectangular lattice. Every edge meets the lattice rows between its ends; a row's crossings of an
+    outline in order give the runs of columns inside it. So the work follows the outline's crossings
+    and the cells found, and no centre is tested against a polygon.
     """
     column_step, row_step = radius * 2 * 0.75, math.sqrt(3) * radius
     corners = geo.Box.columns()
     x0, y0 = geo.project(corners.min_lon, corners.max_lat, corners, width, height)
     x1, y1 = geo.project(corners.max_lon, corners.min_lat, corners, width, height)
+    canvas = box.select(
+        *[F.col(c).alias(c) for c in ("min_lon", "max_lon", "min_lat", "max_lat")],
+        *[v.alias(n) for v, n in zip((x0, y0, x1, y1), ("left", "top", "right", "bottom"))],
+    )
+    edges = _edges(features).select("__polygon", "x0", "y0", "x1", "y1").join(F.broadcast(canvas))  # one row
+
+    def row_near(lat: Column) -> Column:
+        """The lattice row at a latitude, before rounding to a whole one."""
+        top, bottom = geo.mercator(corners.max_lat), geo.mercator(corners.min_lat)
+        y = (top - geo.mercator(lat)) / (top - bottom) * F.lit(float(height))
+        return (y - F.col("top")) / F.lit(row_step)
 
-    def steps(start: Column, end: Column, step: float) -> Column:
-        return F.sequence(F.lit(-1), (F.floor((end - start) / F.lit(step)) + F.lit(2)).cast("int"))
+    def bounded(value: Column, last: Column) -> Column:
+        return F.greatest(F.lit(-1), F.least(value, last)).cast("int")
 
+    last_row = F.floor((F.col("bottom") - F.col("top")) / F.lit(row_step)) + 2
+    last_col = F.floor((F.col("right") - F.col("left")) / F.lit(column_step)) + 2
+    upper, lower = row_near(F.greatest("y0", "y1")), row_near(F.least("y0", "y1"))
+    row_range = F.sequence(bounded(F.floor(upper) - 1, last_row), bounded(F.ceil(lower) + 1, last_row))
     offset = F.when(F.col("row") % 2 != 0, F.lit(column_step)).otherwise(F.lit(0.0))
-    rows = (
-        box.withColumns({"x0": x0, "y0": y0, "x1": x1, "y1": y1})
-        .withColumn("row", F.explode(steps(F.col("y0"), F.col("y1"), row_step)))
-        .withColumn("cy", F.col("y0") + F.col("row") * F.lit(row_step))
-        .where(F.col("cy") <= F.col("y1") + F.lit(row_step))
-        .repartition("row")
+    _, lat = geo.unproject(F.lit(0.0), F.col("cy"), corners, width, height)
+    crossings = (
+        edges.withColumn("row", F.explode(row_range))
+        .withColumn("cy", F.col("top") + F.col("row") * F.lit(row_step))
+        .where(F.col("cy") <= F.col("bottom") + F.lit(row_step))
+        .withColumn("lat", lat)
+        .where((F.col("y1") > F.col("lat")) != (F.col("y0") > F.col("lat")))
+        .withColumn("at", geo.crossing(F.col("lat"), F.col("x1"), F.col("y1"), F.col("x0"), F.col("y0")))
     )
-    cells = (
-        rows.withColumn("col", F.explode(steps(F.col("x0"), F.col("x1"), column_step)))
-        .withColumn("cx", F.col("x0") + F.col("col") * F.lit(column_step) + offset)
-        .where(F.col("cx") <= F.col("x1") + F.lit(column_step))
+    lines = crossings.groupBy("__polygon", "row", "cy", "lat", *canvas.columns).agg(
+        F.sort_array(F.collect_list("at")).alias("at")
+    )
+    # Crossings 0 and 1, 2 and 3, ... bound the runs: an odd number of crossings lies further east.
+    pair = F.explode(F.sequence(F.lit(0), F.expr("size(at) div 2 - 1").cast("int")))
+    runs = lines.withColumn("pair", pair).select(
+        "*", F.get("at", F.col("pair") * 2).alias("west"), F.get("at", F.col("pair") * 2 + 1).alias("east")
+    )
+
+    def col_near(lon: Column) -> Column:
+        x = (lon - corners.min_lon) / (corners.max_lon - corners.min_lon) * F.lit(float(width))
+        return (x - F.col("left") - offset) / F.lit(column_step)
+
+    col_range = F.sequence(
+        bounded(F.floor(col_near(F.col("west"))) - 1, last_col),
+        bounded(F.ceil(col_near(F.col("east"))) + 1, last_col),
     )
-    lon, lat = geo.unproject(F.col("cx"), F.col("cy"), corners, width, height)
-    centres = cells.select(
-        F.concat_ws(":", "row", "col").alias("cell"), "row", "col", "cx", "cy",
-        lon.alias("lon"), lat.alias("lat"),
+    cells = (
+        runs.withColumn("col", F.explode(col_range))
+        .withColumn("cx", F.col("left") + F.col("col") * F.lit(column_step) + offset)
+        .where(F.col("cx") <= F.col("right") + F.lit(column_step))
     )
-    return points_in_polygons(centres, features, key="cell")
+    lon, _ = geo.unproject(F.col("cx"), F.col("cy"), corners, width, height)
+    placed = cells.withColumn("lon", lon).where((F.col("lon") >= F.col("west")) & (F.col("lon") < F.col("east")))
+    return placed.select(
+        F.concat_ws(":", "row", "col").alias("cell"), "row", "col", "cx", "cy", "lon", "lat"
+    ).dropDuplicates(["row", "col"])  # polygons may overlap
 
 
 # -- X6 ------------------------------------------------------------------------------------------
 
-#: Stations (24 bytes each) sent to every task at a time.
-STATIONS_PER_BLOCK = 1_000_000
+#: Stations (24 bytes each) of a block, and targets that meet it together.
+STATIONS_PER_BLOCK, TARGETS_PER_BLOCK = 100_000, 20_000
 #: Cells of a distance matrix evaluated at once in a task.
 MATRIX_CELLS = 4_000_000
 
+_BLOCK = "block bigint, xs array<double>, ys array<double>, vs array<double>"
+_PACK = "ids array<bigint>, lons array<double>, lats array<double>"
+
 
 def idw(
     targets: DataFrame,
@@ -225,6 +359,7 @@ def idw(
     *,
     power: float = 2.0,
     block_rows: int = STATIONS_PER_BLOCK,
+    pack_rows: int = TARGETS_PER_BLOCK,
 ) -> DataFrame:
     """Inverse-distance mean of all stations at every target.
 
@@ -233,61 +368,102 @@ def idw(
     take no part; without any station the result is 0. A target without coordinates has no value.
     Rows of ``targets`` are evaluated each on its own, whatever keys they have.
 
-    Every station counts at every target, so the work is their product. Targets stay in their
-    partitions and keep running sums; the stations pass by in blocks of bounded size.
+    Every station counts at every target, so the work is their product. Stations are packed into
+    numbered array blocks of a written table, targets into packs; each pack meets each block in a task
+    that adds up one distance matrix, and the sums of a target are added up by Spark.
     """
-    columns = targets.columns
-    state = targets.withColumns(
-        {"__hit": F.lit(None).cast("double"), "__w": F.lit(0.0), "__wv": F.lit(0.0)}
-    )
-    for number, block in enumerate(_station_blocks(stations, block_rows)):
-        if number:
-            state = materialize(state, f"{shared_dir(targets.sparkSession)}/idw-{uuid.uuid4().hex}")
-        sums = _idw_sums(targets.sparkSession.sparkContext.broadcast(block), power)
-        state = state.withColumn("__s", sums("lon", "lat", "__w", "__wv")).select(
-            *columns,
-            F.coalesce("__hit", "__s.hit").alias("__hit"),
-            F.col("__s.w").alias("__w"),
-            F.col("__s.wv").alias("__wv"),
-        )
-    mean = F.coalesce(F.col("__wv") / F.nullif("__w", F.lit(0.0)), F.lit(0.0))
+    folder = f"{shared_dir(targets.sparkSession)}/idw-{uuid.uuid4().hex}"
+    usable = stations.select("seq", "lon", "lat", "value").na.drop()
+    ranged = usable.repartitionByRange("seq").sortWithinPartitions("seq")
+    blocks = materialize(ranged.mapInPandas(_packer(block_rows), _BLOCK), f"{folder}/stations")
+    numbers = blocks.agg(F.collect_list("block")).first()[0]  # one number per block
+    rows = targets.withColumn("__id", F.monotonically_increasing_id())
+    rows = materialize(rows, f"{folder}/targets")
     placed = F.col("lon").isNotNull() & F.col("lat").isNotNull()
-    return state.select(*columns, F.when(placed, F.coalesce("__hit", mean)).alias("value"))
+    mean = F.coalesce(F.col("__wv") / F.nullif("__w", F.lit(0.0)), F.lit(0.0))
+    value = F.when(placed, F.coalesce("__hit", mean)).alias("value")
+    if not numbers:
+        return rows.select(*targets.columns, F.when(placed, F.lit(0.0)).alias("value"))
+    packs = (
+        rows.where(placed)
+        .select("__id", F.col("lon").cast("double"), F.col("lat").cast("double"))
+        .mapInPandas(_target_packer(pack_rows), _PACK)
+        .withColumn("block", F.explode(F.lit(numbers)))
+    )
+    sums = packs.join(blocks, "block").mapInPandas(
+        _matrix_sums(power), "__id bigint, block bigint, hit double, w double, wv double"
+    )
+    first = F.min_by("hit", F.when(F.col("hit").isNotNull(), F.col("block")))
+    summed = sums.groupBy("__id").agg(first.alias("__hit"), F.sum("w").alias("__w"), F.sum("wv").alias("__wv"))
+    return rows.join(summed, "__id", "left").select(*targets.columns, value)
 
 
-def _station_blocks(stations: DataFrame, rows: int) -> Iterator[np.ndarray]:
-    """Columns lon, lat and value of the usable stations in their order, in blocks."""
-    usable = stations.select("seq", "lon", "lat", "value").na.drop().orderBy("seq")
-    block: list[tuple[float, float, float]] = []
-    for r in usable.toLocalIterator():
-        block.append((r.lon, r.lat, r.value))
-        if len(block) == rows:
-            yield np.array(block, dtype="float64").T
-            block = []
-    if block:
-        yield np.array(block, dtype="float64").T
+# The functions below are closures, so that they travel to the tasks by value and these need not import
+# this package.
 
 
-def _idw_sums(sent: Broadcast, power: float):
-    """UDF that adds one block of stations to the running sums of a target.
+def _packer(rows: int):
+    """Packs the stations of a partition, in order, into numbered blocks; later partitions count higher."""
 
-    A closure, so that it travels to the tasks by value and they need not import this package.
-    """
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = TaskContext.get().partitionId() << 32
+        rest: list[pd.DataFrame] = []
+        size = 0
+
+        def block(part: pd.DataFrame) -> pd.DataFrame:
+            arrays = {n: [part[c].to_numpy(float)] for n, c in (("xs", "lon"), ("ys", "lat"), ("vs", "value"))}
+            return pd.DataFrame({"block": [number], **arrays})
+
+        for frame in frames:
+            rest.append(frame)
+            size += len(frame)
+            while size >= rows:
+                whole = pd.concat(rest, ignore_index=True)
+                yield block(whole[:rows])
+                number += 1
+                rest, size = [whole[rows:]], size - rows
+        if size:
+            yield block(pd.concat(rest, ignore_index=True))
+
+    return pack
+
+
+def _target_packer(rows: int):
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), rows):
+                part = frame[at : at + rows]
+                columns = (("ids", "__id"), ("lons", "lon"), ("lats", "lat"))
+                yield pd.DataFrame({name: [part[c].to_numpy()] for name, c in columns})
+
+    return pack
+
+
+def _matrix_sums(power: float):
+    """Sums of one block of stations at the targets of a pack, and the first station too close."""
     cells, exact = MATRIX_CELLS, EXACT_DISTANCE
 
-    @F.pandas_udf("hit double, w double, wv double")
-    def sums(lon: pd.Series, lat: pd.Series, w: pd.Series, wv: pd.Series) -> pd.DataFrame:
-        x, y, v = sent.value
-        out = pd.DataFrame({"hit": np.nan, "w": w, "wv": wv})
-        step = max(1, cells // len(x))
-        for start in range(0, len(lon), step):
-            part = slice(start, start + step)
-            distance = np.hypot(lon.to_numpy()[part, None] - x, lat.to_numpy()[part, None] - y)
-            near = distance < exact
-            weight = 1.0 / np.where(near, 1.0, distance) ** power
-            out.iloc[part, 0] = np.where(near.any(axis=1), v[near.argmax(axis=1)], np.nan)
-            out.iloc[part, 1] += weight.sum(axis=1)
-            out.iloc[part, 2] += weight @ v
-        return out
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                x, y, v = (np.asarray(c, float) for c in (r.xs, r.ys, r.vs))
+                lon, lat = np.asarray(r.lons, float), np.asarray(r.lats, float)
+                step = max(1, cells // len(x))
+                for at in range(0, len(lon), step):
+                    part = slice(at, at + step)
+                    distance = np.hypot(lon[part, None] - x, lat[part, None] - y)
+                    near = distance < exact
+                    weight = 1.0 / np.where(near, 1.0, distance) ** power
+                    hit = near.any(axis=1)
+                    out = {
+                        "__id": np.asarray(r.ids)[part],
+                        "block": r.block,
+                        "hit": np.where(hit, v[near.argmax(axis=1)], np.nan),
+                        "w": weight.sum(axis=1),
+                        "wv": weight @ v,
+                    }
+                    result = pd.DataFrame(out)
+                    result["hit"] = result["hit"].astype(object).where(hit, None)
+                    yield result
 
     return sums
