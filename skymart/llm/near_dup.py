@@ -10,8 +10,12 @@ smallest id, and only classes go on:
 2. Pairs pass the size bound and the Jaccard estimate from their registers, corrected for registers
    that agree by chance, with five standard deviations of slack; then the full sets are compared.
 3. Links give components. Members of one bucket that are in different components after that are
-   checked against each other as well (by registers first, in blocks where a bucket is large), so
-   no pair of a bucket is left unchecked unless already connected.
+   checked against each other as well, so no pair of a bucket is left unchecked unless already
+   connected. Buckets are cut into blocks, and two blocks meet in a task. By registers it tells the
+   members that have a pair left to check, once for each pair in the first band it shares; with
+   the full sets of those, another task counts common shingles of all pairs at once and emits links
+   that connect something. No list of pairs is written: rows grow with members, also in a group
+   of near copies that all just miss the threshold.
 
 For a pair at a similarity of 0.8 the chance to share none of the 56 bands is about 4 in 100 million, and
 links through other documents make up for most of these.
@@ -40,8 +44,10 @@ BUCKETS = BANDS * BAND_SIZE
 EMPTY = np.uint16(0xFFFF)
 #: Standard deviations of the estimate by which a pair may miss the threshold and still be confirmed.
 SLACK = 5
-#: Members up to which a bucket's pairs are listed; of larger ones, blocks are compared in tasks.
-LISTED, BLOCK = 16, 512
+#: Members and shingles of a block, about; a task compares two blocks.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+#: Shingles whose holders are compared at once.
+COLUMNS = 4096
 #: Ids sent to all tasks to pick the texts of candidates; more of them are joined by a shuffle.
 SENT_IDS = 500_000
 
@@ -93,17 +99,28 @@ def dense(registers: np.ndarray) -> np.ndarray:
     Else a band of a small set would rest on a register or two, and agree by one common shingle.
     """
     out, full = registers.copy(), registers != EMPTY
-    empty, draw = np.flatnonzero(~full), np.random.default_rng(7)
+    empty, turn = np.flatnonzero(~full), 0
     if not full.any():
         return out
     while len(empty):
-        source = draw.integers(0, BUCKETS, BUCKETS)[empty]
+        source = _fill(turn)[empty]
         hit = full[source]
         out[empty[hit]] = registers[source[hit]]
-        empty = empty[~hit]
+        empty, turn = empty[~hit], turn + 1
     return out
 
 
+_DRAWS: list[np.ndarray] = []
+_DRAW = np.random.default_rng(7)
+
+
+def _fill(turn: int) -> np.ndarray:
+    """The bucket that each bucket takes its register from at a turn, the same for all sets."""
+    while len(_DRAWS) <= turn:
+        _DRAWS.append(_DRAW.integers(0, BUCKETS, BUCKETS))
+    return _DRAWS[turn]
+
+
 def bands(registers: np.ndarray) -> np.ndarray:
     """Bucket keys of the bands."""
     grouped = dense(registers).reshape(BANDS, BAND_SIZE)
@@ -205,46 +222,109 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def _likely_in_blocks(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The same for all pairs of large buckets that are in different components.
-
-    A bucket of m members is cut into m / BLOCK blocks. Two blocks meet in a task, which emits the
-    pairs that pass only: no task holds more than two blocks, and rows grow with m * m / BLOCK.
-    """
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks)
-    cells = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cells = cells.select(
-        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "label"
+CELL = ["key", "x", "y"]
+
+
+def _cells(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members (key, id, label) of buckets by pair of blocks: key, x, y, own block, id, label, n_shingles."""
+    sized = keep(members.join(classes.select("id", "n_shingles"), "id"), "sized")
+    counts = sized.groupBy("key").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("size"))
+    blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") / BLOCK_SHINGLES)).cast("int")
+    placed = sized.join(counts.select("key", blocks.alias("blocks")), "key")
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return cells.select(
+        "key",
+        F.least("own", "other").alias("x"),
+        F.greatest("own", "other").alias("y"),
+        "own",
+        "id",
+        "label",
+        "n_shingles",
     )
-    rows = cells.join(classes.select("id", "n_shingles", "registers"), "id")
+
+
+def _unchecked(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Rows of cells that have a likely pair across components there; key, x, y, own, id, label."""
+    rows = _cells(members, classes).join(classes.select("id", "registers"), "id")
 
     def run(cell: pa.Table) -> pa.Table:
-        ids, labels, own, x, y, n = (
-            cell[c].to_numpy() for c in ("id", "label", "own", "x", "y", "n_shingles")
-        )
+        ids, labels, own, n = (cell[c].to_numpy() for c in ("id", "label", "own", "n_shingles"))
+        x, y, here = (cell[c][0].as_py() for c in ("x", "y", "key"))
         registers, n = _registers(cell["registers"].combine_chunks()), n.astype(float)
-        keys, here = np.array([bands(r) for r in registers]), cell["key"][0].as_py()
-        found = []
-        left = np.flatnonzero(own == x)
-        for i in left.tolist():
-            if x[0] == y[0]:
+        keys = np.array([bands(r) for r in registers])
+        told = np.zeros(len(ids), bool)
+        for i in np.flatnonzero(own == x).tolist():
+            if x == y:
                 right = np.flatnonzero((labels != labels[i]) & (ids > ids[i]))
             else:
                 right = np.flatnonzero((own != x) & (labels != labels[i]))
-            close = 100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i])
-            right = right[close]
+            right = right[100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i])]
+            # A pair that meets in several buckets is told in the one of its first common band.
+            same = keys[right] == keys[i]
+            right = right[keys[i][same.argmax(axis=1)] == here]
             if len(right):
                 size = np.full(len(right), n[i])
-                passed = right[likely(registers[i : i + 1], registers[right], size, n[right], percent)]
-                # A pair that meets in several buckets is told in the one of its first common band.
-                same = keys[passed] == keys[i]
-                passed = passed[keys[i][same.argmax(axis=1)] == here]
-                found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in passed.tolist()]
-        a, b = zip(*found) if found else ((), ())
+                right = right[likely(registers[i : i + 1], registers[right], size, n[right], percent)]
+                told[right] = True
+                told[i] |= len(right) > 0
+        return cell.select([*CELL, "own", "id", "label"]).filter(pa.array(told))
+
+    return rows.groupBy(*CELL).applyInArrow(run, "key bigint, x int, y int, own int, id bigint, label bigint")
+
+
+def common_shingles(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many shingles the sets ``left`` and ``right`` (numbers of sets) have in common, pair by pair."""
+    values = np.concatenate([np.zeros(0, np.uint64), *sets])
+    holder = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, code, count = np.unique(values, return_inverse=True, return_counts=True)
+    shared = count[code] > 1
+    code, holder = np.cumsum(count > 1)[code[shared]] - 1, holder[shared]
+    order = np.argsort(code, kind="stable")
+    code, holder = code[order], holder[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int(code[-1]) + 1 if len(code) else 0, COLUMNS):
+        a, b = np.searchsorted(code, (start, start + COLUMNS))
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[holder[a:b], code[a:b] - start] = 1
+        out += has[left] @ has[right].T
+    return out
+
+
+def _roots(n: int, pairs: np.ndarray) -> list[tuple[int, int]]:
+    """Those of ``pairs`` that connect something new."""
+    parent, used = list(range(n)), []
+    for i, j in pairs.tolist():
+        a, b = i, j
+        while parent[a] != a:
+            parent[a] = a = parent[parent[a]]
+        while parent[b] != b:
+            parent[b] = b = parent[parent[b]]
+        if a != b:
+            parent[b] = a
+            used.append((i, j))
+    return used
+
+
+def _linked(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a cell, as few as connect what is similar enough."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        ids, labels, own = (cell[c].to_numpy() for c in ("id", "label", "own"))
+        x, y = cell["x"][0].as_py(), cell["y"][0].as_py()
+        held = [np.frombuffer(s, np.uint64) for s in cell["set"].to_pylist()]
+        left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        n = np.array([len(s) for s in held], float)
+        common = common_shingles(held, left, right)
+        union = n[left][:, None] + n[right][None, :] - common
+        similar = (100 * common >= percent * union) & (labels[left][:, None] != labels[right][None, :])
+        i, j = np.nonzero(similar)
+        used = _roots(len(ids), np.stack([left[i], right[j]], axis=1))
+        a = [min(ids[i], ids[j]) for i, j in used]
+        b = [max(ids[i], ids[j]) for i, j in used]
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.groupBy("key", "x", "y").applyInArrow(run, "a bigint, b bigint")
+    return cells.join(sets, "id").groupBy(*CELL).applyInArrow(run, "a bigint, b bigint")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -271,20 +351,32 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     return keep(joined.select("a", "b", "t1", "t2").mapInArrow(run, "a bigint, b bigint"), "links")
 
 
-def _crossed(live: DataFrame, labels: DataFrame, tested: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs, not tested yet, of one bucket whose members are in different components."""
+def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """id, set (sorted hashes) of the documents ``ids``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                sets = [s.tobytes() for s in shingle_sets(batch.column(1), width)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
+
+    wanted = ids.select(F.col("id").alias("doc_id")).distinct()
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").distinct()
+    return texts.mapInArrow(run, "id bigint, set binary")
+
+
+def _crossing(
+    live: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Links between members of one bucket that are in different components."""
     known = live.select("key", "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
     labelled = keep(known.select("key", "id", F.coalesce("component", "id").alias("label")), "labelled")
-    counts = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("m"))
-    mixed = keep(counts.filter("l <> h").select("key", "m"), "mixed")
-    members = keep(labelled.join(mixed, "key"), "members")
-    small = members.filter(F.col("m") <= LISTED)
-    one = small.select("key", F.col("id").alias("i"), F.col("label").alias("k"))
-    two = small.select("key", F.col("id").alias("j"), F.col("label").alias("l"))
-    listed = one.join(two, "key").filter("k < l").select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
-    listed = _likely(listed.distinct(), classes, percent)
-    large = _likely_in_blocks(members.filter(F.col("m") > LISTED), classes, percent)
-    return keep(listed.union(large).distinct().join(tested, ["a", "b"], "left_anti"), "crossed")
+    spread = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"))
+    mixed = keep(spread.filter("l <> h").select("key"), "mixed")
+    cells = keep(_unchecked(labelled.join(mixed, "key"), classes, percent), "cells")
+    sets = keep(_sets(docs, cells, width), "sets")
+    return keep(_linked(cells, sets, percent), "crossing")
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
@@ -303,17 +395,15 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
         ),
         "classes",
     )
-    keys = _keys(classes.filter(linkable(F.col("n_shingles"), percent)))
+    keys = keep(_keys(classes.filter(linkable(F.col("n_shingles"), percent))), "keys")
     hubs = keep(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n"), "hubs")
     live = keep(keys.join(hubs, "key"), "live")
     starred = keep(live.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "starred")
     links = _confirmed(_likely(starred, classes, percent), docs, width, percent)
     labels = components(links)
-    crossed = _crossed(live, labels, starred, classes, percent)
-    if not crossed.isEmpty():
-        more = _confirmed(crossed, docs, width, percent)
-        if not more.isEmpty():
-            labels = components(links.union(more))
+    more = _crossing(live, labels, classes, docs, width, percent)
+    if not more.isEmpty():
+        labels = components(links.union(more))
     found = drawn.select("doc_id", "n_shingles", "signature").join(classes.select("signature", "id"), "signature", "left")
     found = found.join(labels.withColumnRenamed("node", "id"), "id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))

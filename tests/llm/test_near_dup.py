@@ -9,7 +9,7 @@ from compare import difference, duck
 
 from document_rows import documents  # noqa: F401
 
-from skymart.llm import catalog, near_dup
+from skymart.llm import catalog, common, near_dup
 from skymart.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -103,10 +103,88 @@ def test_estimate_is_corrected():
             s, t = (np.unique(np.append(common, rng.integers(0, 1 << 64, own, np.uint64))) for _ in range(2))
             a.append(near_dup.sketch(s)), b.append(near_dup.sketch(t)), n.append(float(len(s)))
         guess, count = near_dup.estimate(np.array(a), np.array(b), np.array(n), np.array(n))
-        assert (count == near_dup.BUCKETS).all()
+        # 3,000 shingles leave a bucket empty once in 7,000 times; estimates rest on the others.
+        assert (count >= near_dup.BUCKETS - 2).all()
         assert abs(guess.mean() - shared / (shared + 2 * own)) < 0.015
 
 
+def near_misses(n, words, changed, seed=4):
+    """Copies of one text with so many words changed that no two are similar enough."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for at in rng.sample(range(words), changed):
+            copy[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_rows_grow_with_members_not_with_pairs(spark, documents, monkeypatch):
+    """A group of near copies that all just miss the threshold."""
+    written = {}
+
+    def keep(df, name):
+        kept = common.keep(df, name)
+        written[name] = written.get(name, 0) + kept.count()
+        return kept
+
+    monkeypatch.setattr(near_dup, "keep", keep)
+    sizes = {}
+    for n in (60, 180):
+        written.clear()
+        rows = near_misses(n, 300, 8)
+        got = found(near_dup.near_duplicates(documents(rows), width=4))
+        assert got == brute(rows, 4)
+        sizes[n] = dict(written)
+        assert written["cells"] > n  # members that must be compared with others, in several bands
+        assert written["crossing"] <= n
+    for name, rows in sizes[180].items():
+        assert rows <= 5 * max(sizes[60][name], 10), (name, sizes)
+
+
+@pytest.mark.parametrize("block,shingles", [(512, 1 << 20), (3, 1 << 20), (512, 900)])
+def test_blocks_find_the_same_links(documents, monkeypatch, block, shingles):
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", shingles)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(40):  # a hub that few are linked with, and links among the others
+        copy = list(base)
+        for at in rng.sample(range(400), 0 if not i else rng.choice([6, 12])):
+            copy[at] = f"y{rng.randrange(3)}-{at}"
+        rows.append((i, " ".join(copy)))
+    assert found(near_dup.near_duplicates(documents(rows), width=4)) == brute(rows, 4)
+
+
+def test_recall_of_planted_pairs(documents):
+    """Pairs of a similarity of 0.80 to 0.82, each on its own."""
+    rng, rows, planted = random.Random(2), [], 0
+    while planted < 300:
+        n = rng.randrange(60, 400)
+        base = [f"p{planted}-{i}" for i in range(n)]
+        copy = list(base)
+        for at in rng.sample(range(n), max(round(n / 38), 1)):
+            copy[at] = "z" + copy[at]
+        s, t = shingles(" ".join(base), 4), shingles(" ".join(copy), 4)
+        if 0.80 <= len(s & t) / len(s | t) <= 0.82:
+            rows += [(2 * planted, " ".join(base)), (2 * planted + 1, " ".join(copy))]
+            planted += 1
+    kept = [r[3] for r in found(near_dup.near_duplicates(documents(rows), width=4))]
+    assert sum(not k for k in kept) >= 0.999 * planted
+
+
+def test_common_shingles():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 9_000, n).astype(np.uint64)) for n in (0, 5, 900, 4_000, 8_000, 8_000)]
+    left, right = np.array([0, 2, 4]), np.array([1, 3, 5])  # a set is never compared with itself
+    want = [[len(np.intersect1d(sets[i], sets[j])) for j in right] for i in left]
+    assert near_dup.common_shingles(sets, left, right).tolist() == want
+    assert near_dup.common_shingles(sets[:1], np.array([0]), np.array([0])).tolist() == [[0.0]]
+
+
 def test_registers_hold_zeros_and_mantissa():
     h = np.array([0, 1, near_dup._FLOORS[7] + np.uint64(12345), near_dup._FLOORS[7] + np.uint64(99999)], np.uint64)
     registers = near_dup.sketch(h)
