@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skymart.llm import words
@@ -215,7 +215,9 @@ def _by_suffixes(contexts: DataFrame) -> DataFrame:
         if block:
             yield found(block)
 
-    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, RANGES)
+    # A fixed number of partitions: contexts are small for the work they make, and would be drawn together.
+    parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return contexts.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(run, RANGES)
 
 
 def _by_windows(contexts: DataFrame) -> DataFrame:
@@ -246,7 +248,11 @@ def _by_windows(contexts: DataFrame) -> DataFrame:
         "hot-windows",
     )
     often = keep(windows.groupBy("w1", "w2").count().filter("count > 1").drop("count"), "often")
-    return windows.join(often, ["w1", "w2"]).select("c1", "c2", "low", F.col("low").alias("high"))
+    found = windows.join(often, ["w1", "w2"]).select("c1", "c2", "low")
+    # Windows in a row differ from their rank by the same number.
+    rank = F.row_number().over(Window.partitionBy("c1", "c2").orderBy("low"))
+    rows = found.withColumn("row", F.col("low") - rank).groupBy("c1", "c2", "row")
+    return rows.agg(F.min("low").alias("low"), F.max("low").alias("high")).drop("row")
 
 
 def _same(left: str, right: str) -> Column:
@@ -296,15 +302,18 @@ def dedup(docs: DataFrame) -> DataFrame:
     contexts = _contexts(docs, wanted).join(shared, "anchor")
     ranges = _by_suffixes(contexts.filter(F.col("m") <= ANCHOR_CONTEXTS).drop("m"))
     ranges = ranges.union(_by_windows(contexts.filter(F.col("m") > ANCHOR_CONTEXTS).drop("m")))
-    whole = classes.filter("n > 1").select(
-        "c1", "c2", F.lit(0).cast("bigint").alias("low"), (F.col("place.last") - F.col("place.first")).alias("high")
-    )
-    marks = keep(ranges.union(whole).distinct(), "ranges")
-    hits = runs.join(marks, ["c1", "c2"]).select(
-        "doc_id", "text_hash", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high")
+    # One row per context: the whole of those that occur twice, the ranges found in the others.
+    last = F.col("place.last") - F.col("place.first")
+    span = F.struct(F.lit(0).cast("bigint").alias("low"), last.alias("high"))
+    whole = classes.filter("n > 1").select("c1", "c2", F.array(span).alias("spans"))
+    partly = ranges.join(whole.select("c1", "c2"), ["c1", "c2"], "left_anti").groupBy("c1", "c2")
+    marks = keep(whole.union(partly.agg(F.collect_set(F.struct("low", "high")))), "ranges")
+    shifted = F.transform(
+        "spans", lambda r: F.struct((F.col("first") + r["low"]).alias("low"), (F.col("first") + r["high"]).alias("high"))
     )
+    hits = runs.join(marks, ["c1", "c2"]).select("doc_id", "text_hash", shifted.alias("spans"))
     by_doc = keep(
-        hits.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("low", "high")).alias("ranges")), "removed"
+        hits.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("spans")).alias("ranges")), "removed"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
