@@ -9,12 +9,14 @@ letter. Its score is that language's share after a softmax over the languages.
 
 Training reads whole labelled texts, about ``PER_LANG`` per language picked by a hash of the id (all
 of them where there are fewer), of at most ``MAX_LANGS`` languages, the most frequent ones. This
-bound is what lets the model be sent to all tasks. A fifth of the sample calibrates the rejection: a
-text is rejected if its cross-entropy is nearer to that of other languages under the chosen model
-than to the language's own, by more than the noise to expect from its length.
+bound is what lets the model be sent to all tasks. Each half of the sample is judged by a model of the
+other half. That calibrates the rejection: a text is rejected if its cross-entropy is nearer to that of
+other languages under the chosen model than to the language's own, by more than the noise to expect
+from its length. Labelled texts that are rejected that way themselves are not learned, so a few texts
+with a wrong label, or of no language at all, don't pass for one later. The model learns all others.
 
 Null texts, and texts without letters, are ``und`` with score 0, and rejected. Without any labelled
-text all are. Repeated rows are predicted each; extra columns are ignored unless carried.
+text all are. Of languages with equal cross-entropy the first by name counts. Repeated rows are predicted each; extra columns are ignored unless carried.
 """
 
 from __future__ import annotations
@@ -30,12 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymart.llm import words
-from skymart.llm.common import text_buffer
+from skymart.llm.common import keep, text_buffer
 
 PER_LANG = 1500
 MAX_LANGS = 500
-#: Labelled texts from which a language gives some to calibration; all texts of rarer ones are learned.
-LEAST_CHECKED = 20
 UNKNOWN = "und"
 ORDER = 4
 SIGN_BITS = 16
@@ -192,23 +192,24 @@ def entropies(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _chosen(docs: DataFrame, learn: Column) -> DataFrame:
-    """Text, language and calibration flag of the sample of labelled texts."""
+    """Language and text of the sample of labelled texts, and the half each belongs to."""
     rows = docs.filter(F.coalesce(learn, F.lit(False)) & F.col("lang").isNotNull())
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not counts:
-        return docs.select(F.lit("").alias("lang"), F.col("text").cast("string"), F.lit(False).alias("check")).limit(0)
-    shares = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, PER_LANG / r["count"]))))
-    draw = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.try_element_at(shares, F.col("lang"))
-    enough = F.col("lang").isin([r["lang"] for r in counts if r["count"] >= LEAST_CHECKED])
-    return rows.filter(share.isNotNull() & (draw("sample") < share)).select(
-        "lang", F.col("text").cast("string").alias("text"), (enough & (draw("check") < 0.2)).alias("check")
+    share = F.lit(None).cast("double")
+    if counts:
+        shares = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, PER_LANG / r["count"]))))
+        share = F.try_element_at(shares, F.col("lang"))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    half = F.pmod(F.xxhash64("doc_id", "text", F.lit("half")), F.lit(2)).cast("int")
+    chosen = rows.filter(share.isNotNull() & (draw < share))
+    return keep(
+        chosen.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), half.alias("half")),
+        "labelled",
     )
 
 
-def fit(docs: DataFrame, learn: Column) -> Model | None:
-    """Learn from text and lang of the rows that ``learn`` allows; None without any letter there."""
-    sample = _chosen(docs, learn)
+def _counts(sample: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Sorted four-gram keys of each language and their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,41 +223,100 @@ def fit(docs: DataFrame, learn: Column) -> Model | None:
                     names=["lang", "key", "n"],
                 )
 
-    grams = sample.filter("not check").select("lang", "text").mapInArrow(count, "lang string, key bigint, n bigint")
+    grams = sample.select("lang", "text").mapInArrow(count, "lang string, key bigint, n bigint")
     table = grams.groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
     counts = {}
     for lang, rows in table.groupby("lang"):
         keys = rows["key"].to_numpy().view(np.uint64)
         order = np.argsort(keys)
         counts[lang] = keys[order], rows["n"].to_numpy()[order].astype(float)
+    return counts
+
+
+def fit(docs: DataFrame, learn: Column) -> Model | None:
+    """Learn from text and lang of the rows that ``learn`` allows; None without any letter there."""
+    sample = _chosen(docs, learn)
+    halves = [_counts(sample.filter(F.col("half") == h)) for h in (0, 1)]
+    both = [_Judge(build(sorted(c), c), 1 - h) for h, c in enumerate(halves) if c]
+    if not both:
+        return None
+    rows = [r for judge in both for r in judge.rows(sample)]
+    langs = sorted(set().union(*halves))
+    limits = _calibrated(langs, rows, both[0].model.floor)
+    learned = None
+    for h in (0, 1):
+        own = sample.filter(F.col("half") == h)
+        judge = next((j for j in both if j.half == h), None)
+        own = judge.kept(own, limits) if judge else own.select("lang", "text")
+        learned = own if learned is None else learned.union(own)
+    counts = _counts(learned)
     if not counts:
         return None
     model = build(sorted(counts), counts)
-    _calibrate(model, sample.filter("check"))
+    for i, lang in enumerate(model.langs):
+        model.own[i], model.other[i], model.noise[i] = limits[lang]
     return model
 
 
-def _calibrate(model: Model, checked: DataFrame) -> None:
-    sent = checked.sparkSession.sparkContext.broadcast(model)
+@dataclass
+class _Judge:
+    """A model of one half of the labelled texts, for those of the other ``half``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ce, letters, _ = entropies(sent.value, batch.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ce.tolist(), pa.list_(pa.float64())), pa.array(letters)],
-                names=["lang", "ce", "letters"],
-            )
-
-    rows = checked.select("lang", "text").mapInArrow(run, "lang string, ce array<double>, letters double").collect()
-    rows = [r for r in rows if r.letters > 0]
-    for i, lang in enumerate(model.langs):
-        own = np.array([(r.ce[i], r.letters) for r in rows if r.lang == lang]).reshape(-1, 2)
-        others = [r.ce[i] for r in rows if r.lang != lang]
-        model.own[i] = np.median(own[:, 0]) if len(own) else -model.floor
-        far = np.median(others) if others else -model.floor
-        model.other[i] = max(far, model.own[i])
-        if len(own):
-            model.noise[i] = 1.5 * np.median(np.abs(own[:, 0] - model.own[i]) * np.sqrt(own[:, 1]))
+    model: Model
+    half: int
+
+    def rows(self, sample: DataFrame) -> list[tuple[str, dict[str, float], float]]:
+        """Language, cross-entropy by language and letters of the texts with letters."""
+        sent = sample.sparkSession.sparkContext.broadcast(self.model)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ce, letters, _ = entropies(sent.value, batch.column(1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(ce.tolist(), pa.list_(pa.float64())), pa.array(letters)],
+                    names=["lang", "ce", "letters"],
+                )
+
+        texts = sample.filter(F.col("half") == self.half).select("lang", "text")
+        found = texts.mapInArrow(run, "lang string, ce array<double>, letters double").collect()
+        return [(r.lang, dict(zip(self.model.langs, r.ce)), r.letters) for r in found if r.letters > 0]
+
+    def kept(self, texts: DataFrame, limits: dict[str, tuple[float, float, float]]) -> DataFrame:
+        """Those not too unlike their language; all of a language that the model doesn't know."""
+        sent = texts.sparkSession.sparkContext.broadcast(self.model)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            place = {lang: i for i, lang in enumerate(sent.value.langs)}
+            for batch in batches:
+                ce, letters, _ = entropies(sent.value, batch.column(1))
+                fine = []
+                for i, lang in enumerate(batch.column(0).to_pylist()):
+                    known = place.get(lang)
+                    limit = _limit(*limits[lang], letters[i]) if lang in limits else np.inf
+                    fine.append(known is None or ce[i, known] <= limit)
+                yield batch.filter(pa.array(fine, pa.bool_()))
+
+        return texts.select("lang", "text").mapInArrow(run, "lang string, text string")
+
+
+def _limit(own: float, other: float, noise: float, letters: float) -> float:
+    """Cross-entropy above which a text is rejected."""
+    return (own + other) / 2 + 4 * noise / np.sqrt(np.maximum(letters, 1))
+
+
+def _calibrated(
+    langs: list[str], rows: list[tuple[str, dict[str, float], float]], floor: float
+) -> dict[str, tuple[float, float, float]]:
+    """Own cross-entropy, that of other languages and the noise per letter of each language."""
+    out = {}
+    for lang in langs:
+        own = np.array([(ce[lang], n) for name, ce, n in rows if name == lang and lang in ce]).reshape(-1, 2)
+        others = [ce[lang] for name, ce, _ in rows if name != lang and lang in ce]
+        near = np.median(own[:, 0]) if len(own) else -floor
+        far = max(np.median(others) if others else -floor, near)
+        noise = 1.5 * np.median(np.abs(own[:, 0] - near) * np.sqrt(own[:, 1])) if len(own) else 0.0
+        out[lang] = near, far, noise
+    return out
 
 
 def decide(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -266,7 +326,7 @@ def decide(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.nda
     rows = np.arange(len(best))
     lead = np.exp((ce[rows, best][:, None] - ce) * np.sqrt(np.maximum(predicted, 1))[:, None])
     lowest = ce[rows, best]
-    limit = (model.own + model.other)[best] / 2 + 4 * model.noise[best] / np.sqrt(np.maximum(letters, 1))
+    limit = _limit(model.own[best], model.other[best], model.noise[best], letters)
     none = letters == 0
     langs = [UNKNOWN if n else model.langs[b] for n, b in zip(none, best)]
     return langs, np.where(none, 0.0, 1.0 / lead.sum(axis=1)), lowest, none | (lowest > limit)
