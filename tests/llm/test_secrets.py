@@ -84,8 +84,8 @@ def test_empty(documents, tmp_path):
 
 
 def test_query(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").toPandas()
-    got = {r.doc_id: r for r in catalog.op7_secret_scan(spark, "/root/testdata/sf0.001").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").toPandas()
+    got = {r.doc_id: r for r in catalog.op7_secret_scan(spark, "/root/testdata/sf0.01").collect()}
     assert len(got) == len(docs)
     for doc_id, text in zip(docs.doc_id, docs.text):
         spans = brute(text)
