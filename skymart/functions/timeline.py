@@ -45,11 +45,12 @@ def _cuts(df: DataFrame, key: str, sort_keys: Sequence[str], slice_rows: int) ->
     per_slice = max(slice_rows // every * 3 // 4, 1)
     drawn = F.pmod(F.xxhash64(key, *sort_keys), F.lit(every)) == 0
     sample = df.where(F.col(key).isNotNull() & drawn).select(key, _place(sort_keys).alias(PLACE))
-    total = sample.agg(F.count(F.lit(1)).alias("n")).scalar()
-    step = F.greatest(F.lit(per_slice), F.ceil(total / F.lit(MAX_CUTS)).cast("int"))
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(PLACE))
-    ranked = sample.withColumn("__rank", rank).where(F.col("__rank") % step == 0)
-    return ranked.groupBy(key).agg(F.sort_array(F.collect_list(PLACE)).alias(CUTS))
+    ranked = sample.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy(PLACE)))
+    # The same shuffle of the sample serves the count and the cuts.
+    total = ranked.where(F.col("__rank") % per_slice == 0).agg(F.count(F.lit(1)).alias("n")).scalar()
+    step = F.greatest(F.ceil(total / F.lit(MAX_CUTS)), F.lit(1)).cast("int") * per_slice
+    cuts = ranked.where(F.col("__rank") % step == 0).groupBy(key)
+    return cuts.agg(F.sort_array(F.collect_list(PLACE)).alias(CUTS))
 
 
 def _slice_of(sort_keys: Sequence[str]) -> Column:

@@ -338,14 +338,12 @@ def _write_rollups(
     if base.tables.get("fact_weather") and "fact_days" not in base.tables:
         return {}  # a warehouse from before the aggregates: they are computed when asked for
     places = warehouse.read("dim_location", dimensions["dim_location"])
-    added = warehouse.write(rollup.by_day(facts), "fact_days")
-    days = _but(base.tables.get("fact_days", []), there) + added
-    new = warehouse.read("fact_days", added)
-    merged = all_days = None
+    days = _grow_months(warehouse, base, "fact_days", rollup.by_day(facts), there)
+    covered = _grow_months(warehouse, base, "time_coverage", rollup.coverage(facts, places), there)
+    new, merged, all_days = rollup.by_day(facts), None, None
     if there:  # a merged day holds all its locations, those it had before as well
         merged = new.where(F.col("date").cast("string").isin(sorted(there))).select("location_id").distinct()
         all_days = warehouse.read("fact_days", days)
-    covered = warehouse.write(rollup.coverage(facts, places), "time_coverage")
     totals = regroup(
         warehouse,
         base,
@@ -356,11 +354,27 @@ def _write_rollups(
     )
     return {
         "fact_days": days,
-        "time_coverage": _but(base.tables.get("time_coverage", []), there) + covered,
+        "time_coverage": covered,
         "location_totals": totals,
     }
 
 
+def _grow_months(
+    warehouse: Warehouse, base: Snapshot, table: str, added: DataFrame, there: set[str]
+) -> list[str]:
+    """Directories of an aggregate by month: months of merged days or many directories are rewritten."""
+    published = base.tables.get(table, [])
+    parts = Counter(map(partition_value, published))
+    months = {day[:7] for day in there} | {m for m, n in parts.items() if n >= MAX_DAY_DIRECTORIES}
+    old = [path for path in published if partition_value(path) in months]
+    if old:
+        kept = warehouse.read(table, old)
+        if there:
+            kept = kept.where(~F.col("date").cast("string").isin(sorted(there)))
+        added = added.unionByName(kept)
+    return _but(published, months) + warehouse.write(added, table)
+
+
 def regroup(
     warehouse: Warehouse,
     base: Snapshot,

@@ -2,7 +2,7 @@
 
 ``fact_days`` has one row per location and day, ``location_totals`` one per location, ``time_coverage``
 one per timestamp. All of them are sums, counts and extremes of whole days: a load adds the rows
-of the days it appends, and replaces those of the days it merges. Totals of locations on merged days
+of the days it appends, and replaces those of the days it merges (in directories of a month). Totals of locations on merged days
 are added up again from ``fact_days``, which also mends extremes that a merge took away.
 """
 
@@ -27,7 +27,7 @@ def by_day(facts: DataFrame) -> DataFrame:
         for name in MEASURES
         for total in (F.sum(numeric.unscaled(F.col(name))).alias(f"{name}_sum"), F.count(name).alias(f"{name}_n"))
     ]
-    return facts.groupBy("location_id", "date").agg(
+    days = facts.groupBy("location_id", "date").agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("time_id").alias("first"),
         F.max("time_id").alias("last"),
@@ -36,6 +36,11 @@ def by_day(facts: DataFrame) -> DataFrame:
         *sums,
         F.sum((cents * cents).cast("decimal(14,0)")).cast("decimal(24,0)").alias(SQUARES),
     )
+    return days.withColumn("month", month("date"))
+
+
+def month(date: str | Column) -> Column:
+    return F.date_format(date, "yyyy-MM")
 
 
 def by_location(parts: DataFrame) -> DataFrame:
@@ -59,6 +64,7 @@ def coverage(facts: DataFrame, places: DataFrame, pattern: str = CODE_PATTERN) -
         .join(coded, "location_id")
         .groupBy("time_id", "date")
         .agg(F.countDistinct("district").alias("districts"))
+        .withColumn("month", month("date"))
     )
 
 

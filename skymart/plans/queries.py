@@ -102,7 +102,8 @@ def closest_timestamp(
         around = star.coverage(pattern)
         if days is not None:
             span = timedelta(days=days)
-            around = within(around, as_of - span, as_of + span)
+            months = (f"{as_of - span:%Y-%m}", f"{as_of + span:%Y-%m}")
+            around = within(around, as_of - span, as_of + span).where(F.col("month").between(*months))
         hit = _nearest(around, as_of, min_locations).collect()
         if hit or days is None:
             break
@@ -179,14 +180,16 @@ def _first_districts(star: Star, rows: int) -> Star:
     if star.totals is None:
         return star
     districts = with_district(star.totals.select("location_id", "rows"), star).groupBy("district")
-    listed = districts.agg(F.sum("rows").alias("rows"))
-    names, found = [], 0
+    listed = districts.agg(F.sum("rows").alias("rows"), F.collect_list("location_id").alias("keys"))
+    names, keys, found = [], [], 0
     for row in listed.orderBy("district").limit(rows).collect():  # each has a row at least
         if found >= rows:
             break
         names.append(row["district"])
+        keys += row["keys"]
         found += row["rows"]
-    return at_locations(star, F.col("district").isin(names) if names else F.lit(False))
+    places = star.dim_location.where(F.col("district").isin(names) if names else F.lit(False))
+    return star.at(places, keys if len(keys) <= MAX_LITERAL_KEYS else None)
 
 
 def forecast(

@@ -7,8 +7,8 @@ microseconds, so no view needs ``dim_time``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import UTC, datetime, timedelta
+from dataclasses import dataclass, replace
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ class Star:
     """The tables of one warehouse snapshot.
 
     ``days``, ``totals`` and ``covered`` are the aggregates a load keeps of all facts; None where facts
-    are only some of them, or the warehouse is older than the aggregates.
+    are only some of them, or the warehouse is older than the aggregates. ``newest`` is the watermark.
     """
 
     fact: DataFrame
@@ -42,6 +42,7 @@ class Star:
     days: DataFrame | None = None
     totals: DataFrame | None = None
     covered: DataFrame | None = None
+    newest: datetime | None = None
 
     @classmethod
     def of(cls, warehouse: Warehouse) -> "Star":
@@ -49,7 +50,8 @@ class Star:
         names = ["fact_weather", "dim_location", "dim_weather"]
         if "fact_days" in current.tables:
             names += ["fact_days", "location_totals", "time_coverage"]
-        return cls(*[warehouse.table(name, snapshot=current) for name in names])
+        tables = [warehouse.table(name, snapshot=current) for name in names]
+        return replace(cls(*tables), newest=current.watermark)
 
     def between(self, first: datetime | None = None, last: datetime | None = None) -> "Star":
         """Only facts in a closed time range; prunes the daily partitions."""
@@ -69,7 +71,8 @@ class Star:
                 return table.join(places, "location_id", "left_semi")
             return table.where(F.col("location_id").isin(keys) if keys else F.lit(False))
 
-        return Star(there(self.fact), places, self.dim_weather, there(self.days), there(self.totals))
+        some = {name: there(getattr(self, name)) for name in ("fact", "days", "totals")}
+        return replace(self, dim_location=places, covered=None, **some)
 
     def sums(self) -> DataFrame:
         """One row per location with the sums of its facts."""
@@ -121,41 +124,43 @@ def with_weather(facts: DataFrame, star: Star, *columns: str) -> DataFrame:
 NEWEST_DAYS = (2, 32, 512, None)
 
 
-def newest_days(star: Star, rows: int) -> DataFrame:
-    """location_id, date: the days that hold the newest ``rows`` facts of every location.
+def newest_days(star: Star, rows: int) -> list[date]:
+    """The days that hold the newest ``rows`` facts of every location.
 
-    Days are searched from the newest one backwards. A location is done when the days read hold
-    ``rows`` of its facts, or all it has by its total; the search stops when all are done. The plan
-    reads sums of days, and no fact.
+    Days are searched from the watermark backwards. A location is done when the days read hold
+    ``rows`` of its facts, or all it has by its total; the search stops when all are done. One small
+    job over sums of days per step, and no fact is read.
     """
     wanted = star.totals.select("location_id", F.least("rows", F.lit(rows)).alias("wanted"))
-    newest = star.totals.agg(F.to_date(F.timestamp_micros(F.max("last")))).first()[0]
-    days = star.days.select("location_id", "date", "rows")
-    for span in NEWEST_DAYS:
-        found = days
-        if span is not None and newest is not None:
-            found = days.where(F.col("date") > F.lit(newest - timedelta(days=span)))
-        have = found.groupBy("location_id").agg(F.sum("rows").alias("have"))
-        short = wanted.join(have, "location_id", "left").where(F.coalesce("have", F.lit(0)) < F.col("wanted"))
-        if span is None or newest is None or short.isEmpty():
+    spans = [n for n in NEWEST_DAYS if n is None or star.newest is not None]
+    for span in spans:
+        found = star.days
+        if span is not None:
+            first = star.newest.date() - timedelta(days=span - 1)
+            found = found.where((F.col("month") >= F.lit(f"{first:%Y-%m}")) & (F.col("date") >= F.lit(first)))
+        # A day of one location may lie in several directories.
+        found = found.groupBy("location_id", "date").agg(F.sum("rows").alias("rows"))
+        backwards = Window.partitionBy("location_id").orderBy(F.desc("date"))
+        newer = F.sum("rows").over(backwards.rowsBetween(Window.unboundedPreceding, -1))
+        ranked = found.withColumn("place", F.row_number().over(backwards)).where(F.col("place") <= rows)
+        needed = ranked.withColumn("newer", newer).where(F.coalesce("newer", F.lit(0)) < rows)
+        own = needed.groupBy("location_id").agg(F.sum("rows").alias("have"), F.collect_list("date").alias("days"))
+        short = F.coalesce("have", F.lit(0)) < F.col("wanted")
+        state = wanted.join(own, "location_id", "left").agg(
+            F.count_if(short).alias("short"), F.array_distinct(F.flatten(F.collect_set("days"))).alias("days")
+        )
+        result = state.first()
+        if not result["short"]:
             break
-    # A day of one location may lie in several directories.
-    found = found.groupBy("location_id", "date").agg(F.sum("rows").alias("rows"))
-    backwards = Window.partitionBy("location_id").orderBy(F.desc("date"))
-    place = F.row_number().over(backwards)
-    newer = F.sum("rows").over(backwards.rowsBetween(Window.unboundedPreceding, -1))
-    ranked = found.withColumn("place", place).where(F.col("place") <= rows)
-    return ranked.withColumn("newer", newer).where(F.coalesce("newer", F.lit(0)) < rows).select("location_id", "date")
+    return result["days"]
 
 
 def _newest_facts(star: Star, rows: int) -> DataFrame:
     """Facts of the days that matter, or all facts where sums of days are missing."""
     if star.days is None or star.totals is None:
         return star.fact
-    wanted = newest_days(star, rows)
-    dates = [r[0] for r in wanted.select("date").distinct().collect()]  # at most one per day of history
-    facts = star.fact.where(F.col("date").isin(dates) if dates else F.lit(False))
-    return facts.join(wanted, ["location_id", "date"], "left_semi")
+    dates = newest_days(star, rows)
+    return star.fact.where(F.col("date").isin(dates) if dates else F.lit(False))
 
 
 def latest_per_district(star: Star, rows: int, *location_columns: str) -> DataFrame:

@@ -58,11 +58,11 @@ _ROLLUP = (
 )
 
 #: Sums of the facts kept by the load: per location and day, and per location.
-FACT_DAYS = f"location_id bigint, {_ROLLUP}, date date"
+FACT_DAYS = f"location_id bigint, date date, {_ROLLUP}, month string"
 LOCATION_TOTALS = f"location_id bigint, {_ROLLUP}, bucket int"
 
 #: Number of coded districts per timestamp, kept by the load.
-TIME_COVERAGE = "time_id bigint, districts bigint, date date"
+TIME_COVERAGE = "time_id bigint, date date, districts bigint, month string"
 
 #: Running per-location totals kept by the incremental ingest.
 LOCATION_STATS = (

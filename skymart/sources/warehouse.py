@@ -19,17 +19,17 @@ from skymart.schemas import TABLES
 
 #: Older manifests are dropped; they only serve readers that started before the last loads.
 KEPT_MANIFESTS = 5
-#: Column by which a table's directories are cut: days, or hash buckets of locations.
+#: Column by which a table's directories are cut: days, months, or hash buckets of locations.
 PARTITIONED = {
     "fact_weather": "date",
-    "fact_days": "date",
-    "time_coverage": "date",
+    "fact_days": "month",
+    "time_coverage": "month",
     "seen_keys": "date",
     "location_totals": "bucket",
     "location_stats": "bucket",
 }
 #: Hash buckets of the tables with a row per location; a load rewrites those it touches.
-BUCKETS = 32
+BUCKETS = 16
 
 
 @dataclass(frozen=True)
