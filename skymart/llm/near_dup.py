@@ -327,6 +327,13 @@ def _linked(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return cells.join(sets, "id").groupBy(*CELL).applyInArrow(run, "a bigint, b bigint")
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the documents with these ids, equal rows once."""
+    ids = keep(ids.distinct(), "ids")
+    few = ids.count() <= SENT_IDS
+    return docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").distinct()
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
 
@@ -341,10 +348,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
                 yield batch.filter(pa.array(passed, pa.bool_())).select([0, 1])
 
     pairs = keep(pairs, "pairs")
-    ids = keep(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    few = ids.count() <= SENT_IDS
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    texts = keep(texts.distinct(), "texts")
+    texts = keep(_texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), "texts")
     joined = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("t1")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t2")), "b"
     )
@@ -361,9 +365,7 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 sets = [s.tobytes() for s in shingle_sets(batch.column(1), width)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
 
-    wanted = ids.select(F.col("id").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").distinct()
-    return texts.mapInArrow(run, "id bigint, set binary")
+    return _texts(docs, ids.select(F.col("id").alias("doc_id"))).mapInArrow(run, "id bigint, set binary")
 
 
 def _crossing(
