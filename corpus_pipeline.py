@@ -1,7 +1,13 @@
 """From raw documents to packed training sequences.
 
 Every stage takes (spark, docs, sf_dir) and gives a DataFrame that is written as Parquet and read
-again as the next one's docs. All but the last keep the columns of documents.
+again as the next one's docs. All but the last keep the columns of documents, and any others that
+come along, whatever their names.
+
+Null and empty texts go at language ID, as they have no letter. Null ids are documents of their own.
+Rows with one id are told apart by their texts; equal rows share one fate in line dedup and
+decontamination, and one of them stays in near-dedup. Very long texts are worked on whole. Empty
+tables give empty tables with the same columns.
 """
 
 from __future__ import annotations
@@ -17,6 +23,14 @@ from skymart.llm.ship import shipped
 SENT_ROWS = 500_000
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its columns by number (so that no name can clash), and doc_id, text and lang."""
+    own = [f"column_{i}" for i in range(len(docs.columns))]
+    by_name = dict(zip(docs.columns, own))
+    known = [F.col(by_name[name]).alias(name) for name in ("doc_id", "text", "lang") if name in by_name]
+    return docs.toDF(*own).select(*own, *known), own
+
+
 def _without(docs: DataFrame, gone: DataFrame, on: Column, name: str) -> DataFrame:
     """``docs`` (as d) without those that match a row of ``gone`` (as g)."""
     gone = keep(gone.distinct(), name)
@@ -26,19 +40,32 @@ def _without(docs: DataFrame, gone: DataFrame, on: Column, name: str) -> DataFra
 
 @shipped
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leave out texts without letters, and those too unlike the language they are nearest to."""
+    """Leave out texts without letters, and those too unlike the language they are nearest to.
+
+    Null and empty texts have no letter. Repeated rows and long texts are judged like any other; of
+    two languages equally near the first by name counts. Without any labelled text all go.
+    """
+    rows, own = _numbered(docs)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    model = langid.fit(docs, fold != 2)
-    return langid.predict(docs, model, docs.columns).filter("not rejected").select(*docs.columns)
+    model = langid.fit(rows, fold != 2)
+    return langid.predict(rows, model, own).filter("not rejected").select(*own).toDF(*docs.columns)
 
 
 @shipped
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop repeated and near-repeated lines, and documents of which no text is left by that."""
-    rows = line_dedup.dedup(docs, docs.columns)
-    left = rows.filter((F.col("n_repeated") + F.col("n_similar") == 0) | (F.trim("new_text") != ""))
-    changed = {"text": F.col("new_text"), "n_chars": F.length("new_text").cast("bigint")}
-    return left.withColumns(changed).select(*docs.columns)
+    """Drop repeated and near-repeated lines, and documents of which no text is left by that.
+
+    A line lives where it occurs first, by doc_id (null last) and line number. Rows of equal id and
+    text are one document. Documents that lose no line stay as they are, null and empty ones as well.
+    """
+    rows, own = _numbered(docs)
+    by_name = dict(zip(docs.columns, own))
+    found = line_dedup.dedup(rows, own)
+    left = found.filter((F.col("n_repeated") + F.col("n_similar") == 0) | (F.trim("new_text") != ""))
+    changed = {by_name["text"]: F.col("new_text")}
+    if "n_chars" in by_name:
+        changed[by_name["n_chars"]] = F.length("new_text").cast("bigint")
+    return left.withColumns(changed).select(*own).toDF(*docs.columns)
 
 
 @shipped
@@ -46,18 +73,24 @@ def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Keep one row of each near-duplicate group, one with the smallest id; null ids come last.
 
     Rows are told apart by a written key in the order of ids, so rows that repeat an id and rows
-    without one are compared as well.
+    without one are compared as well. Texts without words are no copies of each other and stay. Which
+    of several equal rows stays makes no difference.
     """
-    ordered = docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-    rows = keep(ordered.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    found = near_dup.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"))
-    gone = found.filter("not kept").select("doc_id")
-    return _without(rows, gone, F.col("d.__row") == F.col("g.doc_id"), "copies").select(*docs.columns)
+    renamed, own = _numbered(docs)
+    ordered = renamed.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    rows = keep(ordered.select(*own, "text", F.monotonically_increasing_id().alias("row")), "rows")
+    found = near_dup.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+    gone = found.filter("not kept").select(F.col("doc_id").alias("copy"))
+    left = _without(rows, gone, F.col("d.row") == F.col("g.copy"), "copies")
+    return left.select(*[f"d.{c}" for c in own]).toDF(*docs.columns)
 
 
 @shipped
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leave out documents that hold a window of a benchmark item."""
+    """Leave out documents that hold a window of a benchmark item.
+
+    Texts without words hold none. Rows of equal id and text, also without id, share one fate.
+    """
     judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
     gone = judged.filter("contaminated").select("doc_id", "text_hash")
     same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.xxhash64("d.text") == F.col("g.text_hash"))
@@ -66,7 +99,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @shipped
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of all documents in sequences of 4096."""
+    """Token ids of all documents in sequences of 4096; null and empty texts are their end id alone."""
     return packing.pack(docs)
 
 
