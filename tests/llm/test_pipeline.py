@@ -106,3 +106,35 @@ def test_near_dedup_keeps_one_of_repeated_rows_and_of_copies_without_id(spark):
     assert after.columns == COLUMNS
     wanted = [(5, one), (None, two), (8, three), (None, None), (9, "")]
     assert sorted(((r.doc_id, r.text) for r in after.collect()), key=str) == sorted(wanted, key=str)
+
+
+CLASHING = "score rejected n_repeated new_text numbers gone __row row text_hash kept column_0 ids half key".split()
+
+
+def test_columns_of_any_name_pass_through(spark, tmp_path):
+    """Extra columns keep their values through all stages but the last, also on odd rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*COLUMNS)
+    long = (7001, " ".join(f"the word {i % 977} and more of it" for i in range(20_000)), "en", "x", 1)
+    odd = [(7002, None, None, None, None), (None, "A line of no document.", "en", "x", 1), (7003, "", "de", "x", 0)]
+    texts = docs.limit(1).collect()
+    again = [tuple(r) for r in texts] + [(texts[0].doc_id, "Some other text of the same id, in a line.", "en", "x", 1)]
+    docs = docs.union(spark.createDataFrame([long, *odd, *again], docs.schema))
+    marked = docs.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id"), F.lit(-1))) for c in CLASHING})
+    got = marked
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        path = str(tmp_path / str(k))
+        stage(spark, got, SF).write.parquet(path)
+        got = spark.read.parquet(path)
+        assert got.columns == marked.columns
+    rows = got.collect()
+    assert len(rows) > 100 and {7001} <= {r.doc_id for r in rows}
+    for r in rows:
+        assert all(r[c] == f"{c}{-1 if r.doc_id is None else r.doc_id}" for c in CLASHING)
+    assert corpus_pipeline.STAGES[-1][1](spark, got, SF).count() > 0
+
+
+def test_empty_tables_stay_empty(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*COLUMNS).limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == COLUMNS and out.count() == 0
