@@ -6,6 +6,14 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
 
+@dataclass(frozen=True)
+class DocumentKeys:
+    """Names that a provider's documents give to the place and to the list of entries."""
+
+    place: str
+    entries: str
+
+
 # Measure and text columns of a normalized observation.
 MEASURES = (
     "temperature",

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skymart.config import DocumentKeys
 from skymart.functions import classes
 
 UNKNOWN_LOCATION = "Unknown"
@@ -120,14 +121,16 @@ def keep_present(df: DataFrame, value: Column, name: str) -> DataFrame:
     return df.withColumn(name, F.explode(F.array_compact(F.array(value))))
 
 
-def parse_raw_json(raw: DataFrame, *, include_openweather: bool = False) -> DataFrame:
+def parse_raw_json(
+    raw: DataFrame, keys: DocumentKeys, *, include_openweather: bool = False
+) -> DataFrame:
     """One normalized row per raw row of a known shape; other shapes are dropped.
 
     ``include_openweather`` adds rows in the second provider's own shape, which are otherwise of
     unknown shape.
     """
     doc = F.col("__doc")
-    place, forecast, data = (field(doc, p) for p in ("$.lokasi", "$.cuaca", "$.data"))
+    place, forecast, data = (field(doc, f"$.{key}") for key in (keys.place, keys.entries, "data"))
     wrapped = place.isNotNull() & forecast.isNotNull()
     listed = is_list(data) & is_object(field(data, "$[0]"))
     flat = is_object(data)
@@ -140,11 +143,11 @@ def parse_raw_json(raw: DataFrame, *, include_openweather: bool = False) -> Data
     flat_entry = F.when(inner.isNull(), data).when(is_object(inner), inner)
     entry = (
         F.when(wrapped, wrapped_entry)
-        .when(listed, field(data, "$[0].cuaca[0][0]"))
+        .when(listed, field(data, f"$[0].{keys.entries}[0][0]"))
         .when(flat, flat_entry)
     )
     # The place object of the row, null for flat rows.
-    source_place = F.when(wrapped, place).when(listed, field(data, "$[0].lokasi"))
+    source_place = F.when(wrapped, place).when(listed, field(data, f"$[0].{keys.place}"))
     flat_name = F.coalesce(field(doc, "$.location"), field(data, "$.location"))
     location = (
         F.when(wrapped | listed, _place_name(F.col("__place")))
@@ -176,22 +179,22 @@ def parse_raw_json(raw: DataFrame, *, include_openweather: bool = False) -> Data
 # -- provider A: full forecasts ----------------------------------------------------------------
 
 
-def explode_forecast(raw: DataFrame) -> DataFrame:
+def explode_forecast(raw: DataFrame, keys: DocumentKeys) -> DataFrame:
     """One row per forecast entry, in document order, entries without a time dropped."""
     doc = F.col("__doc")
-    days = F.try_variant_get(doc, "$.data[0].cuaca", "array<array<variant>>")
+    days = F.try_variant_get(doc, f"$.data[0].{keys.entries}", "array<array<variant>>")
     entry = F.col("entry")
     timed = F.coalesce(
         _not_empty(text(field(entry, "$.datetime"))),
         _not_empty(text(field(entry, "$.local_datetime"))),
     )
-    place = field(doc, "$.data[0].lokasi")
+    place = field(doc, f"$.data[0].{keys.place}")
     return (
         keep_present(raw, F.try_parse_json("raw_json"), "__doc")
         .select(
             "raw_id",
             "source",
-            place.alias("lokasi"),
+            place.alias("place"),
             text(field(place, "$.adm4")).alias("location"),
             F.posexplode(F.flatten(days)).alias("position", "entry"),
         )
@@ -270,7 +273,7 @@ def match_raw_entry(nearest: DataFrame, entries: DataFrame, *, key: str = "locat
     """
     minute = F.lit(60_000_000)
     left = nearest.select(
-        key, "lokasi", "observed_at", F.unix_micros("observed_at").alias("__target")
+        key, "place", "observed_at", F.unix_micros("observed_at").alias("__target")
     )
     probes = left.select(
         key,
@@ -303,11 +306,11 @@ def match_raw_entry(nearest: DataFrame, entries: DataFrame, *, key: str = "locat
     )
 
 
-def wrap_entry(matched: DataFrame) -> DataFrame:
+def wrap_entry(matched: DataFrame, keys: DocumentKeys) -> DataFrame:
     """Rebuild the stored document around one entry."""
     document = F.struct(
-        F.coalesce("lokasi", F.parse_json(F.lit("{}"))).alias("lokasi"),
-        F.array(F.parse_json("raw_entry")).alias("cuaca"),
+        F.coalesce("place", F.parse_json(F.lit("{}"))).alias(keys.place),
+        F.array(F.parse_json("raw_entry")).alias(keys.entries),
     )
     return matched.withColumn("raw_json", F.to_json(document))
 
@@ -363,13 +366,13 @@ def normalize_openweather(raw: DataFrame) -> DataFrame:
 # -- names -------------------------------------------------------------------------------------
 
 
-def location_names(raw: DataFrame, source: str) -> DataFrame:
+def location_names(raw: DataFrame, source: str, keys: DocumentKeys) -> DataFrame:
     """One name per code; the greatest one where a code carries several."""
     return (
         raw.where(F.col("source") == source)
         .select(
-            F.get_json_object("raw_json", "$.lokasi.adm4").alias("adm4"),
-            F.get_json_object("raw_json", "$.lokasi.desa").alias("desa"),
+            F.get_json_object("raw_json", f"$.{keys.place}.adm4").alias("adm4"),
+            F.get_json_object("raw_json", f"$.{keys.place}.desa").alias("desa"),
         )
         .where(F.col("adm4").isNotNull() & F.col("desa").isNotNull())
         .groupBy("adm4")

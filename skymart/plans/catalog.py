@@ -18,6 +18,8 @@ from skymart.sources import admin, events, fixtures, raw
 from skymart.sources.warehouse import Warehouse
 from skymart.streaming import ingest
 
+KEYS = fixtures.KEYS
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -149,10 +151,10 @@ _RAW_SQL = f"""{OBS} select raw_id, case when raw_id % 2 = 0 then 'Forecast' els
 
 
 def _shape(df: DataFrame) -> DataFrame:
-    has = {name: F.get_json_object("raw_json", f"$.{name}").isNotNull() for name in ("lokasi", "location")}
+    has = {name: F.get_json_object("raw_json", f"$.{name}").isNotNull() for name in (KEYS.place, "location")}
     shape = (
-        F.when(has["lokasi"] & F.col("raw_json").contains('"cuaca":['), F.lit(1))
-        .when(has["lokasi"], F.lit(0))
+        F.when(has[KEYS.place] & F.col("raw_json").contains(f'"{KEYS.entries}":['), F.lit(1))
+        .when(has[KEYS.place], F.lit(0))
         .when(has["location"], F.lit(3))
         .otherwise(F.lit(2))
     )
@@ -281,7 +283,7 @@ _FORECAST_SQL = f"""{OBS}, entries as (
     cast(t as double) as t from timed""",
 )
 def _(spark, sf):
-    entries = parse.explode_forecast(forecasts(spark, sf))
+    entries = parse.explode_forecast(forecasts(spark, sf), KEYS)
     t = parse.as_float(parse.field(F.col("entry"), "$.t"))
     return entries.select("raw_id", "location", "position", t.alias("t"))
 
@@ -297,7 +299,7 @@ _PARSED = f"""select raw_id, observed_at, location,
 
 @query("p2_parse_raw_json", f"{OBS} {_PARSED}")
 def _(spark, sf):
-    return parse.parse_raw_json(documents(spark, sf))
+    return parse.parse_raw_json(documents(spark, sf), KEYS)
 
 
 @query(
@@ -306,7 +308,7 @@ def _(spark, sf):
     count(case when {_FLAT} then null else latitude end) as placed from obs group by location""",
 )
 def _(spark, sf):
-    parsed = parse.parse_raw_json(documents(spark, sf))
+    parsed = parse.parse_raw_json(documents(spark, sf), KEYS)
     return parsed.groupBy("location").agg(
         F.count(F.lit(1)).alias("rows"), F.count("latitude").alias("placed")
     )
@@ -318,7 +320,7 @@ def _(spark, sf):
     for m in MEASURES)} from obs group by location""",
 )
 def _(spark, sf):
-    parsed = parse.parse_raw_json(documents(spark, sf))
+    parsed = parse.parse_raw_json(documents(spark, sf), KEYS)
     wanted = [
         part for m in MEASURES for part in (F.count(m).alias(f"{m}_n"), F.max(m).alias(f"{m}_max"))
     ]
@@ -334,7 +336,7 @@ def _(spark, sf):
     condition_code, condition_desc from timed""",
 )
 def _(spark, sf):
-    entries = parse.explode_forecast(forecasts(spark, sf))
+    entries = parse.explode_forecast(forecasts(spark, sf), KEYS)
     return parse.normalize_forecast(entries).select(
         "raw_id", "position", "observed_at", "temperature", "humidity", "pressure",
         "wind_direction", "wind_speed", "rainfall", "visibility", "cloud_coverage",
@@ -371,7 +373,7 @@ def _(spark, sf):
     only_local from timed""",
 )
 def _(spark, sf):
-    entries = parse.explode_forecast(forecasts(spark, sf))
+    entries = parse.explode_forecast(forecasts(spark, sf), KEYS)
     moment = parse.parse_observed_at(F.col("entry"), F.current_timestamp())
     no_utc = parse.field(F.col("entry"), "$.datetime").isNull()
     return entries.select(
@@ -396,9 +398,9 @@ def _of_entry(spark, sf, name, value) -> DataFrame:
     parsed = fixtures.raw_documents(spark, sf).withColumn("doc", F.try_parse_json("raw_json"))
     doc = F.col("doc")
     entry = F.coalesce(
-        parse.field(doc, "$.data[0].cuaca[0][0]"),
-        parse.field(doc, "$.cuaca[0]"),
-        parse.field(doc, "$.cuaca"),
+        parse.field(doc, f"$.data[0].{KEYS.entries}[0][0]"),
+        parse.field(doc, f"$.{KEYS.entries}[0]"),
+        parse.field(doc, f"$.{KEYS.entries}"),
         parse.field(doc, "$.data"),
     )
     return parsed.select("raw_id", entry.alias("entry")).select(
@@ -466,7 +468,7 @@ _NEAREST_SQL = f"""{_FORECAST_SQL}, ranked as (
 
 
 def _nearest(spark, sf):
-    entries = parse.explode_forecast(forecasts(spark, sf))
+    entries = parse.explode_forecast(forecasts(spark, sf), KEYS)
     return parse.nearest_entry(parse.normalize_forecast(entries), as_of=F.lit(NEAREST_AS_OF)), entries
 
 
@@ -499,10 +501,11 @@ def _(spark, sf):
     from matched""",
 )
 def _(spark, sf):
-    wrapped = parse.wrap_entry(parse.match_raw_entry(*_nearest(spark, sf)))
-    stored = F.from_json("raw_json", "lokasi struct<adm4:string>, cuaca array<struct<t:double>>")
+    wrapped = parse.wrap_entry(parse.match_raw_entry(*_nearest(spark, sf)), KEYS)
+    stored = F.from_json("raw_json", f"{KEYS.place} struct<adm4:string>, {KEYS.entries} array<struct<t:double>>")
     return wrapped.select(stored.alias("d")).select(
-        "d.lokasi.adm4", F.get("d.cuaca.t", F.lit(0)).alias("t"), F.size("d.cuaca").alias("entries")
+        f"d.{KEYS.place}.adm4", F.get(f"d.{KEYS.entries}.t", F.lit(0)).alias("t"),
+        F.size(f"d.{KEYS.entries}").alias("entries"),
     )
 
 
@@ -512,7 +515,7 @@ def _(spark, sf):
     where raw_id % 2 = 0 and raw_id % 4 in (0, 1) and raw_id % 7 <> 0 group by location""",
 )
 def _(spark, sf):
-    return parse.location_names(documents(spark, sf), "Forecast")
+    return parse.location_names(documents(spark, sf), "Forecast", KEYS)
 
 
 _SEVERITY = """case event_type when 'error' then 'Extreme' when 'click' then 'Severe'
@@ -739,7 +742,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     result = transform.run_transform(
-        documents(spark, sf), stage=_new_path(spark, "cleaned"), exact=True
+        documents(spark, sf), KEYS, stage=_new_path(spark, "cleaned"), exact=True
     )
     return result.select(
         "raw_id", "observed_at", "location", "source", "wind_direction", *MEASURES, "temp_avg",
@@ -1216,7 +1219,7 @@ def _(spark, sf):
     from coded left join names on location = district""",
 )
 def _(spark, sf):
-    names = parse.location_names(documents(spark, sf), "Forecast")
+    names = parse.location_names(documents(spark, sf), "Forecast", KEYS)
     nested = queries.locations(warehouse(spark, sf).table("dim_location"), names)
     return nested.select("kecamatan", F.posexplode("kelurahan")).select(
         "kecamatan", "pos", "col.adm4", "col.name"
@@ -1469,7 +1472,7 @@ def _streamed(spark, sf) -> Warehouse:
     rows = fixtures.raw_documents(spark, sf, by_slot=True)
     for part in (F.col("observed_at") <= F.lit(CUT), F.col("observed_at") > F.lit(CUT)):
         raw.append_raw(rows.where(part), source)
-        ingest.ingest_stream(spark, source, target, checkpoint=checkpoint).awaitTermination()
+        ingest.ingest_stream(spark, source, target, KEYS, checkpoint=checkpoint).awaitTermination()
     return target
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from skymart.config import DEFAULTS, Settings
+from skymart.config import DEFAULTS, DocumentKeys, Settings
 from skymart.operators.clean import clean, exact_measures, standardize
 from skymart.operators.enrich import add_features, classify, enrich
 from skymart.operators.parse import parse_raw_json
@@ -39,10 +39,10 @@ def observed(df: DataFrame) -> tuple[DataFrame, RunCounters]:
 
 
 def cleaned_observations(
-    raw: DataFrame, *, include_openweather: bool = False, given: str | None = None
+    raw: DataFrame, keys: DocumentKeys, *, include_openweather: bool = False, given: str | None = None
 ) -> DataFrame:
     """P2 and C7. ``given`` names a further column: the location as the source wrote it."""
-    cleaned = parse_raw_json(raw, include_openweather=include_openweather).transform(clean)
+    cleaned = parse_raw_json(raw, keys, include_openweather=include_openweather).transform(clean)
     if given is not None:
         cleaned = cleaned.withColumn(given, F.col("location"))
     return cleaned.transform(standardize)
@@ -50,6 +50,7 @@ def cleaned_observations(
 
 def run_transform(
     raw: DataFrame,
+    keys: DocumentKeys,
     settings: Settings = DEFAULTS,
     *,
     stage: str | None = None,
@@ -62,7 +63,7 @@ def run_transform(
     the rows themselves do not parse the documents twice. Large runs should set it. ``exact``
     makes the measures decimals, so that averages do not depend on the order of the rows.
     """
-    rows = cleaned_observations(raw, include_openweather=include_openweather)
+    rows = cleaned_observations(raw, keys, include_openweather=include_openweather)
     if exact:
         rows = exact_measures(rows)
     return enrich(rows if stage is None else materialize(rows, stage), settings)

@@ -8,8 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skymart.config import DocumentKeys
 from skymart.sources.events import observations, read_table
 
+KEYS = DocumentKeys(place="place", entries="entries")
+
 
 def spread(df: DataFrame) -> DataFrame:
     """A table of fewer files than cores is dealt out to all cores; a large one is left alone."""
@@ -71,12 +74,12 @@ def raw_documents(spark: SparkSession, sf_dir: str, *, by_slot: bool = False) ->
             F.col("condition_code").alias("code"), F.col("condition_desc").alias("description")
         ).alias("weather"),
     )
-    place = _place().alias("lokasi")
+    place = _place().alias(KEYS.place)
     shape = F.col("raw_id") % 4
-    day = F.struct(place, F.array(F.array(entry)).alias("cuaca"))
+    day = F.struct(place, F.array(F.array(entry)).alias(KEYS.entries))
     document = (
-        F.when(shape == 0, F.to_json(F.struct(place, entry.alias("cuaca"))))
-        .when(shape == 1, F.to_json(F.struct(place, F.array(entry).alias("cuaca"))))
+        F.when(shape == 0, F.to_json(F.struct(place, entry.alias(KEYS.entries))))
+        .when(shape == 1, F.to_json(F.struct(place, F.array(entry).alias(KEYS.entries))))
         .when(shape == 2, F.to_json(F.struct(F.array(day).alias("data"))))
         .otherwise(F.to_json(F.struct("location", flat.alias("data"))))
     )
@@ -114,7 +117,7 @@ def forecast_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     days = F.array(F.array(entry(0), entry(1)), F.array(entry(2), entry(3)))
     document = F.struct(
-        F.array(F.struct(_place().alias("lokasi"), days.alias("cuaca"))).alias("data")
+        F.array(F.struct(_place().alias(KEYS.place), days.alias(KEYS.entries))).alias("data")
     )
     return spread(observations(spark, sf_dir)).select(
         "raw_id", F.lit("Forecast").alias("source"), F.to_json(document).alias("raw_json"), "observed_at"

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skymart.config import CITY, DEFAULTS, Settings
+from skymart.config import CITY, DEFAULTS, DocumentKeys, Settings
 from skymart.operators.enrich import classify
 from skymart.operators.load import LoadResult, load, regroup
 from skymart.operators.parse import floor_slot
@@ -109,7 +109,12 @@ def with_running_features(rows: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def ingest_batch(
-    raw: DataFrame, warehouse: Warehouse, settings: Settings = DEFAULTS, *, city: str = CITY
+    raw: DataFrame,
+    warehouse: Warehouse,
+    keys: DocumentKeys,
+    settings: Settings = DEFAULTS,
+    *,
+    city: str = CITY,
 ) -> BatchResult:
     """ST1: one batch of raw rows into the warehouse; replaying a batch changes nothing.
 
@@ -120,7 +125,7 @@ def ingest_batch(
     base = warehouse.snapshot()
     stage = f"{shared_dir(warehouse.spark)}/stage-{uuid.uuid4().hex}"
     try:
-        rows = materialize(cleaned_observations(raw, given=GIVEN), f"{stage}/cleaned")
+        rows = materialize(cleaned_observations(raw, keys, given=GIVEN), f"{stage}/cleaned")
         late = late_rows(rows, base.watermark)
         summary = late.agg(
             F.count(F.lit(1)).alias("late"), F.collect_set(F.to_date("observed_at")).alias("days")
@@ -168,6 +173,7 @@ def ingest_stream(
     spark: SparkSession,
     source: str,
     warehouse: Warehouse,
+    keys: DocumentKeys,
     *,
     checkpoint: str,
     fmt: str = "parquet",
@@ -186,7 +192,7 @@ def ingest_stream(
     )
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch.select("raw_id", "source", "raw_json", "observed_at"), warehouse, settings)
+        ingest_batch(batch.select("raw_id", "source", "raw_json", "observed_at"), warehouse, keys, settings)
 
     return (
         stream.writeStream.foreachBatch(run)

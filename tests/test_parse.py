@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from skymart.operators import parse
 from skymart.plans import transform
 from skymart.sources import admin, raw
+from skymart.sources.fixtures import KEYS
 
 RAW = "raw_id long, source string, raw_json string, observed_at timestamp"
 ENTRY = {
@@ -24,7 +25,7 @@ def documents(spark, *docs, source="Forecast"):
 
 
 def parsed(spark, *docs, **options):
-    return parse.parse_raw_json(documents(spark, *docs), **options).orderBy("raw_id").collect()
+    return parse.parse_raw_json(documents(spark, *docs), KEYS, **options).orderBy("raw_id").collect()
 
 
 def test_four_shapes_give_the_same_measures(spark):
@@ -33,8 +34,8 @@ def test_four_shapes_give_the_same_measures(spark):
             "weather": {"code": "3", "description": "Berawan"}}}
     nested = {"location": "X", "data": {"data": flat["data"]}}
     got = parsed(
-        spark, {"lokasi": PLACE, "cuaca": ENTRY}, {"lokasi": PLACE, "cuaca": [ENTRY, {}]},
-        {"data": [{"lokasi": PLACE, "cuaca": [[ENTRY], []]}]}, flat, nested,
+        spark, {"place": PLACE, "entries": ENTRY}, {"place": PLACE, "entries": [ENTRY, {}]},
+        {"data": [{"place": PLACE, "entries": [[ENTRY], []]}]}, flat, nested,
     )
     measured = [
         (r.temperature, r.humidity, r.wind_direction, r.wind_speed, r.rainfall, r.visibility,
@@ -47,14 +48,14 @@ def test_four_shapes_give_the_same_measures(spark):
 
 def test_unknown_shapes_are_dropped(spark):
     docs = [{"x": 1}, {"data": []}, {"data": [1]}, {"data": 3}, {"data": {"data": None}},
-            {"data": {"data": [1]}}, {"data": [{"cuaca": [[]]}]}, {"data": [{"cuaca": []}]}, "{broken", "[1]", "7"]
+            {"data": {"data": [1]}}, {"data": [{"entries": [[]]}]}, {"data": [{"entries": []}]}, "{broken", "[1]", "7"]
     assert parsed(spark, *docs) == []
 
 
 def test_location_rules(spark):
     got = parsed(
-        spark, {"lokasi": {"adm4": "", "kecamatan": "K"}, "cuaca": ENTRY},
-        {"lokasi": {}, "cuaca": ENTRY}, {"lokasi": {"kecamatan": None}, "cuaca": ENTRY},
+        spark, {"place": {"adm4": "", "kecamatan": "K"}, "entries": ENTRY},
+        {"place": {}, "entries": ENTRY}, {"place": {"kecamatan": None}, "entries": ENTRY},
         {"data": {"location": "inner", "temperature": 1}}, {"data": {"temperature": 1}},
         {"location": None, "data": {"location": "inner", "temperature": 1}},
     )
@@ -83,7 +84,7 @@ def test_condition_rules(spark):
 
 
 def test_empty_forecast_list_keeps_an_empty_row(spark):
-    assert parsed(spark, {"lokasi": PLACE, "cuaca": []})[0].temperature is None
+    assert parsed(spark, {"place": PLACE, "entries": []})[0].temperature is None
 
 
 def test_openweather(spark):
@@ -101,16 +102,16 @@ def test_openweather(spark):
 
 
 def _forecast(*days):
-    return {"data": [{"lokasi": PLACE, "cuaca": list(days)}]}
+    return {"data": [{"place": PLACE, "entries": list(days)}]}
 
 
 def test_forecast_entries_and_times(spark):
     docs = documents(
         spark,
         _forecast([ENTRY, {"t": 1}], [{**ENTRY, "datetime": "2026-07-11T06:10:00+07:00"}, {"local_datetime": "2026-07-12 10:00:00"}]),
-        {"data": []}, {"data": [{"cuaca": []}]},
+        {"data": []}, {"data": [{"entries": []}]},
     )
-    entries = parse.explode_forecast(docs)
+    entries = parse.explode_forecast(docs, KEYS)
     got = parse.normalize_forecast(entries).orderBy("position").collect()
     assert [r.position for r in got] == [0, 2, 3]
     assert [r.observed_at for r in got] == [
@@ -119,42 +120,42 @@ def test_forecast_entries_and_times(spark):
 
 
 def _stored(spark, as_of, *entries):
-    exploded = parse.explode_forecast(documents(spark, _forecast(list(entries))))
+    exploded = parse.explode_forecast(documents(spark, _forecast(list(entries))), KEYS)
     near = parse.nearest_entry(parse.normalize_forecast(exploded), as_of=F.lit(as_of).cast("timestamp"))
-    row = parse.wrap_entry(parse.match_raw_entry(near, exploded)).first()
+    row = parse.wrap_entry(parse.match_raw_entry(near, exploded), KEYS).first()
     return row.observed_at, json.loads(row.raw_json)
 
 
 def test_nearest_entry_is_stored_with_its_own_document(spark):
     later = {**ENTRY, "datetime": "2026-07-11T06:00:00Z", "t": 33}
     when, stored = _stored(spark, "2026-07-11 05:00:00", ENTRY, later)
-    assert when == datetime(2026, 7, 11, 6) and stored["lokasi"]["desa"] == "Pasar Baru"
-    assert [e["t"] for e in stored["cuaca"]] == [33]
+    assert when == datetime(2026, 7, 11, 6) and stored["place"]["desa"] == "Pasar Baru"
+    assert [e["t"] for e in stored["entries"]] == [33]
 
 
 def test_first_entry_wins_a_tie_and_off_grid_entries_match_nothing(spark):
     later = {**ENTRY, "datetime": "2026-07-11T06:00:00Z", "t": 33}
-    assert _stored(spark, "2026-07-11 04:30:00", ENTRY, later)[1]["cuaca"][0]["t"] == 31
+    assert _stored(spark, "2026-07-11 04:30:00", ENTRY, later)[1]["entries"][0]["t"] == 31
     odd = {**ENTRY, "datetime": "2026-07-11T04:00:00Z"}
     when, stored = _stored(spark, "2026-07-11 04:00:00", odd)
-    assert when == datetime(2026, 7, 11, 3) and stored["cuaca"] == [{}]
+    assert when == datetime(2026, 7, 11, 3) and stored["entries"] == [{}]
 
 
 def test_location_names_take_one_name_per_code(spark):
     other = {**PLACE, "desa": "Zeta"}
-    docs = documents(spark, {"lokasi": PLACE, "cuaca": ENTRY}, {"lokasi": other, "cuaca": ENTRY},
-                     {"lokasi": {**PLACE, "adm4": None}, "cuaca": ENTRY})
-    assert [tuple(r) for r in parse.location_names(docs, "Forecast").collect()] == [("12.71.01.1001", "Zeta")]
+    docs = documents(spark, {"place": PLACE, "entries": ENTRY}, {"place": other, "entries": ENTRY},
+                     {"place": {**PLACE, "adm4": None}, "entries": ENTRY})
+    assert [tuple(r) for r in parse.location_names(docs, "Forecast", KEYS).collect()] == [("12.71.01.1001", "Zeta")]
 
 
 def test_run_transform_end_to_end(spark, tmp_path):
     docs = documents(spark, *[{"location": "A", "data": {"temperature": 20 + i}} for i in range(3)])
     docs = docs.withColumn("observed_at", F.col("observed_at") + F.make_interval(hours=F.col("raw_id")))
     for stage in (None, str(tmp_path / "stage")):
-        got = transform.run_transform(docs, stage=stage).orderBy("raw_id").collect()
+        got = transform.run_transform(docs, KEYS, stage=stage).orderBy("raw_id").collect()
         assert [r.temp_ma for r in got] == [20.0, 20.5, 21.0]
         assert {r.temp_avg for r in got} == {21.0} and not any(r.is_anomaly for r in got)
-    empty = transform.run_transform(docs.limit(0))
+    empty = transform.run_transform(docs.limit(0), KEYS)
     assert empty.count() == 0 and "predicted_temp" in empty.columns
 
 

@@ -8,6 +8,7 @@ from skymart.operators import load
 from skymart.plans import transform
 from skymart.plans.catalog import _facts
 from skymart.sources import raw
+from skymart.sources.fixtures import KEYS
 from skymart.sources.warehouse import Warehouse
 from skymart.streaming import ingest
 
@@ -39,13 +40,13 @@ def expected(spark, tmp_path):
     for part in BATCHES:
         seen += part
         df = spark.createDataFrame(seen, RAW)
-        load.load(transform.loadable(transform.cleaned_observations(df)), target)
+        load.load(transform.loadable(transform.cleaned_observations(df, KEYS)), target)
     return contents(target)
 
 
 def test_running_totals_equal_full_recomputation(spark, tmp_path, expected):
     target = Warehouse(spark, str(tmp_path / "wh"))
-    late = [ingest.ingest_batch(spark.createDataFrame(part, RAW), target).late for part in BATCHES]
+    late = [ingest.ingest_batch(spark.createDataFrame(part, RAW), target, KEYS).late for part in BATCHES]
     assert late == [0, 2, 2, 1]
     pd.testing.assert_frame_equal(contents(target), expected)
 
@@ -53,9 +54,9 @@ def test_running_totals_equal_full_recomputation(spark, tmp_path, expected):
 def test_replaying_a_batch_changes_nothing(spark, tmp_path, expected):
     target = Warehouse(spark, str(tmp_path / "wh"))
     for part in BATCHES:
-        ingest.ingest_batch(spark.createDataFrame(part, RAW), target)
+        ingest.ingest_batch(spark.createDataFrame(part, RAW), target, KEYS)
         version = target.snapshot().version
-        again = ingest.ingest_batch(spark.createDataFrame(part, RAW), target)
+        again = ingest.ingest_batch(spark.createDataFrame(part, RAW), target, KEYS)
         assert again.load.inserted == 0 and target.snapshot().version == version
     pd.testing.assert_frame_equal(contents(target), expected)
 
@@ -65,8 +66,8 @@ def test_stream_of_files_equals_batch(spark, tmp_path, expected):
     target = Warehouse(spark, str(tmp_path / "wh"))
     for part in BATCHES:
         raw.append_raw(spark.createDataFrame(part, RAW), source)
-        ingest.ingest_stream(spark, source, target, checkpoint=checkpoint).awaitTermination()
-    ingest.ingest_stream(spark, source, target, checkpoint=checkpoint).awaitTermination()
+        ingest.ingest_stream(spark, source, target, KEYS, checkpoint=checkpoint).awaitTermination()
+    ingest.ingest_stream(spark, source, target, KEYS, checkpoint=checkpoint).awaitTermination()
     pd.testing.assert_frame_equal(contents(target), expected)
 
 
