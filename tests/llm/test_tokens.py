@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from document_rows import documents  # noqa: F401
 
-from skymart.llm import packing, token_file
+from skymart.llm import catalog, packing, token_file
 from skymart.llm.tokens import Encoder, default_path
 
 ENCODER = Encoder(default_path())
@@ -159,3 +159,40 @@ def test_token_file_empty(spark, documents, tmp_path):
     path = str(tmp_path / "ids")
     token_file.write(documents([]), path)
     assert token_file.with_start(token_file.read(spark, path), path).count() == 0
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def whole_ids(spark, end_id):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    return {r.doc_id: np.array([*plain(r.text), end_id], "<u4") for r in docs}
+
+
+def test_packing_query(spark):
+    ids, pieces, sequences = whole_ids(spark, 2), defaultdict(list), defaultdict(list)
+    for r in catalog.op2_packing(spark, SF).collect():
+        assert r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert pieces.keys() == ids.keys()
+    for parts, total in [(p, len(ids[d])) for d, p in pieces.items()] + [(s, None) for s in sequences.values()]:
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at and length > 0
+            at += length
+        assert at == total if total is not None else at <= 4096
+    filled = sum(len(i) for i in ids.values())
+    sizes = [sum(n for _, n in s) for s in sequences.values()]
+    padded = sum(n if n & (n - 1) == 0 else 4096 for n in sizes)
+    assert filled == sum(sizes) and padded <= 1.01 * filled
+
+
+def test_token_output_query(spark):
+    ids, at, want = whole_ids(spark, 1), 0, []
+    for doc_id in sorted(ids):
+        want.append((doc_id, at, len(ids[doc_id]), zlib.crc32(ids[doc_id].tobytes())))
+        at += len(ids[doc_id])
+    got = catalog.op4_token_output(spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == want
