@@ -282,12 +282,15 @@ def common_shingles(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray)
     code, holder = np.cumsum(count > 1)[code[shared]] - 1, holder[shared]
     order = np.argsort(code, kind="stable")
     code, holder = code[order], holder[order]
-    out = np.zeros((len(left), len(right)), np.float32)
+    out = np.zeros((len(left), len(right)), np.int64)
     for start in range(0, int(code[-1]) + 1 if len(code) else 0, COLUMNS):
         a, b = np.searchsorted(code, (start, start + COLUMNS))
-        has = np.zeros((len(sets), COLUMNS), np.float32)
-        has[holder[a:b], code[a:b] - start] = 1
-        out += has[left] @ has[right].T
+        has = np.zeros((len(sets), COLUMNS), bool)
+        has[holder[a:b], code[a:b] - start] = True
+        bits = np.packbits(has, axis=1).view(np.uint64)
+        theirs = bits[right]
+        for row, own in enumerate(bits[left]):
+            out[row] += np.bitwise_count(own & theirs).sum(axis=1, dtype=np.int64)
     return out
 
 
