@@ -249,7 +249,7 @@ def fit(docs: DataFrame, learn: Column) -> Model | None:
         judge = next((j for j in both if j.half == h), None)
         own = judge.kept(own, limits) if judge else own.select("lang", "text")
         learned = own if learned is None else learned.union(own)
-    counts = _counts(learned)
+    counts = _counts(keep(learned, "learned"))
     if not counts:
         return None
     model = build(sorted(counts), counts)
