@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -344,13 +345,13 @@ def hex_grid(
 
 # -- X6 ------------------------------------------------------------------------------------------
 
-#: Stations (24 bytes each) of a block, and targets that meet it together.
-STATIONS_PER_BLOCK, TARGETS_PER_BLOCK = 100_000, 20_000
-#: Cells of a distance matrix evaluated at once in a task.
-MATRIX_CELLS = 4_000_000
+#: Stations (24 bytes each) of a block, and targets that meet one in a task.
+STATIONS_PER_BLOCK, TARGETS_PER_BLOCK = 100_000, 500_000
+#: Targets and stations of a distance matrix evaluated at once: a matrix stays in a core's cache.
+MATRIX_TARGETS, MATRIX_STATIONS = 16, 4096
 
 _BLOCK = "block bigint, xs array<double>, ys array<double>, vs array<double>"
-_PACK = "ids array<bigint>, lons array<double>, lats array<double>"
+_SUMS = "__id bigint, block bigint, hit double, w double, wv double"
 
 
 def idw(
@@ -369,10 +370,11 @@ def idw(
     Rows of ``targets`` are evaluated each on its own, whatever keys they have.
 
     Every station counts at every target, so the work is their product. Stations are packed into
-    numbered array blocks of a written table, targets into packs; each pack meets each block in a task
-    that adds up one distance matrix, and the sums of a target are added up by Spark.
+    numbered array blocks of a written table, targets are dealt into parts of about ``pack_rows`` or
+    fewer; each part meets each block in a task, and the sums of a target are added up by Spark.
     """
-    folder = f"{shared_dir(targets.sparkSession)}/idw-{uuid.uuid4().hex}"
+    spark = targets.sparkSession
+    folder = f"{shared_dir(spark)}/idw-{uuid.uuid4().hex}"
     usable = stations.select("seq", "lon", "lat", "value").na.drop()
     ranged = usable.repartitionByRange("seq").sortWithinPartitions("seq")
     blocks = materialize(ranged.mapInPandas(_packer(block_rows), _BLOCK), f"{folder}/stations")
@@ -384,15 +386,19 @@ def idw(
     value = F.when(placed, F.coalesce("__hit", mean)).alias("value")
     if not numbers:
         return rows.select(*targets.columns, F.when(placed, F.lit(0.0)).alias("value"))
-    packs = (
-        rows.where(placed)
-        .select("__id", F.col("lon").cast("double"), F.col("lat").cast("double"))
-        .mapInPandas(_target_packer(pack_rows), _PACK)
-        .withColumn("block", F.explode(F.lit(numbers)))
-    )
-    sums = packs.join(blocks, "block").mapInPandas(
-        _matrix_sums(power), "__id bigint, block bigint, hit double, w double, wv double"
+    # Several pairs of a part and a block for every core, so that all cores end at about the same time.
+    pairs = 8 * spark.sparkContext.defaultParallelism
+    parts = max(math.ceil(rows.count() / pack_rows), math.ceil(pairs / len(numbers)))
+    dealt = rows.where(placed).select(
+        F.pmod(F.xxhash64("__id"), F.lit(parts)).cast("int").alias("part"),
+        F.explode(F.lit(numbers).cast("array<bigint>")).alias("block"),
+        "__id",
+        F.col("lon").cast("double"),
+        F.col("lat").cast("double"),
     )
+    copies = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "*")
+    met = dealt.groupBy("part", "block").cogroup(copies.groupBy("part", "block"))
+    sums = met.applyInArrow(_matrix_sums(power), _SUMS)
     first = F.min_by("hit", F.when(F.col("hit").isNotNull(), F.col("block")))
     summed = sums.groupBy("__id").agg(first.alias("__hit"), F.sum("w").alias("__w"), F.sum("wv").alias("__wv"))
     return rows.join(summed, "__id", "left").select(*targets.columns, value)
@@ -428,42 +434,50 @@ def _packer(rows: int):
     return pack
 
 
-def _target_packer(rows: int):
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), rows):
-                part = frame[at : at + rows]
-                columns = (("ids", "__id"), ("lons", "lon"), ("lats", "lat"))
-                yield pd.DataFrame({name: [part[c].to_numpy()] for name, c in columns})
-
-    return pack
-
-
 def _matrix_sums(power: float):
-    """Sums of one block of stations at the targets of a pack, and the first station too close."""
-    cells, exact = MATRIX_CELLS, EXACT_DISTANCE
+    """Sums of one block of stations at a part of the targets, and the first station too close.
 
-    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for r in frame.itertuples(index=False):
-                x, y, v = (np.asarray(c, float) for c in (r.xs, r.ys, r.vs))
-                lon, lat = np.asarray(r.lons, float), np.asarray(r.lats, float)
-                step = max(1, cells // len(x))
-                for at in range(0, len(lon), step):
-                    part = slice(at, at + step)
-                    distance = np.hypot(lon[part, None] - x, lat[part, None] - y)
-                    near = distance < exact
-                    weight = 1.0 / np.where(near, 1.0, distance) ** power
-                    hit = near.any(axis=1)
-                    out = {
-                        "__id": np.asarray(r.ids)[part],
-                        "block": r.block,
-                        "hit": np.where(hit, v[near.argmax(axis=1)], np.nan),
-                        "w": weight.sum(axis=1),
-                        "wv": weight @ v,
-                    }
-                    result = pd.DataFrame(out)
-                    result["hit"] = result["hit"].astype(object).where(hit, None)
-                    yield result
+    Weights follow from squared distances. Only distances near the exact one are measured as such.
+    """
+    tall, wide, exact = MATRIX_TARGETS, MATRIX_STATIONS, EXACT_DISTANCE
+    doubtful = exact * exact * (1 + 1e-9)
+
+    def sums(part: pa.Table, block: pa.Table) -> pa.Table:
+        lons, lats = (part[c].to_numpy() for c in ("lon", "lat"))
+        xs, ys, vs = (block[c].combine_chunks().flatten().to_numpy() for c in ("xs", "ys", "vs"))
+        both = np.stack([np.ones(len(vs)), vs], axis=1)
+        first = np.full(len(lons), len(vs))
+        total = np.zeros((len(lons), 2))
+        square, other = np.empty((tall, wide)), np.empty((tall, wide))
+        for row in range(0, len(lons), tall):
+            lon, lat = lons[row : row + tall, None], lats[row : row + tall, None]
+            for at in range(0, len(xs), wide):
+                x, y = xs[at : at + wide], ys[at : at + wide]
+                a, b = (m[: len(lon), : len(x)] for m in (square, other))
+                np.subtract(lon, x, out=a)
+                np.multiply(a, a, out=a)
+                np.subtract(lat, y, out=b)
+                np.multiply(b, b, out=b)
+                np.add(a, b, out=a)
+                if not a.min() > doubtful:  # also where a coordinate is not a number
+                    i, j = np.nonzero(a <= doubtful)
+                    near = np.hypot(lon[i, 0] - x[j], lat[i, 0] - y[j]) < exact
+                    i, j = i[near], j[near]
+                    np.minimum.at(first, row + i, at + j)
+                    a[i, j] = 1.0
+                if power == 2:
+                    np.divide(1.0, a, out=a)
+                else:
+                    np.power(a, -power / 2, out=a)
+                total[row : row + tall] += a @ both[at : at + wide]
+        hit = first < len(vs)
+        out = {
+            "__id": part["__id"],
+            "block": pa.array(np.full(len(lons), block["block"][0].as_py(), np.int64)),
+            "hit": pa.array(vs[np.where(hit, first, 0)], mask=~hit),
+            "w": pa.array(total[:, 0]),
+            "wv": pa.array(total[:, 1]),
+        }
+        return pa.table(out)
 
     return sums

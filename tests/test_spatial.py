@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,6 +221,25 @@ def test_idw_in_blocks_of_any_size(spark):
     assert {r.value for r in none if r.id < 600} == {0.0}
 
 
+def test_idw_matrices_stay_in_cache(spark):
+    """A part of the targets meets a block in one call, in small matrices, also at other powers."""
+    rng = np.random.default_rng(5)
+    x, y, v = rng.uniform(0, 3, (3, 9_000))
+    x[8_500], y[8_500] = x[10], y[10]  # a second station too close, in a later matrix
+    lon, lat = rng.uniform(0, 3, (2, 40))
+    lon[7], lat[7] = x[10] + 5e-5, y[10]
+    part = pa.table({"__id": np.arange(40), "lon": lon, "lat": lat})
+    block = pa.table({"block": [3], "xs": [x], "ys": [y], "vs": [v]})
+    for power in (2.0, 3.0):
+        got = spatial._matrix_sums(power)(part, block).to_pandas()
+        for i in range(40):
+            d = np.hypot(lon[i] - x, lat[i] - y)
+            weight = np.where(d < 1e-4, 1.0, 1 / d**power)
+            assert (got["w"][i], got["wv"][i]) == pytest.approx((weight.sum(), weight @ v))
+        assert got["hit"][7] == v[10] and got["hit"].drop(7).isna().all()
+    assert spatial.MATRIX_TARGETS * spatial.MATRIX_STATIONS * 8 <= 1 << 20
+
+
 def test_round_2_rounds_half_up(spark):
     df = spark.createDataFrame([(0.125,), (-0.125,), (2.675,)], "v double")
     assert [r[0] for r in df.select(geo.round_2(F.col("v"))).collect()] == [0.13, -0.12, 2.68]
