@@ -5,6 +5,8 @@ JSON is parsed once per row into a VARIANT, which keeps apart a missing key and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,14 +22,17 @@ def field(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "variant")
 
 
-def text(value: Column) -> Column:
-    """String form of a variant, null for a missing or null one."""
-    return F.try_variant_get(value, "$", "string")
+def text(value: Column, path: str = "$") -> Column:
+    """String form of a variant or its member, null for a missing or null one.
+
+    Reading a member as text or number directly saves building it as a variant of its own.
+    """
+    return F.try_variant_get(value, path, "string")
 
 
-def as_float(value: Column) -> Column:
-    """Number of a variant or of a text, null on failure."""
-    return F.try_variant_get(value, "$", "double")
+def as_float(value: Column, path: str = "$") -> Column:
+    """Number of a variant, its member or a text, null on failure."""
+    return F.try_variant_get(value, path, "double")
 
 
 def text_as_float(value: Column) -> Column:
@@ -36,17 +41,18 @@ def text_as_float(value: Column) -> Column:
 
 
 def is_object(value: Column) -> Column:
-    """Only objects can be read as maps. Unlike the schema's text, that needs no walk through all members."""
-    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+    """Only objects can be read as structs; one without fields takes none of the members."""
+    return F.try_variant_get(value, "$", "struct<>").isNotNull()
 
 
 def is_list(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>").isNotNull()
+    return F.try_variant_get(value, "$", "array<struct<>>").isNotNull()
 
 
-def first_present(entry: Column, *keys: str) -> Column:
-    """Value of the first key that exists, even if that value is null."""
-    return F.coalesce(*[field(entry, f"$.{key}") for key in keys])
+def first_present(read: Callable[[Column, str], Column], entry: Column, key: str, other: str) -> Column:
+    """Value of the first key that exists, even if that value is null, read as text or number."""
+    absent = field(entry, f"$.{key}").isNull()
+    return F.coalesce(read(entry, f"$.{key}"), F.when(absent, read(entry, f"$.{other}")))
 
 
 def _not_empty(value: Column) -> Column:
@@ -56,7 +62,7 @@ def _not_empty(value: Column) -> Column:
 def visibility_km(entry: Column) -> Column:
     """Metres from ``vs``, else kilometres from ``visibility``."""
     return F.coalesce(
-        as_float(field(entry, "$.vs")) / F.lit(1000.0), as_float(field(entry, "$.visibility"))
+        as_float(entry, "$.vs") / F.lit(1000.0), as_float(entry, "$.visibility")
     )
 
 
@@ -64,11 +70,11 @@ def condition_code(entry: Column) -> Column:
     """P8"""
     weather = field(entry, "$.weather")
     flat = F.coalesce(
-        _not_empty(text(field(entry, "$.condition_code"))),
-        _not_empty(text(field(entry, "$.weather_code"))),
+        _not_empty(text(entry, "$.condition_code")),
+        _not_empty(text(entry, "$.weather_code")),
     )
     return (
-        F.when(is_object(weather), text(field(weather, "$.code")))
+        F.when(is_object(weather), text(weather, "$.code"))
         .when(weather.isNotNull() & ~F.is_variant_null(weather), text(weather))
         .otherwise(flat)
     )
@@ -83,14 +89,14 @@ def condition_desc(entry: Column) -> Column:
         "$.condition_desc",
         "$.weather_description",
     )
-    return F.coalesce(*[_not_empty(text(field(entry, path))) for path in paths])
+    return F.coalesce(*[_not_empty(text(entry, path)) for path in paths])
 
 
 def _place_name(place: Column) -> Column:
     """``adm4``, else ``kecamatan``; "Unknown" only when that key is missing."""
     district = field(place, "$.kecamatan")
     return F.coalesce(
-        _not_empty(text(field(place, "$.adm4"))),
+        _not_empty(text(place, "$.adm4")),
         F.when(district.isNull(), F.lit(UNKNOWN_LOCATION)).otherwise(text(district)),
     )
 
@@ -98,15 +104,15 @@ def _place_name(place: Column) -> Column:
 def _measures(entry: Column) -> dict[str, Column]:
     """P2b"""
     return {
-        "temperature": as_float(first_present(entry, "t", "temperature")),
-        "humidity": as_float(first_present(entry, "hu", "humidity")),
-        "pressure": as_float(field(entry, "$.pressure")),
-        "wind_direction": text(first_present(entry, "wd", "wind_direction")),
-        "wind_speed": as_float(first_present(entry, "ws", "wind_speed")),
-        "rainfall": as_float(first_present(entry, "tp", "rainfall")),
-        "uv_index": as_float(field(entry, "$.uv_index")),
+        "temperature": first_present(as_float, entry, "t", "temperature"),
+        "humidity": first_present(as_float, entry, "hu", "humidity"),
+        "pressure": as_float(entry, "$.pressure"),
+        "wind_direction": first_present(text, entry, "wd", "wind_direction"),
+        "wind_speed": first_present(as_float, entry, "ws", "wind_speed"),
+        "rainfall": first_present(as_float, entry, "tp", "rainfall"),
+        "uv_index": as_float(entry, "$.uv_index"),
         "visibility": visibility_km(entry),
-        "cloud_coverage": as_float(first_present(entry, "tcc", "cloud_coverage")),
+        "cloud_coverage": first_present(as_float, entry, "tcc", "cloud_coverage"),
         "condition_code": condition_code(entry),
         "condition_desc": condition_desc(entry),
     }
@@ -116,9 +122,11 @@ def keep_present(df: DataFrame, value: Column, name: str) -> DataFrame:
     """Add a column and drop the rows where it is null.
 
     As a filter the condition would be pushed below the parsing and parse every document again, as
-    often as the condition mentions it; a generator is evaluated in place, once.
+    often as the condition mentions it; a generator is evaluated in place, on the computed column.
     """
-    return df.withColumn(name, F.explode(F.array_compact(F.array(value))))
+    kept = F.col("__kept")
+    computed = df.withColumn("__kept", value)
+    return computed.withColumn(name, F.explode(F.when(kept.isNotNull(), F.array(kept)))).drop("__kept")
 
 
 def parse_raw_json(
@@ -130,7 +138,8 @@ def parse_raw_json(
     unknown shape.
     """
     doc = F.col("__doc")
-    place, forecast, data = (field(doc, f"$.{key}") for key in (keys.place, keys.entries, "data"))
+    members = {"__doc_place": keys.place, "__doc_entries": keys.entries, "__doc_data": "data"}
+    place, forecast, data = (F.col(name) for name in members)
     wrapped = place.isNotNull() & forecast.isNotNull()
     listed = is_list(data) & is_object(field(data, "$[0]"))
     flat = is_object(data)
@@ -157,7 +166,10 @@ def parse_raw_json(
     shaped = F.when(
         entry.isNotNull(), F.struct(entry.alias("entry"), source_place.alias("place"))
     )
-    parsed = raw.withColumn("__doc", F.try_parse_json("raw_json"))
+    # Members the shape depends on become columns, so that no mention of them reads the document again.
+    parsed = raw.withColumn("__doc", F.try_parse_json("raw_json")).withColumns(
+        {name: field(doc, f"$.{key}") for name, key in members.items()}
+    )
     out = (
         keep_present(parsed, shaped, "__shaped")
         .withColumns({"__entry": F.col("__shaped.entry"), "__place": F.col("__shaped.place")})
@@ -165,8 +177,8 @@ def parse_raw_json(
             "raw_id",
             "observed_at",
             location.alias("location"),
-            as_float(field(F.col("__place"), "$.lat")).alias("latitude"),
-            as_float(field(F.col("__place"), "$.lon")).alias("longitude"),
+            as_float(F.col("__place"), "$.lat").alias("latitude"),
+            as_float(F.col("__place"), "$.lon").alias("longitude"),
             "source",
             *[value.alias(name) for name, value in _measures(F.col("__entry")).items()],
         )
@@ -185,8 +197,8 @@ def explode_forecast(raw: DataFrame, keys: DocumentKeys) -> DataFrame:
     days = F.try_variant_get(doc, f"$.data[0].{keys.entries}", "array<array<variant>>")
     entry = F.col("entry")
     timed = F.coalesce(
-        _not_empty(text(field(entry, "$.datetime"))),
-        _not_empty(text(field(entry, "$.local_datetime"))),
+        _not_empty(text(entry, "$.datetime")),
+        _not_empty(text(entry, "$.local_datetime")),
     )
     place = field(doc, f"$.data[0].{keys.place}")
     return (
@@ -195,7 +207,7 @@ def explode_forecast(raw: DataFrame, keys: DocumentKeys) -> DataFrame:
             "raw_id",
             "source",
             place.alias("place"),
-            text(field(place, "$.adm4")).alias("location"),
+            text(doc, f"$.data[0].{keys.place}.adm4").alias("location"),
             F.posexplode(F.flatten(days)).alias("position", "entry"),
         )
         .where(timed.isNotNull())
@@ -204,8 +216,8 @@ def explode_forecast(raw: DataFrame, keys: DocumentKeys) -> DataFrame:
 
 def parse_observed_at(entry: Column, as_of: Column) -> Column:
     """P5: ``datetime`` with its offset dropped, else ``local_datetime`` at UTC+7, else ``as_of``."""
-    utc = _not_empty(text(field(entry, "$.datetime")))
-    local = _not_empty(text(field(entry, "$.local_datetime")))
+    utc = _not_empty(text(entry, "$.datetime"))
+    local = _not_empty(text(entry, "$.local_datetime"))
     bare = F.regexp_replace(utc, r"(Z|[+-]\d{2}:?\d{2})$", "")
     seven_hours = F.expr("interval 7 hours")
     return (
@@ -224,7 +236,7 @@ def normalize_forecast(entries: DataFrame, *, as_of: Column | None = None) -> Da
     as_of = F.current_timestamp() if as_of is None else as_of
 
     def number(key: str) -> Column:
-        return as_float(field(entry, f"$.{key}"))
+        return as_float(entry, f"$.{key}")
 
     return entries.select(
         *[name for name in entries.columns if name != "entry"],
@@ -233,7 +245,7 @@ def normalize_forecast(entries: DataFrame, *, as_of: Column | None = None) -> Da
         number("t").alias("temperature"),
         number("hu").alias("humidity"),
         F.lit(None).cast("double").alias("pressure"),
-        text(field(entry, "$.wd")).alias("wind_direction"),
+        text(entry, "$.wd").alias("wind_direction"),
         number("ws").alias("wind_speed"),
         number("tp").alias("rainfall"),
         F.lit(None).cast("double").alias("uv_index"),
@@ -241,9 +253,9 @@ def normalize_forecast(entries: DataFrame, *, as_of: Column | None = None) -> Da
         number("tcc").alias("cloud_coverage"),
         # A present null prints as text here, unlike a missing key.
         F.when(F.is_variant_null(field(entry, "$.weather")), F.lit(NO_NAME))
-        .otherwise(_not_empty(text(field(entry, "$.weather"))))
+        .otherwise(_not_empty(text(entry, "$.weather")))
         .alias("condition_code"),
-        text(field(entry, "$.weather_desc")).alias("condition_desc"),
+        text(entry, "$.weather_desc").alias("condition_desc"),
     )
 
 
@@ -282,7 +294,7 @@ def match_raw_entry(nearest: DataFrame, entries: DataFrame, *, key: str = "locat
         .alias("__minute"),
     )
     # Only an own time field counts here, not the local one.
-    timed = _not_empty(text(field(F.col("entry"), "$.datetime")))
+    timed = _not_empty(text(F.col("entry"), "$.datetime"))
     moment = parse_observed_at(F.col("entry"), F.lit(None).cast("timestamp"))
     candidates = (
         entries.where(timed.isNotNull())

@@ -178,3 +178,15 @@ def test_admin_codes(spark, tmp_path):
     (tmp_path / "map.json").write_text(json.dumps({"Amplas": "12.71.09.1001", "Timbang Deli": "12.71.09.1006"}))
     got = {tuple(r) for r in admin.name_code_map(spark, str(tmp_path / "map.json")).collect()}
     assert got == {("Amplas", "12.71.09.1001"), ("Timbang Deli", "12.71.09.1006")}
+
+
+def test_members_of_documents_are_read_once(spark):
+    """Shapes are told without building maps, lists or lambda rows of the members."""
+    text = '{"place": {"adm4": "12.71.01.1001"}, "entries": [{"t": null, "temperature": 30, "hu": "x"}]}'
+    rows = documents(spark, text)
+    parsed = parse.parse_raw_json(rows, KEYS)
+    row = parsed.first()
+    # The first key counts where it exists, also if it holds null or no number.
+    assert (row.location, row.temperature, row.humidity) == ("12.71.01.1001", None, None)
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and "map<string" not in plan.lower() and "maptype" not in plan.lower()
