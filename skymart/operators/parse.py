@@ -5,6 +5,7 @@ JSON is parsed once per row into a VARIANT, which keeps apart a missing key and
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skymart.config import DocumentKeys
 from skymart.functions import classes
+from skymart.session import materialize, shared_dir
 
 UNKNOWN_LOCATION = "Unknown"
 NO_NAME = "None"  # how a null prints where the sources print it as text
@@ -281,12 +283,14 @@ def match_raw_entry(nearest: DataFrame, entries: DataFrame, *, key: str = "locat
     """First raw entry less than 60 s from the floored time, empty object if there is none.
 
     Both sides meet on (location, minute). The single row per location is repeated for the minute
-    before and after, so a location with very many entries still spreads over its minutes.
+    before and after, so a location with very many entries still spreads over its minutes. Those
+    rows are written first: they are needed twice, and computing them parses every document. Their
+    known size lets Spark send them to the entries, which are then not shuffled.
     """
     minute = F.lit(60_000_000)
-    left = nearest.select(
-        key, "place", "observed_at", F.unix_micros("observed_at").alias("__target")
-    )
+    chosen = nearest.select(key, "place", "observed_at")
+    chosen = materialize(chosen, f"{shared_dir(nearest.sparkSession)}/nearest-{uuid.uuid4().hex}")
+    left = chosen.withColumn("__target", F.unix_micros("observed_at"))
     probes = left.select(
         key,
         "__target",
@@ -295,17 +299,12 @@ def match_raw_entry(nearest: DataFrame, entries: DataFrame, *, key: str = "locat
     )
     # Only an own time field counts here, not the local one.
     timed = _not_empty(text(F.col("entry"), "$.datetime"))
-    moment = parse_observed_at(F.col("entry"), F.lit(None).cast("timestamp"))
-    candidates = (
-        entries.where(timed.isNotNull())
-        .select(
-            key,
-            "entry",
-            F.struct("raw_id", "position").alias("__order"),
-            F.unix_micros(moment).alias("__time"),
-        )
-        .withColumn("__minute", F.floor(F.col("__time") / minute))
-    )
+    moment = F.unix_micros(parse_observed_at(F.col("entry"), F.lit(None).cast("timestamp")))
+    candidates = keep_present(
+        entries.select(key, "entry", F.struct("raw_id", "position").alias("__order")),
+        F.when(timed.isNotNull(), moment),
+        "__time",
+    ).withColumn("__minute", F.floor(F.col("__time") / minute))
     first = (
         candidates.join(probes, [key, "__minute"])
         .where(F.abs(F.col("__time") - F.col("__target")) < minute)

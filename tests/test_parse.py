@@ -141,6 +141,15 @@ def test_first_entry_wins_a_tie_and_off_grid_entries_match_nothing(spark):
     assert when == datetime(2026, 7, 11, 3) and stored["entries"] == [{}]
 
 
+def test_documents_of_the_nearest_entries_are_parsed_once_before_the_match(spark):
+    entries = parse.explode_forecast(documents(spark, {"data": [{"place": PLACE, "entries": [[ENTRY]]}]}), KEYS)
+    near = parse.nearest_entry(parse.normalize_forecast(entries), as_of=F.lit(datetime(2026, 7, 11, 3)))
+    matched = parse.match_raw_entry(near, entries)
+    plan = matched._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(") == 1 and "row_number" not in plan
+    assert json.loads(matched.first().raw_entry)["t"] == 31
+
+
 def test_location_names_take_one_name_per_code(spark):
     other = {**PLACE, "desa": "Zeta"}
     docs = documents(spark, {"place": PLACE, "entries": ENTRY}, {"place": other, "entries": ENTRY},
