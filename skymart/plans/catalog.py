@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from skymart.operators import clean, enrich, load, parse, quality, spatial
 from skymart.plans import alerts, pages, queries, transform, views
 from skymart.plans import oracle_sql as sql
-from skymart.session import configure, shared_dir
+from skymart.session import configure, materialize, shared_dir
 from skymart.sources import admin, events, fixtures, raw
 from skymart.sources.warehouse import Warehouse
 from skymart.streaming import ingest
@@ -91,9 +91,17 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def slotted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned observations dated by their 3-hour slot."""
-    dated = events.observations(spark, sf_dir).withColumn("observed_at", F.col("slot")).drop("slot")
-    return dated.transform(clean.clean).transform(clean.standardize)
+    """Cleaned observations dated by their 3-hour slot, written once.
+
+    Every load reads them twice, for the features of a location and for the rows themselves.
+    """
+
+    def build() -> DataFrame:
+        dated = events.observations(spark, sf_dir).withColumn("observed_at", F.col("slot")).drop("slot")
+        rows = dated.transform(clean.clean).transform(clean.standardize)
+        return materialize(rows, _new_path(spark, "slotted"))
+
+    return _once("slotted", spark, sf_dir, build)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

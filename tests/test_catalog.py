@@ -1,5 +1,7 @@
 """Every registered query against its check SQL on the smallest tables."""
 
+from datetime import datetime
+
 import pytest
 from compare import difference, duck
 
@@ -25,3 +27,13 @@ def test_contract(spark):
     assert contract.entry(spark).columns[:2] == ["district", "date"]
     assert catalog.QUERIES.keys() == catalog.ORACLES.keys()
     assert contract.oracle_sql().keys() <= contract.queries().keys()
+
+
+def test_loads_read_cleaned_rows_that_were_written_once(spark, tmp_path):
+    made = [(i, datetime(2024, 1, 15, 10, i % 3), 7, "click", 1.5 + i, '{"k": 20}') for i in range(6)]
+    kinds = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(made, kinds).write.parquet(f"{tmp_path}/events.parquet")
+    rows = catalog.slotted(spark, str(tmp_path))
+    assert [r.raw_id for r in rows.collect()] == [0]  # one slot of one place
+    plan = catalog.slotted(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "get_json_object" not in plan
