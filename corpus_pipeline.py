@@ -12,6 +12,9 @@ tables give empty tables with the same columns.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,21 @@ from skymart.llm.ship import shipped
 #: Rows sent to all tasks to leave documents out; more of them are joined by a shuffle.
 SENT_ROWS = 500_000
 
+#: Rows that go to a Python worker at once. Spark's 10,000 are the texts of a whole partition, which lie
+#: in the executor's direct memory and again in the worker, beside what earlier stages left in both.
+BATCH_ROWS = 1_000
+
+
+def _stage(run: Callable) -> Callable:
+    """``run``, sending the package first and rows in small batches."""
+
+    @functools.wraps(run)
+    def small(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return run(spark, docs, sf_dir)
+
+    return shipped(small)
+
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     """``docs`` with its columns by number (so that no name can clash), and doc_id, text and lang."""
@@ -38,7 +56,7 @@ def _without(docs: DataFrame, gone: DataFrame, on: Column, name: str) -> DataFra
     return docs.alias("d").join(sent.alias("g"), on, "left_anti")
 
 
-@shipped
+@_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out texts without letters, and those too unlike the language they are nearest to.
 
@@ -51,7 +69,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.predict(rows, model, own).filter("not rejected").select(*own).toDF(*docs.columns)
 
 
-@shipped
+@_stage
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop repeated and near-repeated lines, and documents of which no text is left by that.
 
@@ -68,7 +86,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return left.withColumns(changed).select(*own).toDF(*docs.columns)
 
 
-@shipped
+@_stage
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each near-duplicate group, one with the smallest id; null ids come last.
 
@@ -85,7 +103,7 @@ def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return left.select(*[f"d.{c}" for c in own]).toDF(*docs.columns)
 
 
-@shipped
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents that hold a window of a benchmark item.
 
@@ -97,7 +115,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _without(docs, gone, same, "contaminated")
 
 
-@shipped
+@_stage
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents in sequences of 4096; null and empty texts are their end id alone."""
     return packing.pack(docs)

@@ -20,7 +20,9 @@ from skymart.llm.common import text_buffer
 
 #: Entries of the word cache of one Python worker before it starts anew.
 CACHE_WORDS = 600_000
-SLICE_BYTES = 2 << 20
+#: Text looked up at once. A dozen arrays of 64-bit numbers of this length, and the kept powers of
+#: the hashes, are alive in every Python worker, beside what earlier steps left there.
+SLICE_BYTES = 256 << 10
 
 _LETTER, _DIGIT, _SIGN, _WHOLE = 1, 2, 3, 4
 _KIND = np.full(256, _WHOLE, np.uint8)

@@ -138,3 +138,16 @@ def test_empty_tables_stay_empty(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == COLUMNS and out.count() == 0
+
+
+def test_workers_get_rows_in_small_batches(spark):
+    def sizes(session, docs, _):
+        def count(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+        return docs.mapInArrow(count, "n bigint")
+
+    docs = spark.range(0, 3 * corpus_pipeline.BATCH_ROWS + 1, 1, 1)
+    seen = [r.n for r in corpus_pipeline._stage(sizes)(spark, docs, "").collect()]
+    assert sum(seen) == docs.count() and max(seen) == corpus_pipeline.BATCH_ROWS

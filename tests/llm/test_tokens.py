@@ -1,6 +1,7 @@
 """Token ids, packing and the token file against whole-text encoding."""
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 
 from document_rows import documents  # noqa: F401
 
-from skymart.llm import catalog, packing, token_file
+from skymart.llm import catalog, packing, token_file, words
 from skymart.llm.tokens import Encoder, default_path
 
 ENCODER = Encoder(default_path())
@@ -55,6 +56,18 @@ def test_long_text_in_slices(monkeypatch):
     assert ids.tolist() == plain(text) + plain("end") and counts[0] == 0
 
 
+def test_memory_stays_small_beside_a_batch(monkeypatch):
+    monkeypatch.setattr(words, "_POWERS", {})
+    texts = pa.array(["the lé a1b2 and so on " * 5_000] * 60)
+    ENCODER.encode(texts.slice(0, 1))
+    tracemalloc.start()
+    _, counts = ENCODER.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1] - 4 * 2 * int(counts.sum())  # the ids, and their parts
+    tracemalloc.stop()
+    kept = sum(a.nbytes for known in words._POWERS.values() for a in known)
+    assert peak < 64 << 20 and kept <= 32 << 20
+
+
 def test_cache_starts_anew(monkeypatch):
     monkeypatch.setattr("skymart.llm.tokens.CACHE_WORDS", 3)
     small = Encoder(default_path())
