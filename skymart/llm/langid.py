@@ -162,7 +162,7 @@ def entropies(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np
     data, offsets = text_buffer(texts)
     n = len(offsets) - 1
     sums, letters, predicted = np.zeros((n, len(model.langs))), np.zeros(n), np.zeros(n)
-    for part in words.slices(data, offsets):
+    for part in words.slices(data, offsets, limit=words.SMALL_SLICE_BYTES):
         if not len(part.starts):
             continue
         h = words.span_hashes(part.data, part.starts, part.ends)

@@ -1,6 +1,7 @@
 """Character models against a plain Kneser-Ney, and held-out accuracy."""
 
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from document_rows import documents  # noqa: F401
 
-from skymart.llm import catalog, langid
+from skymart.llm import catalog, langid, near_dup, words
 
 SF = "/root/testdata/sf0.01"
 
@@ -132,3 +133,24 @@ def test_languages_with_few_labelled_texts_are_learned(spark):
     rows = [(i, (LEFT + RIGHT)[i % 6] * 20, f"l{i}") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     assert len(langid.fit(docs, F.lit(True)).langs) == 40
+
+
+def test_large_batches_take_little_memory(monkeypatch):
+    """Two megabytes of text at once: arrays and kept powers are those of a small slice."""
+    monkeypatch.setattr(words, "_POWERS", {})
+    texts = [f"le chat {i} dort et the cat sleeps " * 30 for i in range(2000)]
+    keys, counts = np.unique(langid.four_grams(langid.signs("le chat dort "))[1], return_counts=True)
+    model = langid.build(["fr"], {"fr": (keys, counts.astype(float))})
+    single, letters, _ = langid.entropies(model, pa.array(texts[:3]))
+    batch = pa.array(texts)
+    assert batch.nbytes > 2_000_000
+    for run in (lambda: langid.entropies(model, batch), lambda: near_dup.shingle_sets(batch, 5)):
+        tracemalloc.start()
+        found = run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 25_000_000
+        if isinstance(found, tuple):
+            np.testing.assert_array_equal(found[0][:3], single)
+            np.testing.assert_array_equal(found[1][:3], letters)
+    assert sum(a.nbytes for pair in words._POWERS.values() for a in pair) < 10_000_000
