@@ -253,7 +253,9 @@ def points_in_polygons(
     inside = _inside(F.col(f"p.{lon}"), F.col(f"p.{lat}"))
     same_cell = [F.col(f"p.{name}") == F.col(f"o.{name}") for name in CELL_KEYS]
     matched = same_cell[0] & same_cell[1] & same_cell[2] & same_cell[3] & inside
-    hits = probes.alias("p").join(cells.alias("o"), matched, "left_semi").drop(*CELL_KEYS)
+    # Size statistics don't see that an outline becomes many cells: unless told, Spark sends all of them to
+    # every task. Sorted by cell, they can be spilled, and a cell with many points is split.
+    hits = probes.alias("p").join(cells.hint("merge").alias("o"), matched, "left_semi").drop(*CELL_KEYS)
     return hits if len(levels) == 1 else hits.dropDuplicates([key])
 
 

@@ -61,6 +61,15 @@ def test_points_in_polygons_equals_brute_force(spark, shapes):
     assert got == want and want[1000] and want[1001] and not want[1002]
 
 
+def test_cells_of_polygons_are_not_sent_to_all_tasks(spark, shapes):
+    """A small table of outlines may have many cells, which its size doesn't tell."""
+    points = spark.createDataFrame([(1, 0.5, 0.2)], "id int, lon double, lat double")
+    found = spatial.points_in_polygons(points, shapes, key="id")
+    assert [r.id for r in found.collect()] == [1]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_no_polygons(shapes):
     assert spatial.points_in_polygons(
         shapes.select(F.lit(1).alias("id"), F.lit(0.5).alias("lon"), F.lit(0.5).alias("lat")),
