@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymart.llm import words
-from skymart.llm.common import keep, text_buffer
+from skymart.llm.common import keep, lean, text_buffer
 
 PER_LANG = 1500
 MAX_LANGS = 500
@@ -223,7 +223,7 @@ def _counts(sample: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
                     names=["lang", "key", "n"],
                 )
 
-    grams = sample.select("lang", "text").mapInArrow(count, "lang string, key bigint, n bigint")
+    grams = sample.select("lang", "text").mapInArrow(lean(count), "lang string, key bigint, n bigint")
     table = grams.groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
     counts = {}
     for lang, rows in table.groupby("lang"):
@@ -278,7 +278,7 @@ class _Judge:
                 )
 
         texts = sample.filter(F.col("half") == self.half).select("lang", "text")
-        found = texts.mapInArrow(run, "lang string, ce array<double>, letters double").collect()
+        found = texts.mapInArrow(lean(run), "lang string, ce array<double>, letters double").collect()
         return [(r.lang, dict(zip(self.model.langs, r.ce)), r.letters) for r in found if r.letters > 0]
 
     def kept(self, texts: DataFrame, limits: dict[str, tuple[float, float, float]]) -> DataFrame:
@@ -296,7 +296,7 @@ class _Judge:
                     fine.append(known is None or ce[i, known] <= limit)
                 yield batch.filter(pa.array(fine, pa.bool_()))
 
-        return texts.select("lang", "text").mapInArrow(run, "lang string, text string")
+        return texts.select("lang", "text").mapInArrow(lean(run), "lang string, text string")
 
 
 def _limit(own: float, other: float, noise: float, letters: float) -> float:
@@ -358,4 +358,4 @@ def predict(docs: DataFrame, model: Model | None, carry: Sequence[str] = ("doc_i
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(fields)], *own], names=names)
 
     types = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
-    return rows.mapInArrow(run, types + COLUMNS)
+    return rows.mapInArrow(lean(run), types + COLUMNS)

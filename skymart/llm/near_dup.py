@@ -27,6 +27,7 @@ one give one result row each, by their own texts. Extra columns are ignored, emp
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymart.llm import words
-from skymart.llm.common import keep, text_buffer
+from skymart.llm.common import keep, lean, text_buffer
 from skymart.llm.components import components
 
 BANDS, BAND_SIZE, MANTISSA = 56, 6, 10
@@ -48,6 +49,11 @@ SLACK = 5
 BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 #: Shingles whose holders are compared at once.
 COLUMNS = 4096
+#: Texts whose words are hashed at once.
+TEXTS = 200
+#: Parts of the bucket keys that are counted apart. Nearly all keys are held by one set, so a task's table of
+#: counts has a row for nearly every key it reads.
+KEY_PARTS = 4
 #: Ids sent to all tasks to pick the texts of candidates; more of them are joined by a shuffle.
 SENT_IDS = 500_000
 
@@ -174,8 +180,8 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(at, TEXTS)
                 sets = shingle_sets(batch.column(1), width)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -188,7 +194,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 )
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, signature binary, registers binary"
+        lean(run), "doc_id bigint, n_shingles bigint, signature binary, registers binary"
     )
 
 
@@ -200,7 +206,17 @@ def _keys(classes: DataFrame) -> DataFrame:
             ids = np.repeat(batch.column(0).to_numpy(), [len(r) for r in rows])
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], names=["key", "id"])
 
-    return classes.select("id", "registers").mapInArrow(run, "key bigint, id bigint")
+    return classes.select("id", "registers").mapInArrow(lean(run), "key bigint, id bigint")
+
+
+def _hubs(keys: DataFrame) -> DataFrame:
+    """key and smallest id of the buckets with several members."""
+    parts = []
+    for part in range(KEY_PARTS):
+        own = keys.filter(F.pmod(F.col("key"), F.lit(KEY_PARTS)) == part)
+        held = own.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n"))
+        parts.append(held.filter("n > 1").drop("n"))
+    return functools.reduce(DataFrame.union, parts)
 
 
 def _registers(column: pa.Array) -> np.ndarray:
@@ -219,7 +235,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     one = classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("n1"), F.col("registers").alias("r1"))
     two = classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("n2"), F.col("registers").alias("r2"))
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "n1", "n2", "r1", "r2")
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    return joined.mapInArrow(lean(run), "a bigint, b bigint")
 
 
 CELL = ["key", "x", "y"]
@@ -342,8 +358,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(at, TEXTS)
                 passed = []
                 for s, t in zip(shingle_sets(batch.column(2), width), shingle_sets(batch.column(3), width)):
                     common = len(np.intersect1d(s, t, assume_unique=True))
@@ -355,7 +371,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     joined = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("t1")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t2")), "b"
     )
-    return keep(joined.select("a", "b", "t1", "t2").mapInArrow(run, "a bigint, b bigint"), "links")
+    return keep(joined.select("a", "b", "t1", "t2").mapInArrow(lean(run), "a bigint, b bigint"), "links")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -363,12 +379,12 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(at, TEXTS)
                 sets = [s.tobytes() for s in shingle_sets(batch.column(1), width)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
 
-    return _texts(docs, ids.select(F.col("id").alias("doc_id"))).mapInArrow(run, "id bigint, set binary")
+    return _texts(docs, ids.select(F.col("id").alias("doc_id"))).mapInArrow(lean(run), "id bigint, set binary")
 
 
 def _crossing(
@@ -401,7 +417,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
         "classes",
     )
     keys = keep(_keys(classes.filter(linkable(F.col("n_shingles"), percent))), "keys")
-    hubs = keep(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n"), "hubs")
+    hubs = keep(_hubs(keys), "hubs")
     live = keep(keys.join(hubs, "key"), "live")
     starred = keep(live.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "starred")
     links = _confirmed(_likely(starred, classes, percent), docs, width, percent)

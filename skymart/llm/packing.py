@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skymart.llm.common import lean
 from skymart.llm.tokens import default_path, encoder, with_end
 
 WINDOW = 4096
@@ -203,4 +204,4 @@ def pack(
         if block.size:
             yield block.pack()
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(lean(run, "encoders"), SCHEMA)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 from skymart.llm import words
-from skymart.llm.common import text_buffer
+from skymart.llm.common import CACHES, text_buffer
 
 #: Entries of the word cache of one Python worker before it starts anew.
 CACHE_WORDS = 600_000
@@ -36,7 +36,7 @@ _LATIN = np.zeros(256, bool)  # second bytes of the letters U+00C0 to U+00FF
 _LATIN[0x80:0xC0] = True
 _LATIN[[0x97, 0xB7]] = False
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = CACHES.setdefault("encoders", {})
 
 
 def _byte_signs() -> dict[int, str]:

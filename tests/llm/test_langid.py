@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from document_rows import documents  # noqa: F401
 
-from skymart.llm import catalog, langid, near_dup, words
+from skymart.llm import catalog, common, langid, near_dup, words
 
 SF = "/root/testdata/sf0.01"
 
@@ -154,3 +154,38 @@ def test_large_batches_take_little_memory(monkeypatch):
             np.testing.assert_array_equal(found[0][:3], single)
             np.testing.assert_array_equal(found[1][:3], letters)
     assert sum(a.nbytes for pair in words._POWERS.values() for a in pair) < 10_000_000
+
+
+def test_workers_give_back_what_other_steps_left(spark, monkeypatch):
+    """Packing's tokenizer stays between its own tasks, and goes with the next task of another step."""
+    kept = {}
+    monkeypatch.setitem(common.CACHES, "encoders", kept)
+    for run, left in ((common.lean(iter, "encoders"), ["path"]), (common.lean(iter), [])):
+        kept["path"] = object()
+        given = []
+        monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+        rows = run([1, 2])
+        assert next(rows) == 1 and not given
+        assert list(rows) == [2] and given
+        assert list(kept) == left
+
+
+def test_freed_memory_of_a_task_goes_back():
+    def resident():
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(line.split()[1]) for line in f if line.startswith("Anonymous:")) / 1024
+
+    def run(batches):
+        for batch in batches:
+            held = [np.ones(1000) for _ in range(10_000)]
+            kept.append(np.ones(1000))  # lies above what is freed
+            del held
+            yield batch
+
+    kept = []
+    common.give_back()
+    before = resident()
+    list(run([1]))
+    assert resident() > before + 40
+    list(common.lean(run)([1]))
+    assert resident() < before + 20

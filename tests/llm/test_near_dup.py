@@ -224,3 +224,13 @@ def test_recall_at_the_threshold():
     b[:] = 0
     b[0, : int((0.2 + short) * (1 - random) * near_dup.BUCKETS)] = 1
     assert near_dup.likely(a, b, few, few, 80).all()
+
+
+def test_tables_of_bucket_counts_are_small(spark):
+    """Nearly every key is held by one set: no task counts more than a part of the keys it reads."""
+    rows = [(key - 7000, id_) for key in range(14_000) for id_ in ((key, key + 1) if key % 50 == 0 else (key,))]
+    keys = spark.createDataFrame(rows, "key bigint, id bigint")
+    found = near_dup._hubs(keys)
+    assert sorted((r.key, r.hub) for r in found.collect()) == [(key - 7000, key) for key in range(0, 14_000, 50)]
+    parts = found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [key")
+    assert parts == near_dup.KEY_PARTS
