@@ -348,9 +348,18 @@ def hex_grid(
 # -- X6 ------------------------------------------------------------------------------------------
 
 #: Stations (24 bytes each) of a block, and targets that meet one in a task.
-STATIONS_PER_BLOCK, TARGETS_PER_BLOCK = 100_000, 500_000
+STATIONS_PER_BLOCK, TARGETS_PER_BLOCK = 500_000, 500_000
 #: Targets and stations of a distance matrix evaluated at once: a matrix stays in a core's cache.
 MATRIX_TARGETS, MATRIX_STATIONS = 16, 4096
+#: Cells of a side of the grid by which targets are dealt into parts, as a power of two.
+PART_LEVEL = 6
+#: Cells with this many cells' width between their middles meet by their nodes (a side has ``NODES`` at a power of 2).
+APART, NODES = 3, 16
+#: Pairs of a target and a station up to which a part and a block meet without cells, and up to which two cells
+#: meet directly, near ones and others. Stations of a cell that are spread to its nodes one by one.
+FEW_PAIRS, NEAR_PAIRS, FAR_PAIRS, LEAF = 20_000_000, 25_000, 5_000, 256
+#: Levels of cells at most.
+DEPTH = 26
 
 _BLOCK = "block bigint, xs array<double>, ys array<double>, vs array<double>"
 _SUMS = "__id bigint, block bigint, hit double, w double, wv double"
@@ -371,14 +380,16 @@ def idw(
     take no part; without any station the result is 0. A target without coordinates has no value.
     Rows of ``targets`` are evaluated each on its own, whatever keys they have.
 
-    Every station counts at every target, so the work is their product. Stations are packed into
-    numbered array blocks of a written table, targets are dealt into parts of about ``pack_rows`` or
-    fewer; each part meets each block in a task, and the sums of a target are added up by Spark.
+    Every station counts at every target. Stations are packed into numbered array blocks of a written
+    table, targets are dealt by their place into parts of about ``pack_rows`` or fewer; each part meets
+    each block in a task, and the sums of a target are added up by Spark. In a task near stations are
+    summed one by one, and those of cells further away together, as exact as doubles are (``_tree_sums``).
     """
     spark = targets.sparkSession
     folder = f"{shared_dir(spark)}/idw-{uuid.uuid4().hex}"
     usable = stations.select("seq", "lon", "lat", "value").na.drop()
-    ranged = usable.repartitionByRange("seq").sortWithinPartitions("seq")
+    n_stations = usable.count()
+    ranged = usable.repartitionByRange(max(1, math.ceil(n_stations / block_rows)), "seq").sortWithinPartitions("seq")
     blocks = materialize(ranged.mapInPandas(_packer(block_rows), _BLOCK), f"{folder}/stations")
     numbers = blocks.agg(F.collect_list("block")).first()[0]  # one number per block
     rows = targets.withColumn("__id", F.monotonically_increasing_id())
@@ -390,13 +401,18 @@ def idw(
         return rows.select(*targets.columns, F.when(placed, F.lit(0.0)).alias("value"))
     # Several pairs of a part and a block for every core, so that all cores end at about the same time.
     pairs = 8 * spark.sparkContext.defaultParallelism
-    parts = max(math.ceil(rows.count() / pack_rows), math.ceil(pairs / len(numbers)))
-    dealt = rows.where(placed).select(
-        F.pmod(F.xxhash64("__id"), F.lit(parts)).cast("int").alias("part"),
+    spots = rows.where(placed).select("__id", F.col("lon").cast("double"), F.col("lat").cast("double"))
+    n_targets = rows.count()
+    parts = max(math.ceil(n_targets / pack_rows), math.ceil(pairs / len(numbers)))
+    part = F.pmod(F.xxhash64("__id"), F.lit(parts))
+    if n_targets * n_stations > FEW_PAIRS * parts * len(numbers):  # otherwise no cells are used
+        part, parts = _parts(spots, math.ceil(n_targets / parts))
+    dealt = spots.select(
+        part.cast("int").alias("part"),
         F.explode(F.lit(numbers).cast("array<bigint>")).alias("block"),
         "__id",
-        F.col("lon").cast("double"),
-        F.col("lat").cast("double"),
+        "lon",
+        "lat",
     )
     copies = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "*")
     met = dealt.groupBy("part", "block").cogroup(copies.groupBy("part", "block"))
@@ -406,6 +422,35 @@ def idw(
     return rows.join(summed, "__id", "left").select(*targets.columns, value)
 
 
+def _parts(spots: DataFrame, size: int) -> tuple[Column, int]:
+    """Number of the part that a target belongs to, and how many there are: neighbouring cells of a grid.
+
+    Parts have up to ``size`` targets, about. A cell with more is dealt out by hash. Coordinates that are
+    not finite count as in the first column or row.
+    """
+    finite = [F.when(F.abs(c) < F.lit(math.inf), F.col(c)) for c in ("lon", "lat")]
+    box = spots.agg(*[f(c) for c in finite for f in (F.min, F.max)]).first()
+    place = F.lit(0)
+    for axis, (value, low, high) in enumerate(zip(finite, box[::2], box[1::2])):
+        span = (high - low) / 2**PART_LEVEL if low is not None else 0.0
+        if not 0 < span < math.inf:
+            continue
+        cell = F.least(F.coalesce(F.floor((value - low) / span), F.lit(0)), F.lit(2**PART_LEVEL - 1)).cast("int")
+        for bit in range(PART_LEVEL):
+            place = place + F.shiftleft(F.shiftright(cell, bit).bitwiseAND(F.lit(1)), 2 * bit + axis)
+    counts = dict(spots.groupBy(place.alias("place")).count().collect())  # at most 4 ** PART_LEVEL rows
+    first, shares = [0] * 4**PART_LEVEL, [1] * 4**PART_LEVEL
+    part, held = 0, 0
+    for at, count in sorted(counts.items()):
+        if held and held + count > size:
+            part, held = part + 1, 0
+        first[at], shares[at] = part, math.ceil(count / size)
+        part, held = part + shares[at] - 1, held + count if shares[at] == 1 else size
+    at = place + 1
+    dealt = F.pmod(F.xxhash64("__id"), F.element_at(F.lit(shares), at))
+    return F.element_at(F.lit(first), at) + dealt, part + 1
+
+
 # The functions below are closures, so that they travel to the tasks by value and these need not import
 # this package.
 
@@ -439,10 +484,9 @@ def _packer(rows: int):
 def _matrix_sums(power: float):
     """Sums of one block of stations at a part of the targets, and the first station too close.
 
-    Weights follow from squared distances. Only distances near the exact one are measured as such.
+    Rows whose numbers are not finite are evaluated one by one, all others by the cells they lie in.
     """
-    tall, wide, exact = MATRIX_TARGETS, MATRIX_STATIONS, EXACT_DISTANCE
-    doubtful = exact * exact * (1 + 1e-9)
+    near, apart = _pair_sums(power), _tree_sums(power)
 
     def sums(part: pa.Table, block: pa.Table) -> pa.Table:
         lons, lats = (part[c].to_numpy() for c in ("lon", "lat"))
@@ -450,12 +494,43 @@ def _matrix_sums(power: float):
         both = np.stack([np.ones(len(vs)), vs], axis=1)
         first = np.full(len(lons), len(vs))
         total = np.zeros((len(lons), 2))
-        square, other = np.empty((tall, wide)), np.empty((tall, wide))
-        for row in range(0, len(lons), tall):
-            lon, lat = lons[row : row + tall, None], lats[row : row + tall, None]
-            for at in range(0, len(xs), wide):
-                x, y = xs[at : at + wide], ys[at : at + wide]
-                a, b = (m[: len(lon), : len(x)] for m in (square, other))
+        sound = np.isfinite(lons) & np.isfinite(lats)
+        usual = np.isfinite(xs) & np.isfinite(ys) & np.isfinite(vs)
+        every = np.ones(len(vs), bool)
+        for add, t, s in ((apart, sound, usual), (near, sound, ~usual), (near, ~sound, every)):
+            if t.any() and s.any():
+                some, least = total[t], first[t]
+                add(lons[t], lats[t], xs[s], ys[s], both[s], np.flatnonzero(s), some, least)
+                total[t], first[t] = some, least
+        hit = first < len(vs)
+        out = {
+            "__id": part["__id"],
+            "block": pa.array(np.full(len(lons), block["block"][0].as_py(), np.int64)),
+            "hit": pa.array(vs[np.where(hit, first, 0)], mask=~hit),
+            "w": pa.array(total[:, 0]),
+            "wv": pa.array(total[:, 1]),
+        }
+        return pa.table(out)
+
+    return sums
+
+
+def _pair_sums(power: float):
+    """Adds weights and weighted values of stations to targets, pair by pair, and finds the first station too close.
+
+    Weights follow from squared distances. Only distances near the exact one are measured as such.
+    """
+    tile, wide, exact = MATRIX_TARGETS * MATRIX_STATIONS, MATRIX_STATIONS, EXACT_DISTANCE
+    doubtful = exact * exact * (1 + 1e-9)
+
+    def add(lons, lats, xs, ys, both, numbers, total, first) -> None:
+        square, other = np.empty(tile), np.empty(tile)
+        for at in range(0, len(xs), wide):
+            x, y, given = xs[at : at + wide], ys[at : at + wide], both[at : at + wide]
+            tall = tile // len(x)
+            for row in range(0, len(lons), tall):
+                lon, lat = lons[row : row + tall, None], lats[row : row + tall, None]
+                a, b = (m[: len(lon) * len(x)].reshape(len(lon), len(x)) for m in (square, other))
                 np.subtract(lon, x, out=a)
                 np.multiply(a, a, out=a)
                 np.subtract(lat, y, out=b)
@@ -465,21 +540,240 @@ def _matrix_sums(power: float):
                     i, j = np.nonzero(a <= doubtful)
                     near = np.hypot(lon[i, 0] - x[j], lat[i, 0] - y[j]) < exact
                     i, j = i[near], j[near]
-                    np.minimum.at(first, row + i, at + j)
+                    np.minimum.at(first, row + i, numbers[at + j])
                     a[i, j] = 1.0
                 if power == 2:
                     np.divide(1.0, a, out=a)
                 else:
                     np.power(a, -power / 2, out=a)
-                total[row : row + tall] += a @ both[at : at + wide]
-        hit = first < len(vs)
-        out = {
-            "__id": part["__id"],
-            "block": pa.array(np.full(len(lons), block["block"][0].as_py(), np.int64)),
-            "hit": pa.array(vs[np.where(hit, first, 0)], mask=~hit),
-            "w": pa.array(total[:, 0]),
-            "wv": pa.array(total[:, 1]),
-        }
-        return pa.table(out)
+                total[row : row + tall] += a @ given
 
-    return sums
+    return add
+
+
+def _tree_sums(power: float):
+    """The same as ``_pair_sums`` for finite numbers, without evaluating every pair.
+
+    Targets and stations lie in the cells of one quadtree. Cells next to each other are split on, until
+    few pairs are left to evaluate one by one. Cells that lie apart meet by Chebyshev nodes: weights of the
+    stations are spread to the nodes of their cell, summed at the nodes of the target's cell, and
+    interpolated there. No station is left out: interpolation is wrong by some 1e-14 of a weight at most,
+    which is about what adding up rounds off. Origin and sides of cells are such that places within a cell
+    have no rounding.
+    """
+    apart, exact, deepest = APART, EXACT_DISTANCE, DEPTH
+    few, few_near, few_far, leaf = FEW_PAIRS, NEAR_PAIRS, FAR_PAIRS, LEAF
+    nodes = NODES + max(0, math.ceil(power) - 2)
+    one_by_one = _pair_sums(power)
+    order = np.arange(nodes)
+    spots = np.cos(np.pi * (order + 0.5) / nodes)
+    cosines = np.cos(np.outer(order, np.pi * (order + 0.5) / nodes)) * np.where(order, 2, 1)[:, None] / nodes
+
+    def basis(u: np.ndarray) -> np.ndarray:
+        """Lagrange polynomials of the nodes at places between -1 and 1: (nodes, places)."""
+        t = np.empty((nodes, len(u)))
+        t[0], t[1] = 1.0, u
+        for i in range(2, nodes):
+            t[i] = 2 * u * t[i - 1] - t[i - 2]
+        return cosines.T @ t
+
+    halves = [basis((spots + side) / 2) for side in (-1, 1)]  # nodes of a cell at those of its lower and upper half
+
+    def between(dx: int, dy: int) -> np.ndarray:
+        """Weights of a cell's nodes at those of another, both of side 2."""
+        x = (2 * dx + spots[:, None] - spots) ** 2
+        y = (2 * dy + spots[:, None] - spots) ** 2
+        square = x[:, None, :, None] + y[None, :, None, :]
+        return (1.0 / square if power == 2 else square ** (-power / 2)).reshape(nodes**2, nodes**2)
+
+    def spans(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """All numbers from each start to before its stop."""
+        n = stops - starts
+        return np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+    class Cells:
+        """Points sorted by cell. ``level(l)``: starts of cells, with the end; their columns and rows."""
+
+        def __init__(self, x: np.ndarray, y: np.ndarray, west: float, south: float, side: float, depth: int):
+            self.depth, self.west, self.south, self.side = depth, west, south, side
+            last, step = (1 << depth) - 1, side * 0.5**depth
+            cx, cy = (np.clip(np.floor((a - b) / step), 0, last).astype(np.int64) for a, b in ((x, west), (y, south)))
+            key = np.zeros(len(x), np.int64)
+            for bit in range(depth):
+                key |= ((cx >> bit & 1) << 2 * bit) | ((cy >> bit & 1) << 2 * bit + 1)
+            self.order = np.argsort(key, kind="stable")
+            self.x, self.y, self.cx, self.cy, self.key = (a[self.order] for a in (x, y, cx, cy, key))
+            self.known: dict[int, tuple] = {}
+
+        def level(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            if level not in self.known:
+                down = self.depth - level
+                key = self.key >> 2 * down
+                starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                self.known[level] = np.append(starts, len(key)), self.cx[starts] >> down, self.cy[starts] >> down
+            return self.known[level]
+
+        def children(self, level: int) -> np.ndarray:
+            """First child of every cell, with the end."""
+            return np.searchsorted(self.level(level + 1)[0], self.level(level)[0])
+
+        def inside(self, level: int, cell: int) -> tuple[slice, np.ndarray, np.ndarray]:
+            """Points of a cell, and the nodes' polynomials there by x and by y."""
+            starts, cx, cy = self.level(level)
+            here, side = slice(starts[cell], starts[cell + 1]), self.side * 0.5**level
+            u = (self.x[here] - (self.west + (cx[cell] + 0.5) * side)) / (side / 2)
+            v = (self.y[here] - (self.south + (cy[cell] + 0.5) * side)) / (side / 2)
+            return here, basis(u), basis(v)
+
+    def grid(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float, int]:
+        """West, south and side of the whole square, and how many levels are exact and wider than the exact distance."""
+        low = x.min(), y.min()
+        wide = max(x.max() - low[0], y.max() - low[1])
+        if not 0 < wide < 1e100:
+            return 0.0, 0.0, 0.0, 0
+        side = 2.0 ** (math.floor(math.log2(wide * 1.001)) + 1)
+        step = side * 0.5**deepest
+        smallest = max(4 * exact, 2.0**-40 * max(np.abs(x).max(), np.abs(y).max()))
+        depth = min(deepest, max(0, math.floor(math.log2(side / smallest))))
+        return math.floor(low[0] / step) * step, math.floor(low[1] / step) * step, side, depth
+
+    def plan(goals: Cells, sources: Cells):
+        """Pairs of cells by level: those that meet by nodes, and those that meet directly; cells that are split."""
+        t = s = np.zeros(1, np.int64)
+        by_nodes, direct, split = [], [], []
+        level = 0
+        while True:
+            (at, tx, ty), (bt, sx, sy) = goals.level(level), sources.level(level)
+            n = (at[t + 1] - at[t]) * (bt[s + 1] - bt[s])
+            near = np.maximum(np.abs(tx[t] - sx[s]), np.abs(ty[t] - sy[s])) < apart
+            far = ~near & (n > few_far)
+            on = near & (n > few_near) & (level < goals.depth)
+            by_nodes.append((t[far], s[far]))
+            direct.append((t[~far & ~on], s[~far & ~on]))
+            split.append(np.unique(t[on]))
+            if not on.any():
+                return by_nodes, direct, split
+            t, s = t[on], s[on]
+            a, b = goals.children(level), sources.children(level)
+            wide = b[s + 1] - b[s]
+            n = (a[t + 1] - a[t]) * wide
+            pair, at = np.repeat(np.arange(len(t)), n), spans(np.zeros_like(n), n)
+            t, s = a[t[pair]] + at // wide[pair], b[s[pair]] + at % wide[pair]
+            level += 1
+
+    def meet_by_nodes(goals: Cells, sources: Cells, both: np.ndarray, by_nodes: list) -> list[tuple]:
+        """By level: cells of targets that have sums at their nodes, and these (cells, 2, nodes, nodes)."""
+        needed = [np.unique(s) for _, s in by_nodes]
+        level = 0
+        while level < len(needed):  # a large cell's weights come from its children's
+            starts = sources.level(level)[0]
+            large = needed[level][starts[needed[level] + 1] - starts[needed[level]] > leaf]
+            if level < sources.depth and len(large):
+                child = sources.children(level)
+                below = spans(child[large], child[large + 1])
+                if level + 1 == len(needed):
+                    needed.append(below)
+                else:
+                    needed[level + 1] = np.union1d(needed[level + 1], below)
+            level += 1
+        tables: dict[tuple[int, int], np.ndarray] = {}
+        found: list[tuple] = [()] * len(by_nodes)
+        under = None
+        for level in range(len(needed) - 1, -1, -1):
+            cells = needed[level]
+            starts, cx, cy = sources.level(level)
+            weights = np.zeros((len(cells), 2, nodes, nodes))
+            large = (starts[cells + 1] - starts[cells] > leaf) & (level < sources.depth)
+            for i in np.flatnonzero(~large):
+                here, px, py = sources.inside(level, cells[i])
+                for k in range(2):
+                    weights[i, k] = (px * both[here, k]) @ py.T
+            if large.any():
+                child = sources.children(level)
+                below = spans(child[cells[large]], child[cells[large] + 1])
+                parent = np.repeat(np.flatnonzero(large), child[cells[large] + 1] - child[cells[large]])
+                _, ux, uy = sources.level(level + 1)
+                for x in range(2):
+                    for y in range(2):
+                        some = (ux[below] & 1 == x) & (uy[below] & 1 == y)
+                        lower = under[1][np.searchsorted(under[0], below[some])]
+                        weights[parent[some]] += halves[x] @ lower @ halves[y].T
+            under = cells, weights
+            if level >= len(by_nodes) or not len(by_nodes[level][0]):
+                continue
+            t, s = by_nodes[level]
+            _, tx, ty = goals.level(level)
+            cells_t = np.unique(t)
+            sums = np.zeros((len(cells_t), 2, nodes**2))
+            flat = weights.reshape(len(cells), 2, nodes**2)
+            scale = (sources.side * 0.5**level / 2) ** -power
+            dx, dy = tx[t] - cx[s], ty[t] - cy[s]
+            code = (dx + 2 * apart) * 4 * apart + dy + 2 * apart
+            by_code = np.argsort(code, kind="stable")
+            for group in np.split(by_code, np.flatnonzero(np.diff(code[by_code])) + 1):
+                offset = int(dx[group[0]]), int(dy[group[0]])
+                if offset not in tables:
+                    tables[offset] = between(*offset)
+                given = flat[np.searchsorted(cells, s[group])].reshape(-1, nodes**2)
+                # A cell has one other at this offset.
+                sums[np.searchsorted(cells_t, t[group])] += scale * (given @ tables[offset].T).reshape(-1, 2, nodes**2)
+            found[level] = cells_t, sums.reshape(-1, 2, nodes, nodes)
+        return found
+
+    def interpolate(goals: Cells, found: list[tuple], split: list, total: np.ndarray) -> None:
+        """Adds sums at nodes to the targets, by way of the children where a cell is split."""
+        cells, sums = np.zeros(0, np.int64), np.zeros((0, 2, nodes, nodes))
+        for level in range(len(split)):
+            if found[level]:
+                every = np.union1d(cells, found[level][0])
+                added = np.zeros((len(every), 2, nodes, nodes))
+                added[np.searchsorted(every, cells)] = sums
+                added[np.searchsorted(every, found[level][0])] += found[level][1]
+                found[level], cells, sums = (), every, added
+            on = np.isin(cells, split[level])
+            for i in np.flatnonzero(~on):
+                here, px, py = goals.inside(level, cells[i])
+                for k in range(2):
+                    total[here, k] += ((sums[i, k].T @ px) * py).sum(axis=0)
+            if not on.any():
+                cells, sums = cells[:0], sums[:0]
+                continue
+            child = goals.children(level)
+            parents = cells[on]
+            below = spans(child[parents], child[parents + 1])
+            parent = np.repeat(np.flatnonzero(on), child[parents + 1] - child[parents])
+            _, cx, cy = goals.level(level + 1)
+            lower = np.empty((len(below), 2, nodes, nodes))
+            for x in range(2):
+                for y in range(2):
+                    some = (cx[below] & 1 == x) & (cy[below] & 1 == y)
+                    lower[some] = halves[x].T @ sums[parent[some]] @ halves[y]
+            cells, sums = below, lower
+
+    def meet(goals: Cells, sources: Cells, both: np.ndarray, numbers: np.ndarray, direct: list, total, first) -> None:
+        """Adds the stations of cells that meet directly."""
+        for level, (t, s) in enumerate(direct):
+            if not len(t):
+                continue
+            at, bt = goals.level(level)[0], sources.level(level)[0]
+            by_goal = np.argsort(t, kind="stable")
+            for group in np.split(by_goal, np.flatnonzero(np.diff(t[by_goal])) + 1):
+                here = slice(at[t[group[0]]], at[t[group[0]] + 1])
+                some = spans(bt[s[group]], bt[s[group] + 1])
+                x, y, given = sources.x[some], sources.y[some], both[some]
+                one_by_one(goals.x[here], goals.y[here], x, y, given, numbers[some], total[here], first[here])
+
+    def add(lons, lats, xs, ys, both, numbers, total, first) -> None:
+        west, south, side, depth = grid(np.concatenate([lons, xs]), np.concatenate([lats, ys]))
+        if not depth or len(lons) * len(xs) <= few:
+            return one_by_one(lons, lats, xs, ys, both, numbers, total, first)
+        goals, sources = (Cells(x, y, west, south, side, depth) for x, y in ((lons, lats), (xs, ys)))
+        both, numbers = both[sources.order], numbers[sources.order]
+        sums, least = np.zeros_like(total), first[goals.order]
+        by_nodes, direct, split = plan(goals, sources)
+        interpolate(goals, meet_by_nodes(goals, sources, both, by_nodes), split, sums)
+        meet(goals, sources, both, numbers, direct, sums, least)
+        total[goals.order] += sums
+        first[goals.order] = least
+
+    return add

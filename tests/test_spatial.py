@@ -249,6 +249,126 @@ def test_idw_matrices_stay_in_cache(spark):
     assert spatial.MATRIX_TARGETS * spatial.MATRIX_STATIONS * 8 <= 1 << 20
 
 
+def places(rng, kind, n):
+    """Coordinates of n places: spread evenly, in clusters of many sizes, on a line, or few that repeat."""
+    x, y = rng.uniform(0, 3, (2, n)) + [[98.0], [3.0]]
+    if kind == "clusters":
+        middle, size = rng.uniform(0, 50, (9, 2)), 10.0 ** np.arange(-6, 3)
+        at = rng.integers(0, 9, n)
+        x, y = (middle[at, i] + rng.normal(0, 1, n) * size[at] for i in (0, 1))
+        x[0], y[0] = 4e6, -3e6
+    elif kind == "line":
+        y = np.full(n, 3.0)
+    elif kind == "repeats":
+        x, y = np.round(x, 1), np.round(y, 1)
+    return x, y
+
+
+def all_pairs(lon, lat, x, y, v, power):
+    """Weights, weighted values and first station too close, of every pair."""
+    w, wv, first = np.empty(len(lon)), np.empty(len(lon)), np.full(len(lon), np.nan)
+    for i in range(len(lon)):
+        d = np.hypot(lon[i] - x, lat[i] - y)
+        close = d < 1e-4
+        weight = np.where(close, 1.0, np.where(close, 1.0, d) ** -power)
+        w[i], wv[i] = weight.sum(), weight @ v
+        if close.any():
+            first[i] = v[close.argmax()]
+    return w, wv, first
+
+
+@pytest.mark.parametrize("power", [1.0, 2.0, 3.0, 4.5])
+@pytest.mark.parametrize("kind", ["even", "clusters", "line", "repeats"])
+def test_idw_cells_equal_all_pairs(monkeypatch, kind, power):
+    monkeypatch.setattr(spatial, "FEW_PAIRS", 0)
+    monkeypatch.setattr(spatial, "NEAR_PAIRS", 300)
+    monkeypatch.setattr(spatial, "FAR_PAIRS", 50)
+    monkeypatch.setattr(spatial, "LEAF", 9)
+    rng = np.random.default_rng(6)
+    (x, y), (lon, lat) = places(rng, kind, 4_000), places(rng, kind, 1_500)
+    lon[:50], lat[:50] = x[:50] + 5e-5, y[:50]
+    v = rng.normal(0, 10, len(x))
+    part = pa.table({"__id": np.arange(len(lon)), "lon": lon, "lat": lat})
+    block = pa.table({"block": [3], "xs": [x], "ys": [y], "vs": [v]})
+    got = spatial._matrix_sums(power)(part, block).to_pandas()
+    w, wv, first = all_pairs(lon, lat, x, y, v, power)
+    _, size, _ = all_pairs(lon, lat, x, y, np.abs(v), power)
+    assert np.abs(got["w"] / w - 1).max() < 1e-13
+    assert (np.abs(got["wv"] - wv) / size).max() < 1e-13
+    np.testing.assert_array_equal(got["hit"], first)
+
+
+def test_idw_pairs_do_not_multiply(monkeypatch):
+    """Four times the targets and stations cost little more than four times the pairs, not sixteen times."""
+    made, single = [0], spatial._pair_sums
+
+    def counted(power):
+        add = single(power)
+
+        def count(lons, lats, xs, *rest):
+            made[0] += len(lons) * len(xs)
+            add(lons, lats, xs, *rest)
+
+        return count
+
+    monkeypatch.setattr(spatial, "FEW_PAIRS", 0)
+    monkeypatch.setattr(spatial, "_pair_sums", counted)
+    rng, pairs = np.random.default_rng(7), []
+    for n in (10_000, 40_000):
+        part = pa.table({"__id": np.arange(n), "lon": rng.uniform(0, 3, n), "lat": rng.uniform(0, 3, n)})
+        block = pa.table({"block": [0], "xs": [rng.uniform(0, 3, n)], "ys": [rng.uniform(0, 3, n)], "vs": [rng.uniform(0, 3, n)]})
+        made[0] = 0
+        assert spatial._matrix_sums(2.0)(part, block).num_rows == n
+        pairs.append(made[0])
+    assert pairs[1] < 6 * pairs[0] and pairs[1] < 40_000**2 / 10
+
+
+def test_idw_numbers_that_are_not_finite(monkeypatch):
+    monkeypatch.setattr(spatial, "FEW_PAIRS", 0)
+    rng = np.random.default_rng(9)
+    (x, y), (lon, lat) = places(rng, "even", 3_000), places(rng, "even", 900)
+    v, inf = rng.uniform(20, 35, len(x)), math.inf
+    v[5], x[6], y[7] = inf, inf, -inf
+    lon[0], lon[1], lat[2] = math.nan, inf, -inf
+    lon[3], lat[3] = x[5], y[5]
+    part = pa.table({"__id": np.arange(len(lon)), "lon": lon, "lat": lat})
+    block = pa.table({"block": [3], "xs": [x], "ys": [y], "vs": [v]})
+    got = spatial._matrix_sums(2.0)(part, block).to_pandas()
+    with np.errstate(invalid="ignore"):
+        w, wv, first = all_pairs(lon, lat, x, y, v, 2.0)
+    np.testing.assert_allclose(got["w"], w, rtol=1e-12)
+    np.testing.assert_allclose(got["wv"], wv, rtol=1e-12)
+    np.testing.assert_array_equal(got["hit"], first)
+
+
+def test_idw_parts_are_near_places_of_even_size(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "FEW_PAIRS", 0)
+    monkeypatch.setattr(spatial, "NEAR_PAIRS", 100)
+    monkeypatch.setattr(spatial, "FAR_PAIRS", 20)
+    rng = np.random.default_rng(10)
+    lon, lat = places(rng, "even", 3_000)
+    lon[:1_000], lat[:1_000] = 99.0, 4.0  # a crowded place
+    lon[1_000], lat[1_001] = math.inf, math.nan
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(lon, lat))]
+    targets = spark.createDataFrame(rows, "__id long, lon double, lat double")
+    part, parts = spatial._parts(targets, 200)
+    sizes = {r.part: r.n for r in targets.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    assert set(sizes) == set(range(parts)) and sum(sizes.values()) == 3_000 and max(sizes.values()) < 300
+    x, y = places(rng, "even", 700)
+    v = rng.uniform(20, 35, 700)
+    stations = spark.createDataFrame(
+        [(i, float(a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(x, y, v))],
+        "seq int, lon double, lat double, value double",
+    )
+    goals = targets.withColumnRenamed("__id", "id")
+    w, wv, first = all_pairs(lon, lat, x, y, v, 2.0)
+    with np.errstate(invalid="ignore"):
+        want = np.where(np.isnan(first), np.where(w == 0, 0.0, wv / w), first)
+    for rows in (1_000, 300):
+        got = {r.id: r.value for r in spatial.idw(goals, stations, block_rows=rows, pack_rows=500).collect()}
+        np.testing.assert_allclose([got[i] for i in range(3_000)], want, rtol=1e-12)
+
+
 def test_round_2_rounds_half_up(spark):
     df = spark.createDataFrame([(0.125,), (-0.125,), (2.675,)], "v double")
     assert [r[0] for r in df.select(geo.round_2(F.col("v"))).collect()] == [0.13, -0.12, 2.68]
