@@ -626,14 +626,14 @@ def _tree_sums(power: float):
             return here, basis(u), basis(v)
 
     def grid(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float, int]:
-        """West, south and side of the whole square, and how many levels are exact and wider than the exact distance."""
+        """West, south and side of the whole square, and how many levels have exact cells not below the exact distance."""
         low = x.min(), y.min()
         wide = max(x.max() - low[0], y.max() - low[1])
         if not 0 < wide < 1e100:
             return 0.0, 0.0, 0.0, 0
         side = 2.0 ** (math.floor(math.log2(wide * 1.001)) + 1)
         step = side * 0.5**deepest
-        smallest = max(4 * exact, 2.0**-40 * max(np.abs(x).max(), np.abs(y).max()))
+        smallest = max(exact, 2.0**-40 * max(np.abs(x).max(), np.abs(y).max()))
         depth = min(deepest, max(0, math.floor(math.log2(side / smallest))))
         return math.floor(low[0] / step) * step, math.floor(low[1] / step) * step, side, depth
 
